@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from .numeric import _c
 
-_EPOCH_NTZ = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+def _epoch_ntz() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
 _UNIT_MICROS = {"s": 1_000_000, "ms": 1_000, "us": 1}
 
 # Weekday order and short French labels (Monday first).
@@ -51,11 +53,11 @@ def epoch_repair(raw, unit: str = "us") -> Column:
     """
     per = _UNIT_MICROS[unit]
     micros = _c(raw).cast("bigint") * F.lit(per) if per != 1 else _c(raw).cast("bigint")
-    return F.timestamp_add("MICROSECOND", micros, _EPOCH_NTZ)
+    return F.timestamp_add("MICROSECOND", micros, _epoch_ntz())
 
 
 def to_epoch(ts, unit: str = "us") -> Column:
     """Inverse of ``epoch_repair`` (floor division for non-micro units)."""
-    micros = F.timestamp_diff("MICROSECOND", _EPOCH_NTZ, _c(ts))
+    micros = F.timestamp_diff("MICROSECOND", _epoch_ntz(), _c(ts))
     per = _UNIT_MICROS[unit]
     return micros if per == 1 else F.floor(micros / F.lit(per)).cast("bigint")

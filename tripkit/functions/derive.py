@@ -13,7 +13,9 @@ from .numeric import _c, round_pct
 PICKUP = "tpep_pickup_datetime"
 DROPOFF = "tpep_dropoff_datetime"
 
-_EPOCH_NTZ = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+def _epoch_ntz() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
 
 # Labels of the staging categories.
 DIST_SHORT = "Courts trajets"
@@ -36,7 +38,7 @@ TRANCHE_ELSE = "Soirée (21h-0h)"
 
 def epoch_minute(ts) -> Column:
     """Whole minutes since 1970-01-01 00:00 (floor), for TIMESTAMP_NTZ input."""
-    micros = F.timestamp_diff("MICROSECOND", _EPOCH_NTZ, _c(ts))
+    micros = F.timestamp_diff("MICROSECOND", _epoch_ntz(), _c(ts))
     minute = F.lit(60_000_000)
     return ((micros - F.pmod(micros, minute)) / minute).cast("bigint")
 

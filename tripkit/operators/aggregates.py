@@ -32,24 +32,16 @@ def weighted_avg(x, w) -> Column:
 
 
 def arg_max_first(key, metric, order) -> Column:
-    """key of the row with the largest metric; ties go to the smallest order.
-
-    Rows with a NULL metric never win (as with pandas idxmax).
-    """
+    """key of the row with the largest (numeric) metric; ties go to the
+    smallest ``order``. Rows with a NULL metric never win (as pandas idxmax)."""
     m = _c(metric)
-    return F.max_by(_c(key), F.when(m.isNotNull(), F.struct(m, -_ordinal(order))))
+    return F.min_by(_c(key), F.when(m.isNotNull(), F.struct(-m, _c(order))))
 
 
 def arg_min_first(key, metric, order) -> Column:
     """key of the row with the smallest metric; ties go to the smallest order."""
     m = _c(metric)
-    return F.min_by(_c(key), F.when(m.isNotNull(), F.struct(m, _ordinal(order))))
-
-
-def _ordinal(order) -> Column:
-    """A number that sorts like ``order``; dates become their day number."""
-    o = _c(order)
-    return F.unix_date(o) if isinstance(order, str) and order.endswith("date") else o
+    return F.min_by(_c(key), F.when(m.isNotNull(), F.struct(m, _c(order))))
 
 
 def series_count(df: DataFrame, date_col: str = "pickup_date", trips_col: str = "total_trips") -> DataFrame:

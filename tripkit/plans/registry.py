@@ -55,3 +55,334 @@ def _clean(spark, sf_dir):
 def q_daily_summary(spark, sf_dir):
     """Per pickup date: trips, mean distance, revenue sum and mean, mean tip %."""
     return marts.daily_summary(_clean(spark, sf_dir)).orderBy("pickup_date")
+
+
+# --- marts ---------------------------------------------------------------
+
+from ..functions import derive as D  # noqa: E402
+from ..functions.dates import date_label, day_name, epoch_repair, month_period, shift_months, to_epoch  # noqa: E402
+from ..operators import filters as FL  # noqa: E402
+from ..operators.expect import run_tests  # noqa: E402
+from ..sources.zones import zones_fixture  # noqa: E402
+from . import dashboard as DB  # noqa: E402
+from . import notebook as NB  # noqa: E402
+from . import quality as Q  # noqa: E402
+
+
+def _trips(spark, sf_dir):
+    return trips_view(spark, sf_dir)
+
+
+@register("clean_trips")
+def q_clean_trips(spark, sf_dir):
+    """Staging table: four filters, eight derived columns."""
+    return _clean(spark, sf_dir)
+
+
+@register("zone_analysis")
+def q_zone_analysis(spark, sf_dir):
+    return marts.zone_analysis(_clean(spark, sf_dir)).orderBy(F.col("total_trips").desc(), "pickup_zone")
+
+
+@register("hourly_patterns")
+def q_hourly_patterns(spark, sf_dir):
+    return marts.hourly_patterns(_clean(spark, sf_dir)).orderBy("pickup_hour")
+
+
+@register("trip_categories")
+def q_trip_categories(spark, sf_dir):
+    return marts.trip_categories(_clean(spark, sf_dir)).orderBy(F.col("total_trips").desc())
+
+
+# --- RAW table, filters and per-trip expressions ---------------------------
+
+@register("trips_raw")
+def q_trips_raw(spark, sf_dir):
+    """The RAW table: the fixture scan conformed by name to the fixed schema."""
+    from ..sources.parquet import copy_by_name
+    return copy_by_name(_trips(spark, sf_dir))
+
+
+def _filter_query(name, fn):
+    @register(name)
+    def q(spark, sf_dir):
+        return fn(_trips(spark, sf_dir))
+    q.__doc__ = fn.__doc__
+    return q
+
+
+for _name, _fn in [
+    ("filter_nonneg_amounts", FL.filter_nonneg_amounts),
+    ("filter_ordered_times", FL.filter_ordered_times),
+    ("filter_distance_range", FL.filter_distance_range),
+    ("filter_zones_present", FL.filter_zones_present),
+    ("filter_positive_distance", FL.filter_positive_distance),
+    ("filter_positive_total", FL.filter_positive_total),
+    ("filter_date_window", FL.filter_date_window),
+    ("any_null", FL.filter_any_null),
+]:
+    _filter_query(_name, _fn)
+
+
+@register("trip_features")
+def q_trip_features(spark, sf_dir):
+    """Every per-trip scalar expression on the whole RAW table."""
+    t = _trips(spark, sf_dir)
+    dur = D.trip_duration_minutes()
+    d = D.pickup_date()
+    return t.select(
+        D.PICKUP, D.DROPOFF, "pulocationid", "trip_distance", "fare_amount", "tip_amount",
+        dur.alias("trip_duration_minutes"),
+        D.pickup_hour().alias("pickup_hour"),
+        D.pickup_day_of_week().alias("pickup_day_of_week"),
+        D.pickup_month().alias("pickup_month"),
+        d.alias("pickup_date"),
+        D.avg_speed_mph(minutes=dur).alias("avg_speed_mph"),
+        D.tip_percentage().alias("tip_percentage"),
+        D.tip_pct_nullif().alias("tip_pct_nullif"),
+        D.distance_category().alias("distance_category"),
+        D.day_type(D.pickup_day_of_week()).alias("day_type"),
+        D.time_period(D.pickup_hour()).alias("time_period"),
+        D.tranche(D.pickup_hour()).alias("tranche"),
+        day_name(d).alias("day_name"),
+        month_period(d).alias("month_period"),
+        date_label(d, "d MMM yyyy").alias("date_label"),
+        shift_months(d, 1).alias("date_minus_1m"),
+        D.zone_label("pulocationid").alias("zone_label"),
+        D.coalesce_name(F.lit(None).cast("string"), "pulocationid").alias("zone_name"),
+    )
+
+
+@register("epoch_repair")
+def q_epoch_repair(spark, sf_dir):
+    """Timestamps held as BIGINT microseconds, repaired back to timestamps."""
+    t = _trips(spark, sf_dir).select(to_epoch(D.PICKUP).alias("pickup_us"),
+                                     to_epoch(D.DROPOFF).alias("dropoff_us"))
+    return t.select("pickup_us", "dropoff_us",
+                    epoch_repair("pickup_us").alias("tpep_pickup_datetime"),
+                    epoch_repair("dropoff_us").alias("tpep_dropoff_datetime"))
+
+
+# --- dashboard -------------------------------------------------------------
+
+def _days(spark, sf_dir):
+    return DB.complete_days(DB.dash_daily(_trips(spark, sf_dir)))
+
+
+@register("dash_daily")
+def q_dash_daily(spark, sf_dir):
+    return DB.dash_daily(_trips(spark, sf_dir)).orderBy("pickup_date")
+
+
+@register("dash_hourly")
+def q_dash_hourly(spark, sf_dir):
+    return DB.dash_hourly(_trips(spark, sf_dir)).orderBy("pickup_hour")
+
+
+@register("dash_zones")
+def q_dash_zones(spark, sf_dir):
+    return DB.dash_zones(_trips(spark, sf_dir))
+
+
+@register("dash_profile")
+def q_dash_profile(spark, sf_dir):
+    return DB.dash_profile(_trips(spark, sf_dir))
+
+
+@register("complete_days")
+def q_complete_days(spark, sf_dir):
+    return _days(spark, sf_dir).orderBy("pickup_date")
+
+
+@register("coverage_caption")
+def q_coverage_caption(spark, sf_dir):
+    return DB.coverage_caption(_days(spark, sf_dir))
+
+
+@register("kpis")
+def q_kpis(spark, sf_dir):
+    return DB.kpis(_days(spark, sf_dir))
+
+
+@register("weekly_profile")
+def q_weekly_profile(spark, sf_dir):
+    return DB.weekly_profile(_days(spark, sf_dir), "total_trips")
+
+
+@register("hourly_metric")
+def q_hourly_metric(spark, sf_dir):
+    return DB.hourly_metric(DB.dash_hourly(_trips(spark, sf_dir)), "total_trips")
+
+
+@register("daily_evolution")
+def q_daily_evolution(spark, sf_dir):
+    """Daily metric with its centred 7-row moving mean (moving_avg_7)."""
+    return DB.daily_evolution(_days(spark, sf_dir), "total_trips")
+
+
+@register("period_window")
+def q_period_window(spark, sf_dir):
+    return DB.period_window(_days(spark, sf_dir), "6M", 0)
+
+
+@register("period_extremes")
+def q_period_extremes(spark, sf_dir):
+    return DB.period_extremes(_days(spark, sf_dir), "total_trips", "6M", 0)
+
+
+@register("top10_days")
+def q_top10_days(spark, sf_dir):
+    return DB.top_days(_days(spark, sf_dir), "total_trips", 10)
+
+
+@register("bottom10_days")
+def q_bottom10_days(spark, sf_dir):
+    return DB.bottom_days(_days(spark, sf_dir), "total_trips", 10)
+
+
+@register("zone_name_lookup")
+def q_zone_name_lookup(spark, sf_dir):
+    return DB.zones_named(DB.dash_zones(_trips(spark, sf_dir)), zones_fixture(spark, sf_dir))
+
+
+@register("zone_treemap")
+def q_zone_treemap(spark, sf_dir):
+    return DB.zone_treemap(DB.dash_zones(_trips(spark, sf_dir)), zones_fixture(spark, sf_dir))
+
+
+@register("trip_portrait")
+def q_trip_portrait(spark, sf_dir):
+    return DB.trip_portrait(DB.dash_profile(_trips(spark, sf_dir)))
+
+
+@register("payment_split")
+def q_payment_split(spark, sf_dir):
+    return DB.payment_split(DB.dash_profile(_trips(spark, sf_dir)))
+
+
+# --- quality -----------------------------------------------------------------
+
+@register("dq_summary")
+def q_dq_summary(spark, sf_dir):
+    return Q.dq_summary(_trips(spark, sf_dir))
+
+
+@register("dq_clean_estimate")
+def q_dq_clean_estimate(spark, sf_dir):
+    return Q.dq_clean_estimate(Q.dq_summary(_trips(spark, sf_dir)))
+
+
+@register("dq_report")
+def q_dq_report(spark, sf_dir):
+    return Q.dq_report(Q.dq_summary(_trips(spark, sf_dir)))
+
+
+@register("dq_overview")
+def q_dq_overview(spark, sf_dir):
+    return Q.dq_overview(_trips(spark, sf_dir))
+
+
+# --- report and notebook -----------------------------------------------------
+
+def _marts(spark, sf_dir):
+    c = _clean(spark, sf_dir)
+    return {name: fn(c) for name, fn in marts.MARTS.items()}
+
+
+@register("report_top5_zones")
+def q_report_top5_zones(spark, sf_dir):
+    return NB.report_top5_zones(marts.zone_analysis(_clean(spark, sf_dir)))
+
+
+@register("report_hourly")
+def q_report_hourly(spark, sf_dir):
+    return NB.report_hourly(marts.hourly_patterns(_clean(spark, sf_dir)))
+
+
+@register("nb_daily")
+def q_nb_daily(spark, sf_dir):
+    return NB.nb_daily(marts.daily_summary(_clean(spark, sf_dir)))
+
+
+@register("nb_hourly")
+def q_nb_hourly(spark, sf_dir):
+    return NB.nb_hourly(marts.hourly_patterns(_clean(spark, sf_dir)))
+
+
+@register("nb_zones20")
+def q_nb_zones20(spark, sf_dir):
+    return NB.nb_zones20(marts.zone_analysis(_clean(spark, sf_dir)))
+
+
+@register("nb_categories")
+def q_nb_categories(spark, sf_dir):
+    return NB.nb_categories(marts.trip_categories(_clean(spark, sf_dir)))
+
+
+@register("every_nth_row")
+def q_every_nth_row(spark, sf_dir):
+    """Every 30th date of the daily mart (the date-range options)."""
+    return NB.date_options(marts.daily_summary(_clean(spark, sf_dir)), 30)
+
+
+@register("nb_evolution")
+def q_nb_evolution(spark, sf_dir):
+    return NB.nb_evolution(NB.nb_daily(marts.daily_summary(_clean(spark, sf_dir))), "total_trips")
+
+
+@register("head_n")
+def q_head_n(spark, sf_dir):
+    return NB.head_n(NB.nb_zones20(marts.zone_analysis(_clean(spark, sf_dir))), 10)
+
+
+@register("nb_category_share")
+def q_nb_category_share(spark, sf_dir):
+    return NB.nb_category_share(marts.trip_categories(_clean(spark, sf_dir)))
+
+
+@register("nb_kpis")
+def q_nb_kpis(spark, sf_dir):
+    m = _marts(spark, sf_dir)
+    return NB.nb_kpis(m["daily_summary"], m["hourly_patterns"], NB.nb_zones20(m["zone_analysis"]))
+
+
+@register("busiest_month")
+def q_busiest_month(spark, sf_dir):
+    return NB.busiest_month(marts.daily_summary(_clean(spark, sf_dir)))
+
+
+@register("best_revenue_zone")
+def q_best_revenue_zone(spark, sf_dir):
+    return NB.best_revenue_zone(NB.nb_zones20(marts.zone_analysis(_clean(spark, sf_dir))))
+
+
+@register("long_trip_share")
+def q_long_trip_share(spark, sf_dir):
+    return NB.long_trip_share(marts.trip_categories(_clean(spark, sf_dir)))
+
+
+@register("weekend_vs_weekday")
+def q_weekend_vs_weekday(spark, sf_dir):
+    return NB.weekend_vs_weekday(marts.trip_categories(_clean(spark, sf_dir)))
+
+
+# --- data tests ----------------------------------------------------------------
+
+@register("run_tests")
+def q_run_tests(spark, sf_dir):
+    """The 13 column tests on the staging table and three marts."""
+    c = _clean(spark, sf_dir)
+    tables = {"clean_trips": c, **{n: fn(c) for n, fn in marts.MARTS.items()}}
+    return run_tests(spark, tables)
+
+
+@register("row_count_check")
+def q_row_count_check(spark, sf_dir):
+    """Rows in RAW, staging and each mart (one row per table)."""
+    from functools import reduce
+    t = _trips(spark, sf_dir)
+    c = clean_trips(t)
+    parts = [("trips_raw", t), ("clean_trips", c)] + [(n, fn(c)) for n, fn in marts.MARTS.items()]
+    counted = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(n).alias("table_name"), "row_count")
+               for n, df in parts]
+    return reduce(lambda a, b: a.unionByName(b), counted)
