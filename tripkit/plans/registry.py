@@ -386,3 +386,21 @@ def q_row_count_check(spark, sf_dir):
     counted = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(n).alias("table_name"), "row_count")
                for n, df in parts]
     return reduce(lambda a, b: a.unionByName(b), counted)
+
+
+# --- sources -------------------------------------------------------------------------
+
+@register("infer_schema")
+def q_infer_schema(spark, sf_dir):
+    """Schema listing of the lineitem file (name, type, nullable, cast, position)."""
+    from ..sources.fixture import table_path
+    from ..sources.parquet import infer_schema
+    return infer_schema(spark, table_path(sf_dir, "lineitem"))
+
+
+@register("skip_loaded_months")
+def q_skip_loaded_months(spark, sf_dir):
+    """The 21 requested months, flagged when the RAW table already holds them."""
+    from ..sources.months import month_manifest, month_range, skip_loaded_months
+    requested = month_range(spark).select("month")
+    return skip_loaded_months(requested, month_manifest(_trips(spark, sf_dir)))
