@@ -143,10 +143,11 @@ def weekly_profile(days: DataFrame, metric: str = "total_trips") -> DataFrame:
     per_day = (days.groupBy(iso_weekday("pickup_date").alias("dow"))
                .agg(F.avg(F.col(metric).cast("double")).alias("value")))
     weekly = weekday_reindex(per_day, key="dow")
-    mean_val = weekly.select(F.avg("value")).scalar()
-    return weekly.select(
-        "iso_dow", "day_name", "day_fr", F.lit(metric).alias("metric"), "value",
-        mean_val.alias("mean_value"),
+    # the grand mean is one scalar subquery, attached once and used by name
+    with_mean = weekly.withColumn("mean_value", weekly.select(F.avg("value")).scalar())
+    mean_val = F.col("mean_value")
+    return with_mean.select(
+        "iso_dow", "day_name", "day_fr", F.lit(metric).alias("metric"), "value", "mean_value",
         F.coalesce(F.col("value") >= mean_val, F.lit(False)).alias("above_mean"),
         dec_round((F.col("value") - mean_val) / mean_val * 100, 1).alias("delta_pct"),
     )
@@ -193,8 +194,8 @@ def period_extremes(days: DataFrame, metric: str = "total_trips", period: str =
     """Best and worst day inside the visible window (earliest date wins ties)."""
     check_metric(metric)
     w = period_window(days, period, offset)
-    x_min, x_max = w.select("x_min").scalar(), w.select("x_max").scalar()
-    vis = days.filter(F.col("pickup_date").between(x_min, x_max))
+    bounds = days.withColumn("_w", w.select(F.struct("x_min", "x_max")).scalar())
+    vis = bounds.filter(F.col("pickup_date").between(F.col("_w.x_min"), F.col("_w.x_max")))
     m = F.col(metric).cast("double")
     return vis.agg(
         arg_max_first("pickup_date", m, "pickup_date").alias("best_date"),

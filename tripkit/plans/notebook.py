@@ -60,10 +60,13 @@ def nb_evolution(daily: DataFrame, metric: str = "total_trips", start=None, end=
     """
     if metric not in NB_METRICS:
         raise ValueError(f"metric must be one of {NB_METRICS}")
-    opts = date_options(daily, n)
-    lo = start if start is not None else opts.select(F.min("pickup_date")).scalar()
-    hi = end if end is not None else opts.select(F.max("pickup_date")).scalar()
-    sel = filter_selected_range(daily, lo, hi)
+    if start is None or end is None:
+        opts = date_options(daily, n)
+        b = opts.select(F.struct(F.min("pickup_date").alias("lo"), F.max("pickup_date").alias("hi"))).scalar()
+        daily = daily.withColumn("_opt", b)
+        start = F.col("_opt.lo") if start is None else start
+        end = F.col("_opt.hi") if end is None else end
+    sel = filter_selected_range(daily, start, end)
     return sel.select("pickup_date", F.col(metric).cast("double").alias("value")).orderBy("pickup_date")
 
 

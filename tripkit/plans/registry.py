@@ -48,7 +48,14 @@ def register(name: str, settled: bool = True):
 
 
 def _clean(spark, sf_dir):
-    return clean_trips(trips_view(spark, sf_dir))
+    return clean_trips(_trips(spark, sf_dir))
+
+
+def _trips(spark, sf_dir):
+    """The RAW table for ``sf_dir``: written once by Spark from the fixture,
+    then read by every query."""
+    from ..sources.raw import raw_trips
+    return raw_trips(spark, sf_dir)
 
 
 @register("daily_summary")
@@ -69,11 +76,7 @@ from . import notebook as NB  # noqa: E402
 from . import quality as Q  # noqa: E402
 
 
-def _trips(spark, sf_dir):
-    return trips_view(spark, sf_dir)
-
-
-@register("clean_trips")
+@register("clean_trips", settled=False)
 def q_clean_trips(spark, sf_dir):
     """Staging table: four filters, eight derived columns."""
     return _clean(spark, sf_dir)
@@ -96,7 +99,7 @@ def q_trip_categories(spark, sf_dir):
 
 # --- RAW table, filters and per-trip expressions ---------------------------
 
-@register("trips_raw")
+@register("trips_raw", settled=False)
 def q_trips_raw(spark, sf_dir):
     """The RAW table: the fixture scan conformed by name to the fixed schema."""
     from ..sources.parquet import copy_by_name
@@ -104,7 +107,7 @@ def q_trips_raw(spark, sf_dir):
 
 
 def _filter_query(name, fn):
-    @register(name)
+    @register(name, settled=False)
     def q(spark, sf_dir):
         return fn(_trips(spark, sf_dir))
     q.__doc__ = fn.__doc__
@@ -124,7 +127,7 @@ for _name, _fn in [
     _filter_query(_name, _fn)
 
 
-@register("trip_features")
+@register("trip_features", settled=False)
 def q_trip_features(spark, sf_dir):
     """Every per-trip scalar expression on the whole RAW table."""
     t = _trips(spark, sf_dir)
@@ -153,7 +156,7 @@ def q_trip_features(spark, sf_dir):
     )
 
 
-@register("epoch_repair")
+@register("epoch_repair", settled=False)
 def q_epoch_repair(spark, sf_dir):
     """Timestamps held as BIGINT microseconds, repaired back to timestamps."""
     t = _trips(spark, sf_dir).select(to_epoch(D.PICKUP).alias("pickup_us"),
@@ -165,8 +168,21 @@ def q_epoch_repair(spark, sf_dir):
 
 # --- dashboard -------------------------------------------------------------
 
+def _dash(spark, sf_dir, which: str):
+    """One of the four dashboard base aggregates, checkpointed.
+
+    These are the small results the dashboard loads once and explores many
+    times; checkpointing them (to the shared checkpoint folder) lets the
+    exploration steps and their scalar subqueries read the aggregate instead
+    of re-running the scan.
+    """
+    fn = {"daily": DB.dash_daily, "hourly": DB.dash_hourly, "zones": DB.dash_zones,
+          "profile": DB.dash_profile}[which]
+    return fn(_trips(spark, sf_dir)).checkpoint(eager=True)
+
+
 def _days(spark, sf_dir):
-    return DB.complete_days(DB.dash_daily(_trips(spark, sf_dir)))
+    return DB.complete_days(_dash(spark, sf_dir, "daily")).checkpoint(eager=True)
 
 
 @register("dash_daily")
@@ -211,7 +227,7 @@ def q_weekly_profile(spark, sf_dir):
 
 @register("hourly_metric")
 def q_hourly_metric(spark, sf_dir):
-    return DB.hourly_metric(DB.dash_hourly(_trips(spark, sf_dir)), "total_trips")
+    return DB.hourly_metric(_dash(spark, sf_dir, "hourly"), "total_trips")
 
 
 @register("daily_evolution")
@@ -242,22 +258,22 @@ def q_bottom10_days(spark, sf_dir):
 
 @register("zone_name_lookup")
 def q_zone_name_lookup(spark, sf_dir):
-    return DB.zones_named(DB.dash_zones(_trips(spark, sf_dir)), zones_fixture(spark, sf_dir))
+    return DB.zones_named(_dash(spark, sf_dir, "zones"), zones_fixture(spark, sf_dir))
 
 
 @register("zone_treemap")
 def q_zone_treemap(spark, sf_dir):
-    return DB.zone_treemap(DB.dash_zones(_trips(spark, sf_dir)), zones_fixture(spark, sf_dir))
+    return DB.zone_treemap(_dash(spark, sf_dir, "zones"), zones_fixture(spark, sf_dir))
 
 
 @register("trip_portrait")
 def q_trip_portrait(spark, sf_dir):
-    return DB.trip_portrait(DB.dash_profile(_trips(spark, sf_dir)))
+    return DB.trip_portrait(_dash(spark, sf_dir, "profile"))
 
 
 @register("payment_split")
 def q_payment_split(spark, sf_dir):
-    return DB.payment_split(DB.dash_profile(_trips(spark, sf_dir)))
+    return DB.payment_split(_dash(spark, sf_dir, "profile"))
 
 
 # --- quality -----------------------------------------------------------------

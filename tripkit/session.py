@@ -61,6 +61,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared checkpoint folder for written intermediates."""
-    base = ensure_checkpoint_dir(spark)
+    """A path under the shared checkpoint folder for written intermediates.
+
+    The configured ``spark.checkpoint.dir`` is preferred over the per-session
+    subfolder Spark creates in it, so tables written here outlive a session.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
     return os.path.join(base.rstrip("/"), name) if "://" not in base else base.rstrip("/") + "/" + name
