@@ -169,20 +169,20 @@ def q_epoch_repair(spark, sf_dir):
 # --- dashboard -------------------------------------------------------------
 
 def _dash(spark, sf_dir, which: str):
-    """One of the four dashboard base aggregates, checkpointed.
+    """One of the four dashboard base aggregates, written once.
 
     These are the small results the dashboard loads once and explores many
-    times; checkpointing them (to the shared checkpoint folder) lets the
-    exploration steps and their scalar subqueries read the aggregate instead
-    of re-running the scan.
+    times; writing them to the shared folder lets the exploration steps and
+    their scalar subqueries read the aggregate instead of re-running the scan.
     """
+    from ..session import materialize
     fn = {"daily": DB.dash_daily, "hourly": DB.dash_hourly, "zones": DB.dash_zones,
           "profile": DB.dash_profile}[which]
-    return fn(_trips(spark, sf_dir)).checkpoint(eager=True)
+    return materialize(fn(_trips(spark, sf_dir)), f"dash_{which}")
 
 
 def _days(spark, sf_dir):
-    return DB.complete_days(_dash(spark, sf_dir, "daily")).checkpoint(eager=True)
+    return DB.complete_days(_dash(spark, sf_dir, "daily"))
 
 
 @register("dash_daily")

@@ -68,3 +68,18 @@ def shared_path(spark: SparkSession, name: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
     return os.path.join(base.rstrip("/"), name) if "://" not in base else base.rstrip("/") + "/" + name
+
+
+def materialize(df, name: str = "result"):
+    """Write ``df`` as Parquet under the shared folder and read it back.
+
+    Cuts the lineage with one computation (an eager ``checkpoint()`` of an
+    unpersisted plan computes it twice). Meant for small aggregates that many
+    later steps and scalar subqueries read.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    path = shared_path(spark, f"tripkit_tmp/{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
