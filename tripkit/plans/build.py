@@ -53,15 +53,28 @@ def build_order(models=MODELS, sources=("trips_raw",)) -> list[str]:
 
 
 def build(spark: SparkSession, trips_raw: DataFrame, materialized: str = "table",
-          models=MODELS) -> dict[str, DataFrame]:
-    """Build every model. ``materialized='view'`` composes lazily instead."""
+          models=MODELS, one_pass: bool = True) -> dict[str, DataFrame]:
+    """Build every model. ``materialized='view'`` composes lazily instead.
+
+    With ``one_pass`` the four marts come from a single GROUPING SETS scan of
+    the saved staging table (``marts.all_marts``) instead of four scans.
+    """
+    from ..session import materialize
+
     if materialized == "table":
         create_layers(spark)
     by_name = {m.name: m for m in models}
     out = {"trips_raw": trips_raw}
+    shared = None
     for name in build_order(models):
         m = by_name[name]
-        df = m.fn(*[out[i] for i in m.inputs])
+        if one_pass and name in marts.MARTS and m.inputs == ("clean_trips",):
+            if shared is None:
+                mat = materialize if materialized == "table" else None
+                shared = marts.all_marts(out["clean_trips"], mat)
+            df = shared[name]
+        else:
+            df = m.fn(*[out[i] for i in m.inputs])
         if materialized == "table":
             out[name] = ctas_table(df, f"{m.layer}.{m.name}", list(m.partition_by) or None)
         else:

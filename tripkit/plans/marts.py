@@ -58,3 +58,65 @@ MARTS = {
     "hourly_patterns": hourly_patterns,
     "trip_categories": trip_categories,
 }
+
+
+# --- all four marts from one scan ---------------------------------------------
+
+_KEYS = ("pickup_date", "pickup_zone", "pickup_hour", "distance_category", "day_type")
+_SETS = {
+    "daily_summary": ("pickup_date",),
+    "zone_analysis": ("pickup_zone",),
+    "hourly_patterns": ("pickup_hour",),
+    "trip_categories": ("distance_category", "day_type"),
+}
+
+
+def _gid(keys) -> int:
+    """grouping_id() of a set: bit i (from the left, most significant first)
+    is 1 when key i is NOT in the set."""
+    n = len(_KEYS)
+    return sum(1 << (n - 1 - i) for i, k in enumerate(_KEYS) if k not in keys)
+
+
+def all_marts(clean: DataFrame, materialize=None) -> dict[str, DataFrame]:
+    """The four marts from ONE scan of the staging table and one shuffle.
+
+    ``GROUPING SETS ((date), (zone), (hour), (category, day type))`` expands
+    each trip into four keyed rows that the partial aggregation collapses
+    before the shuffle; the result (days + zones + hours + categories rows)
+    is tiny. ``materialize`` (e.g. ``tripkit.session.materialize``) writes it
+    once so the four marts are cheap filters of a stored table; without it
+    each mart re-runs the single-pass plan.
+    """
+    keyed = clean.select(
+        F.to_date(PICKUP).alias("pickup_date"), F.col("pulocationid").alias("pickup_zone"),
+        "pickup_hour", "distance_category", "day_type", "trip_distance", "total_amount",
+        "tip_percentage", "avg_speed_mph", "trip_duration_minutes")
+    agg = keyed.groupingSets([list(s) for s in _SETS.values()], *_KEYS).agg(
+        F.grouping_id().alias("_gid"),
+        F.count(F.lit(1)).alias("total_trips"),
+        F.avg("trip_distance").alias("avg_distance"),
+        F.sum("total_amount").alias("total_revenue"),
+        F.avg("total_amount").alias("avg_revenue"),
+        F.avg("tip_percentage").alias("avg_tip_percentage"),
+        F.avg("avg_speed_mph").alias("avg_speed"),
+        F.avg("trip_duration_minutes").alias("avg_duration"),
+    )
+    if materialize is not None:
+        agg = materialize(agg)
+
+    def part(name):
+        return agg.filter(F.col("_gid") == _gid(_SETS[name]))
+
+    return {
+        "daily_summary": part("daily_summary").select(
+            "pickup_date", "total_trips", "avg_distance", "total_revenue", "avg_revenue", "avg_tip_percentage"),
+        "zone_analysis": popularity_rank(part("zone_analysis").select(
+            "pickup_zone", "total_trips", "avg_revenue", "total_revenue", "avg_distance")),
+        "hourly_patterns": part("hourly_patterns").select(
+            "pickup_hour", "total_trips", "avg_revenue", "avg_speed", "avg_distance")
+            .withColumn("time_period", time_period("pickup_hour")),
+        "trip_categories": part("trip_categories").select(
+            "distance_category", "day_type", "total_trips", "avg_distance", "avg_revenue",
+            "avg_duration", "avg_speed", "avg_tip_percentage"),
+    }

@@ -300,9 +300,11 @@ def q_dq_overview(spark, sf_dir):
 
 # --- report and notebook -----------------------------------------------------
 
-def _marts(spark, sf_dir):
-    c = _clean(spark, sf_dir)
-    return {name: fn(c) for name, fn in marts.MARTS.items()}
+def _marts(spark, sf_dir, clean=None):
+    """All four marts from one scan of the staging rows, written once."""
+    from ..session import materialize
+    c = _clean(spark, sf_dir) if clean is None else clean
+    return marts.all_marts(c, materialize)
 
 
 @register("report_top5_zones")
@@ -388,7 +390,7 @@ def q_weekend_vs_weekday(spark, sf_dir):
 def q_run_tests(spark, sf_dir):
     """The 13 column tests on the staging table and three marts."""
     c = _clean(spark, sf_dir)
-    tables = {"clean_trips": c, **{n: fn(c) for n, fn in marts.MARTS.items()}}
+    tables = {"clean_trips": c, **_marts(spark, sf_dir, c)}
     return run_tests(spark, tables)
 
 
@@ -398,7 +400,7 @@ def q_row_count_check(spark, sf_dir):
     from functools import reduce
     t = _trips(spark, sf_dir)
     c = clean_trips(t)
-    parts = [("trips_raw", t), ("clean_trips", c)] + [(n, fn(c)) for n, fn in marts.MARTS.items()]
+    parts = [("trips_raw", t), ("clean_trips", c)] + list(_marts(spark, sf_dir, c).items())
     counted = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(n).alias("table_name"), "row_count")
                for n, df in parts]
     return reduce(lambda a, b: a.unionByName(b), counted)
