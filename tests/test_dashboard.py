@@ -106,3 +106,13 @@ def test_upper_columns(spark):
     df = spark.createDataFrame([(1,)], "total_trips int")
     assert DB.upper_columns(df).columns == ["TOTAL_TRIPS"]
     assert df.select(F.col("TOTAL_TRIPS")).count() == 1
+
+
+def test_payment_split_exact_sums_to_100(spark):
+    from tripkit.sources.fixture import trips_view
+    from conftest import SF001
+    rows = DB.payment_split_exact(trips_view(spark, SF001)).collect()
+    assert [r.mode for r in rows] == ["Carte bancaire", "Espèces", "Autre"]
+    assert abs(sum(r.share for r in rows) - 100.0) < 1e-9
+    card = DB.dash_profile(trips_view(spark, SF001)).first().pct_carte
+    assert abs(rows[0].share - card) < 1e-12

@@ -250,6 +250,26 @@ def payment_split(profile: DataFrame) -> DataFrame:
     return profile.select(F.inline(rows))
 
 
+CASH_PAYMENT = 2
+
+
+def payment_split_exact(trips: DataFrame, start: str = FL.WINDOW_START,
+                        end_exclusive: str = FL.WINDOW_END_EXCLUSIVE) -> DataFrame:
+    """Card / cash / other shares computed from payment_type over the same
+    trips as ``dash_profile`` (the alternative to the fixed 3 % "other")."""
+    base = dash_base(trips, start, end_exclusive).filter(FL.positive_total())
+    n = F.count(F.lit(1))
+    card, cash, other = PAYMENT_LABELS
+    pt = F.col("payment_type")
+    one = base.agg(
+        share_pct(conditional_sum(pt == CARD_PAYMENT), n).alias("c"),
+        share_pct(conditional_sum(pt == CASH_PAYMENT), n).alias("k"),
+        share_pct(conditional_sum(~pt.isin(CARD_PAYMENT, CASH_PAYMENT) | pt.isNull()), n).alias("o"))
+    rows = F.array(*[F.struct(F.lit(i + 1).alias("slot"), F.lit(lbl).alias("mode"), F.col(c).alias("share"))
+                     for i, (lbl, c) in enumerate(zip((card, cash, other), ("c", "k", "o")))])
+    return one.select(F.inline(rows))
+
+
 def upper_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.upper() for c in df.columns])
 

@@ -51,13 +51,23 @@ def write_raw(trips: DataFrame, path: str) -> None:
      .write.mode("overwrite").parquet(path))
 
 
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """True when a committed write exists at ``path``.
+
+    The ``_SUCCESS`` marker is written only when the write job commits, so a
+    folder left behind by an interrupted build is rebuilt, not read.
+    """
+    try:
+        spark.read.text(path.rstrip("/") + "/_SUCCESS").limit(1).collect()
+        return True
+    except AnalysisException:
+        return False
+
+
 def raw_trips(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> DataFrame:
     """The 19-column RAW table for ``sf_dir`` (built on first use)."""
     path = raw_location(spark, sf_dir)
-    if not rebuild:
-        try:
-            return spark.read.parquet(path).select(*TRIPS_NAMES)
-        except AnalysisException:
-            pass
+    if not rebuild and is_complete(spark, path):
+        return spark.read.parquet(path).select(*TRIPS_NAMES)
     write_raw(trips_view(spark, sf_dir), path)
     return spark.read.parquet(path).select(*TRIPS_NAMES)
