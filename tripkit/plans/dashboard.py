@@ -12,10 +12,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import derive as D
-from ..functions.dates import DAY_FR, DAY_ORDER, date_label, iso_weekday
+from ..functions.dates import date_label, iso_weekday
 from ..functions.numeric import dec_round, share_pct
 from ..operators import filters as FL
-from ..operators.aggregates import arg_max_first, arg_min_first, conditional_sum, rollup_total, weighted_avg
+from ..operators.aggregates import (arg_max_first, arg_min_first, conditional_sum, rollup_total,
+                                    series_count, weighted_avg)
 from ..operators.joins import weekday_reindex, zone_name_lookup
 from ..operators.topk import bottom_k, top_k
 from ..operators.windows import moving_avg
@@ -114,11 +115,11 @@ def complete_days(daily: DataFrame, last_day: str = FL.LAST_DAY,
 
 
 def coverage_caption(days: DataFrame) -> DataFrame:
-    return days.agg(
-        F.sum("total_trips").cast("bigint").alias("total_trips"),
-        F.count(F.lit(1)).alias("n_days"),
-        date_label(F.min("pickup_date"), "MMM yyyy").alias("first_month"),
-        date_label(F.max("pickup_date"), "MMM yyyy").alias("last_month"),
+    """Trips, day count, first and last month label of the kept days."""
+    return series_count(days).select(
+        "total_trips", "n_days",
+        date_label("first_day", "MMM yyyy").alias("first_month"),
+        date_label("last_day", "MMM yyyy").alias("last_month"),
     )
 
 
@@ -274,4 +275,3 @@ def upper_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.upper() for c in df.columns])
 
 
-__all__ = [n for n in dir() if not n.startswith("_")] + ["DAY_ORDER", "DAY_FR"]

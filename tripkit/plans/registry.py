@@ -10,14 +10,27 @@ library functions themselves return full precision.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import derive as D
+from ..functions.dates import date_label, day_name, epoch_repair, month_period, shift_months, to_epoch
 from ..functions.numeric import dec_round
-from ..sources.fixture import trips_view
+from ..operators import filters as FL
+from ..operators.expect import run_tests
+from ..session import materialize
+from ..sources.months import month_manifest, month_range, skip_loaded_months
+from ..sources.parquet import copy_by_name, infer_schema
+from ..sources.fixture import table_path
+from ..sources.raw import raw_trips
+from ..sources.zones import zones_fixture
+from . import dashboard as DB
 from . import marts
+from . import notebook as NB
+from . import quality as Q
 from .staging import clean_trips
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,7 +67,6 @@ def _clean(spark, sf_dir):
 def _trips(spark, sf_dir):
     """The RAW table for ``sf_dir``: written once by Spark from the fixture,
     then read by every query."""
-    from ..sources.raw import raw_trips
     return raw_trips(spark, sf_dir)
 
 
@@ -66,15 +78,6 @@ def q_daily_summary(spark, sf_dir):
 
 # --- marts ---------------------------------------------------------------
 
-from ..functions import derive as D  # noqa: E402
-from ..functions.dates import date_label, day_name, epoch_repair, month_period, shift_months, to_epoch  # noqa: E402
-from ..operators import filters as FL  # noqa: E402
-from ..operators.expect import run_tests  # noqa: E402
-from ..sources.zones import zones_fixture  # noqa: E402
-from . import dashboard as DB  # noqa: E402
-from . import notebook as NB  # noqa: E402
-from . import quality as Q  # noqa: E402
-
 
 @register("clean_trips", settled=False)
 def q_clean_trips(spark, sf_dir):
@@ -102,7 +105,6 @@ def q_trip_categories(spark, sf_dir):
 @register("trips_raw", settled=False)
 def q_trips_raw(spark, sf_dir):
     """The RAW table: the fixture scan conformed by name to the fixed schema."""
-    from ..sources.parquet import copy_by_name
     return copy_by_name(_trips(spark, sf_dir))
 
 
@@ -175,7 +177,6 @@ def _dash(spark, sf_dir, which: str):
     times; writing them to the shared folder lets the exploration steps and
     their scalar subqueries read the aggregate instead of re-running the scan.
     """
-    from ..session import materialize
     fn = {"daily": DB.dash_daily, "hourly": DB.dash_hourly, "zones": DB.dash_zones,
           "profile": DB.dash_profile}[which]
     return materialize(fn(_trips(spark, sf_dir)), f"dash_{which}")
@@ -302,7 +303,6 @@ def q_dq_overview(spark, sf_dir):
 
 def _marts(spark, sf_dir, clean=None):
     """All four marts from one scan of the staging rows, written once."""
-    from ..session import materialize
     c = _clean(spark, sf_dir) if clean is None else clean
     return marts.all_marts(c, materialize)
 
@@ -397,7 +397,6 @@ def q_run_tests(spark, sf_dir):
 @register("row_count_check")
 def q_row_count_check(spark, sf_dir):
     """Rows in RAW, staging and each mart (one row per table)."""
-    from functools import reduce
     t = _trips(spark, sf_dir)
     c = clean_trips(t)
     parts = [("trips_raw", t), ("clean_trips", c)] + list(_marts(spark, sf_dir, c).items())
@@ -411,14 +410,11 @@ def q_row_count_check(spark, sf_dir):
 @register("infer_schema")
 def q_infer_schema(spark, sf_dir):
     """Schema listing of the lineitem file (name, type, nullable, cast, position)."""
-    from ..sources.fixture import table_path
-    from ..sources.parquet import infer_schema
     return infer_schema(spark, table_path(sf_dir, "lineitem"))
 
 
 @register("skip_loaded_months")
 def q_skip_loaded_months(spark, sf_dir):
     """The 21 requested months, flagged when the RAW table already holds them."""
-    from ..sources.months import month_manifest, month_range, skip_loaded_months
     requested = month_range(spark).select("month")
     return skip_loaded_months(requested, month_manifest(_trips(spark, sf_dir)))
