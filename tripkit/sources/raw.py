@@ -64,10 +64,19 @@ def is_complete(spark: SparkSession, path: str) -> bool:
         return False
 
 
+# One DataFrame per (session, RAW folder): reusing it reuses its file index,
+# so repeated queries in a session do not list the folder again.
+_OPEN: dict[tuple[int, str], DataFrame] = {}
+
+
 def raw_trips(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> DataFrame:
     """The 19-column RAW table for ``sf_dir`` (built on first use)."""
     path = raw_location(spark, sf_dir)
-    if not rebuild and is_complete(spark, path):
-        return spark.read.parquet(path).select(*TRIPS_NAMES)
-    write_raw(trips_view(spark, sf_dir), path)
-    return spark.read.parquet(path).select(*TRIPS_NAMES)
+    key = (id(spark), path)
+    if not rebuild and key in _OPEN:
+        return _OPEN[key]
+    if rebuild or not is_complete(spark, path):
+        write_raw(trips_view(spark, sf_dir), path)
+    df = spark.read.parquet(path).select(*TRIPS_NAMES)
+    _OPEN[key] = df
+    return df
