@@ -17,6 +17,7 @@ import os
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import shared_path
 from .fixture import table_path, trips_view
@@ -38,16 +39,35 @@ def raw_location(spark: SparkSession, sf_dir: str) -> str:
     return shared_path(spark, f"tripkit_raw/{_input_key(sf_dir)}")
 
 
-def write_raw(trips: DataFrame, path: str) -> None:
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total size of the input files, from a listing job (``binaryFile``
+    without its content column reads no file data)."""
+    df = spark.read.format("binaryFile").load(paths)
+    return int(df.agg(F.sum("length")).first()[0] or 0)
+
+
+def partitions_for(spark: SparkSession, n_bytes: int,
+                   target: int = TARGET_PARTITION_BYTES) -> int:
+    """Enough tasks that each handles about ``target`` bytes, and at least
+    the cluster's default parallelism."""
+    return max(spark.sparkContext.defaultParallelism, -(-n_bytes // target))
+
+
+def write_raw(trips: DataFrame, path: str, n_partitions: int | None = None) -> None:
     """Range-partition by pickup time and sort inside each task.
 
     Range bounds come from a sample, so a month holding a third of all trips
     is split over many tasks; each output file covers a narrow time range,
     which gives Parquet min/max statistics that let date-window filters skip
     files and row groups. No partition directories: nothing to list.
+    ``n_partitions`` sizes the tasks to the input (see ``partitions_for``).
     """
-    (trips.repartitionByRange("tpep_pickup_datetime")
-     .sortWithinPartitions("tpep_pickup_datetime")
+    ranged = (trips.repartitionByRange(n_partitions, "tpep_pickup_datetime") if n_partitions
+              else trips.repartitionByRange("tpep_pickup_datetime"))
+    (ranged.sortWithinPartitions("tpep_pickup_datetime")
      .write.mode("overwrite").parquet(path))
 
 
@@ -76,7 +96,9 @@ def raw_trips(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> DataFr
     if not rebuild and key in _OPEN:
         return _OPEN[key]
     if rebuild or not is_complete(spark, path):
-        write_raw(trips_view(spark, sf_dir), path)
+        inputs = [table_path(sf_dir, "lineitem"), table_path(sf_dir, "orders")]
+        n = partitions_for(spark, input_bytes(spark, inputs))
+        write_raw(trips_view(spark, sf_dir), path, n)
     df = spark.read.parquet(path).select(*TRIPS_NAMES)
     _OPEN[key] = df
     return df
