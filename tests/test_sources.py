@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tripkit.sources.months import (load_months, load_summary, month_list, month_manifest, month_range,
                                     months_to_load, skip_loaded_months)
-from tripkit.sources.parquet import copy_by_name, infer_schema, scan_parquet_glob
+from tripkit.sources.parquet import copy_by_name, file_schemas, infer_schema, scan_parquet_glob
 from tripkit.sources.schema import TRIPS, TRIPS_NAMES, catalog_df, create_fixed_schema
 
 
@@ -72,6 +72,37 @@ def test_copy_by_name_and_scan(spark, tmpdir_path):
     assert rows[0].pulocationid == 132 and rows[0].vendorid == 1
 
 
+def test_scan_glob_groups_many_files(spark, tmpdir_path):
+    """40 files under one glob, two physical schemas: footers are read by
+    tasks, each schema group is one scan, every row arrives once."""
+    import glob
+    import pytest
+    root = os.path.join(tmpdir_path, "many")
+    os.makedirs(root)
+    for i in range(40):
+        cols = _base(i % 5 + 1, 1 + i % 12)
+        if i % 2:
+            cols["passenger_count"] = pa.array([3] * (i % 5 + 1), pa.int64())
+            cols["vendorid"] = cols.pop("VendorID")  # other case, same column
+        pq.write_table(pa.table(cols), os.path.join(root, f"part_{i:03d}.parquet"))
+    listed = file_schemas(spark, os.path.join(root, "*.parquet")).collect()
+    assert len(listed) == 40 and all(r.error is None for r in listed)
+    assert len({r.schema_key for r in listed}) == 2
+    df = scan_parquet_glob(spark, os.path.join(root, "*.parquet"))
+    assert df.columns == TRIPS_NAMES
+    assert df.count() == sum(i % 5 + 1 for i in range(40))
+    odd = df.filter(F.col("passenger_count") == 3.0).count()
+    assert odd == sum(i % 5 + 1 for i in range(40) if i % 2)
+    # an unreadable file among good ones fails the scan, as a Parquet read would
+    with open(os.path.join(root, "part_bad.parquet"), "wb") as f:
+        f.write(b"not a parquet file")
+    bad = [r for r in file_schemas(spark, os.path.join(root, "*.parquet")).collect() if r.error]
+    assert len(bad) == 1 and bad[0].schema_key is None
+    with pytest.raises(Exception):
+        scan_parquet_glob(spark, os.path.join(root, "*.parquet")).count()
+    assert len(glob.glob(os.path.join(root, "*.parquet"))) == 41
+
+
 def test_load_months_isolates_bad_file(spark, tmpdir_path):
     paths = write_months(tmpdir_path)
     target = os.path.join(tmpdir_path, "raw")

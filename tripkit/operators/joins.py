@@ -39,11 +39,14 @@ def weekday_dim(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "iso_dow int, day_name string, day_fr string")
 
 
-def weekday_reindex(weekly: DataFrame, key: str = "iso_dow") -> DataFrame:
-    """All seven weekdays in Monday-first order; missing days give NULL values."""
+def weekday_reindex(weekly: DataFrame, key: str = "iso_dow", ordered: bool = True) -> DataFrame:
+    """All seven weekdays in Monday-first order; missing days give NULL values.
+
+    ``ordered=False`` leaves the sort to the caller (when more steps follow).
+    """
     dim = F.broadcast(weekday_dim(weekly.sparkSession))
-    return dim.join(weekly, dim["iso_dow"] == weekly[key], "left") \
-        .drop(weekly[key]).orderBy("iso_dow")
+    out = dim.join(weekly, dim["iso_dow"] == weekly[key], "left").drop(weekly[key])
+    return out.orderBy("iso_dow") if ordered else out
 
 
 def scalar(df: DataFrame, agg: Column) -> Column:

@@ -8,7 +8,7 @@ means, window bounds) are uncorrelated scalar subqueries, not joins.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import derive as D
@@ -143,15 +143,17 @@ def weekly_profile(days: DataFrame, metric: str = "total_trips") -> DataFrame:
     check_metric(metric)
     per_day = (days.groupBy(iso_weekday("pickup_date").alias("dow"))
                .agg(F.avg(F.col(metric).cast("double")).alias("value")))
-    weekly = weekday_reindex(per_day, key="dow")
-    # the grand mean is one scalar subquery, attached once and used by name
-    with_mean = weekly.withColumn("mean_value", weekly.select(F.avg("value")).scalar())
+    weekly = weekday_reindex(per_day, key="dow", ordered=False)
+    # The grand mean of the seven values: a whole-frame window over exactly
+    # seven rows (the weekday dimension), so the chain above runs once; a
+    # scalar subquery would plan and run it a second time.
+    with_mean = weekly.withColumn("mean_value", F.avg("value").over(Window.partitionBy()))
     mean_val = F.col("mean_value")
     return with_mean.select(
         "iso_dow", "day_name", "day_fr", F.lit(metric).alias("metric"), "value", "mean_value",
         F.coalesce(F.col("value") >= mean_val, F.lit(False)).alias("above_mean"),
         dec_round((F.col("value") - mean_val) / mean_val * 100, 1).alias("delta_pct"),
-    )
+    ).orderBy("iso_dow")
 
 
 def hourly_metric(hourly: DataFrame, metric: str = "total_trips") -> DataFrame:

@@ -10,7 +10,6 @@ dropped. Groups are combined with UNION ALL by name.
 
 from __future__ import annotations
 
-import glob as _glob
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,34 +46,79 @@ def copy_by_name(df: DataFrame, schema: T.StructType = TRIPS,
     return df.select(*cols)
 
 
-def expand_paths(path_glob: str | list[str]) -> list[str]:
-    if isinstance(path_glob, (list, tuple)):
-        return [p for g in path_glob for p in expand_paths(g)]
-    if any(ch in path_glob for ch in "*?[") and "://" not in path_glob:
-        return sorted(_glob.glob(path_glob))
-    return [path_glob]
-
-
 def _schema_key(schema: T.StructType) -> str:
     return schema.simpleString().lower()
 
 
+def _arrow_schema_key(schema) -> str:
+    """Column names (lower case) and physical types of one Parquet footer.
+
+    Files with equal keys read the same way, so one scan can cover them
+    (column names are matched without case, as the by-name load does).
+    """
+    return ",".join(f"{f.name.lower()}:{f.type}" for f in schema)
+
+
+def _read_footers(batches):
+    """mapInPandas body: (path) -> (path, schema_key, error); reads only the
+    footer of each file, through the filesystem named by its URI."""
+    import pandas as pd
+    import pyarrow.parquet as pq
+    from pyarrow import fs as pafs
+
+    for b in batches:
+        keys, errors = [], []
+        for uri in b["path"]:
+            try:
+                filesystem, rel = pafs.FileSystem.from_uri(uri)
+                keys.append(_arrow_schema_key(pq.read_schema(rel, filesystem=filesystem)))
+                errors.append(None)
+            except Exception as e:  # unknown scheme or unreadable file: the driver decides
+                keys.append(None)
+                errors.append(f"{type(e).__name__}: {str(e)[:200]}")
+        yield pd.DataFrame({"path": b["path"], "schema_key": keys, "error": errors})
+
+
+def file_schemas(spark: SparkSession, path_glob: str | list[str]) -> DataFrame:
+    """(path, schema_key, error) for every file under the paths or globs.
+
+    Spark lists the files (``binaryFile`` with its content column pruned
+    reads no data; globs are resolved by the cluster's filesystem) and the
+    footers are read in parallel tasks, so ten thousand files cost one short
+    job, not ten thousand driver round trips.
+    """
+    paths = list(path_glob) if isinstance(path_glob, (list, tuple)) else [path_glob]
+    files = spark.read.format("binaryFile").load(paths).select("path")
+    return (files.repartition(spark.sparkContext.defaultParallelism)
+            .mapInPandas(_read_footers, "path string, schema_key string, error string"))
+
+
 def scan_parquet_glob(spark: SparkSession, path_glob: str | list[str],
                       schema: T.StructType = TRIPS) -> DataFrame:
     """All Parquet files under a glob as one DataFrame in ``schema``.
 
     Files sharing a physical schema are read by one scan, so a thousand
-    same-typed monthly files cost one plan node, not a thousand.
+    same-typed monthly files cost one plan node, not a thousand. Footers are
+    read by Spark tasks (``file_schemas``); only the file list of each
+    schema group comes back to the driver, which needs it to plan the scans.
+    A file whose footer a task could not open (a filesystem scheme Arrow does
+    not know) has its schema read by Spark on the driver instead; an
+    unreadable file fails the scan, as a plain Parquet read would.
     """
-    paths = expand_paths(path_glob)
-    if not paths:
+    listed = file_schemas(spark, path_glob)
+    grouped = (listed.groupBy("schema_key")
+               .agg(F.sort_array(F.collect_list("path")).alias("paths"))
+               .collect())
+    if not grouped:
         return spark.createDataFrame([], schema)
     groups: dict[str, list[str]] = {}
-    for p in paths:
-        # footer read only (the schema of one file), no data scanned
-        key = _schema_key(spark.read.parquet(p).schema)
-        groups.setdefault(key, []).append(p)
-    frames = [copy_by_name(spark.read.parquet(*ps), schema) for ps in groups.values()]
+    for key, ps in grouped:
+        if key is not None:
+            groups.setdefault(key, []).extend(ps)
+            continue
+        for p in ps:
+            groups.setdefault("spark:" + _schema_key(spark.read.parquet(p).schema), []).append(p)
+    frames = [copy_by_name(spark.read.parquet(*ps), schema) for _, ps in sorted(groups.items())]
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
