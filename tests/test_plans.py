@@ -46,3 +46,22 @@ def test_exploration_reads_the_written_aggregate(spark, capsys, name):
     out = plan(REGISTRY[name](spark, SF001), capsys)
     # scans of the written daily aggregate only, never of the trips
     assert "struct<tpep_pickup_datetime" not in out
+
+
+def test_weekly_profile_plans_the_chain_once(spark, capsys):
+    import re
+    out = plan(REGISTRY["weekly_profile"](spark, SF001), capsys)
+    # one scan for the weekly chain and one inside the median subquery of
+    # complete_days; the grand mean of the seven values is a window, not a
+    # second copy of the chain
+    assert len(re.findall(r"^\(\d+\) Scan parquet", out, re.M)) == 2
+    assert "Window" in out
+
+
+def test_row_counts_scan_raw_for_both_counts_once(spark, capsys):
+    import re
+    out = plan(REGISTRY["row_count_check"](spark, SF001), capsys)
+    raw_scans = [m for m in re.findall(r"^ReadSchema: (.*)$", out, re.M) if "tpep_pickup_datetime" in m]
+    # RAW + staging counts in one scan; the marts are counted on the one-pass
+    # aggregate, written when the query is built
+    assert len(raw_scans) == 1

@@ -79,7 +79,12 @@ def materialize(df, name: str = "result"):
     """
     import uuid
 
+    from pyspark.sql.types import StructField, StructType
+
     spark = df.sparkSession
     path = shared_path(spark, f"tripkit_tmp/{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    # The schema is known: reading with it skips the footer-inference job.
+    # Columns come back nullable, as an inferred Parquet schema would be.
+    known = StructType([StructField(f.name, f.dataType, True, f.metadata) for f in df.schema.fields])
+    return spark.read.schema(known).parquet(path)
