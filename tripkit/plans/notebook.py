@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import month_period
@@ -61,11 +61,18 @@ def nb_evolution(daily: DataFrame, metric: str = "total_trips", start=None, end=
     if metric not in NB_METRICS:
         raise ValueError(f"metric must be one of {NB_METRICS}")
     if start is None or end is None:
-        opts = date_options(daily, n)
-        b = opts.select(F.struct(F.min("pickup_date").alias("lo"), F.max("pickup_date").alias("hi"))).scalar()
-        daily = daily.withColumn("_opt", b)
-        start = F.col("_opt.lo") if start is None else start
-        end = F.col("_opt.hi") if end is None else end
+        # First option = first date; last option = the date at row
+        # 1 + n*floor((rows-1)/n). Whole-series windows over the daily rows
+        # (bounded by the calendar) keep this in the same plan as the series;
+        # a scalar subquery would run the mart's aggregation a second time.
+        whole = Window.partitionBy()
+        rn = F.row_number().over(Window.orderBy("pickup_date"))
+        daily = daily.withColumn("_rn", rn).withColumn("_rows", F.count(F.lit(1)).over(whole))
+        last_rn = F.lit(1) + F.floor((F.col("_rows") - 1) / n) * n
+        daily = daily.withColumn("_lo", F.min("pickup_date").over(whole)) \
+            .withColumn("_hi", F.max(F.when(F.col("_rn") == last_rn, F.col("pickup_date"))).over(whole))
+        start = F.col("_lo") if start is None else start
+        end = F.col("_hi") if end is None else end
     sel = filter_selected_range(daily, start, end)
     return sel.select("pickup_date", F.col(metric).cast("double").alias("value")).orderBy("pickup_date")
 
