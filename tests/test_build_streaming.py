@@ -20,15 +20,25 @@ def test_build_order():
         build_order([Model("x", "final", ("missing",), lambda d: d)])
 
 
-def test_build_tables_and_tests(spark):
+def test_build_tables_and_tests(spark, capsys):
     t = trips_view(spark, SF001)
     tables, results = build_and_test(spark, t, "table")
     assert spark.catalog.tableExists("staging.clean_trips") and spark.catalog.tableExists("final.daily_summary")
     assert all(r.passed for r in results.collect())
     counts = {r.table_name: r.row_count for r in row_counts(tables).collect()}
     assert counts["clean_trips"] == tables["daily_summary"].agg(F.sum("total_trips")).first()[0]
-    # the staging table is partitioned by month on disk
-    assert "pickup_month" in [c.name for c in spark.catalog.listColumns("staging.clean_trips") if c.isPartition]
+    # staging is not split by month of year; a date filter on it reaches the scan
+    assert not [c.name for c in spark.catalog.listColumns("staging.clean_trips") if c.isPartition]
+    q = spark.table("staging.clean_trips").filter(F.col("tpep_pickup_datetime") >= F.lit("2024-01-01").cast("timestamp_ntz"))
+    capsys.readouterr()
+    q.explain(mode="formatted")
+    assert "GreaterThanOrEqual(tpep_pickup_datetime" in capsys.readouterr().out
+    # each file is sorted by pickup time (per-task sort before the write)
+    files = spark.table("staging.clean_trips").inputFiles()
+    assert files
+    for f in files:
+        ts = pq.read_table(f.replace("file:", ""), columns=["tpep_pickup_datetime"]).column(0).to_pylist()
+        assert ts == sorted(ts)
 
 
 def test_build_as_views(spark):
