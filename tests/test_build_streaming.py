@@ -62,3 +62,5 @@ def test_landing_load_is_incremental(spark, tmpdir_path):
     assert run_landing_load(spark, landing, target, ckpt) == 3
     out = spark.read.parquet(target)
     assert out.count() == 6 and out.select("load_month").distinct().first()[0] == "2024-01"
+    # the file sink's commit log: readers see committed batches only
+    assert os.path.isdir(os.path.join(target, "_spark_metadata"))

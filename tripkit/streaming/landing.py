@@ -6,9 +6,14 @@ files it has already committed; re-running the query with an
 loaded is not fetched again" rule, with exactly-once bookkeeping that
 survives a lost executor or a restarted driver.
 
-Each micro-batch is conformed to the RAW schema by name and appended to the
-RAW table partitioned by pickup month. Files whose physical types differ
-from the declared landing schema must go through the batch loader
+The stream is conformed to the RAW schema by name (a projection) and
+written by Spark's Parquet file sink, partitioned by pickup month. The sink
+commits each micro-batch to its ``_spark_metadata`` log together with the
+source checkpoint, so a batch retried after a failure is never appended
+twice; readers (``spark.read.parquet(target)``) see committed files only.
+The target is therefore owned by the stream: the batch loader writes its
+own table. Files whose physical types differ from the declared landing
+schema must go through the batch loader
 (``tripkit.sources.months.load_months``), which reads each file with its own
 schema.
 """
@@ -33,12 +38,10 @@ def landing_stream(spark: SparkSession, landing_dir: str, schema: T.StructType =
     return r.parquet(landing_dir)
 
 
-def _append_batch(target: str):
-    def write(batch: DataFrame, batch_id: int) -> None:
-        conformed = copy_by_name(batch, TRIPS).withColumn(
-            "load_month", F.date_format("tpep_pickup_datetime", "yyyy-MM"))
-        conformed.write.mode("append").partitionBy("load_month").parquet(target)
-    return write
+def conform_landing(stream: DataFrame) -> DataFrame:
+    """RAW columns by name plus the ``load_month`` partition column."""
+    return copy_by_name(stream, TRIPS).withColumn(
+        "load_month", F.date_format("tpep_pickup_datetime", "yyyy-MM"))
 
 
 def start_landing_load(spark: SparkSession, landing_dir: str, target: str,
@@ -47,9 +50,12 @@ def start_landing_load(spark: SparkSession, landing_dir: str, target: str,
     """Start the incremental load; with ``available_now`` it stops by itself
     once every file present at start is committed."""
     checkpoint = checkpoint or shared_path(spark, "landing_load_checkpoint")
-    w = (landing_stream(spark, landing_dir, schema).writeStream
-         .foreachBatch(_append_batch(target))
-         .option("checkpointLocation", checkpoint))
+    w = (conform_landing(landing_stream(spark, landing_dir, schema)).writeStream
+         .format("parquet")
+         .partitionBy("load_month")
+         .option("path", target)
+         .option("checkpointLocation", checkpoint)
+         .outputMode("append"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
 
