@@ -37,3 +37,23 @@ def test_one_pass_counts(spark):
     n = c.count()
     for name, df in one.items():
         assert df.agg(F.sum("total_trips")).first()[0] == n, name
+
+
+def test_checks_in_the_one_pass_equal_separate_checks(spark):
+    """Staging row checks computed inside the marts' pass give the same
+    failures as a separate scan, with and without a planted fault."""
+    from tripkit.operators.expect import row_check_aggregates, run_tests
+
+    base = clean_trips(trips_view(spark, SF001))
+    # planted faults: negative speed on some rows, NULL duration on others
+    faulty = base.withColumn("avg_speed_mph", F.when(F.col("pickup_hour") == 3, F.lit(-1.0))
+                             .otherwise(F.col("avg_speed_mph"))) \
+        .withColumn("trip_duration_minutes", F.when(F.col("pickup_hour") == 4, F.lit(None).cast("bigint"))
+                    .otherwise(F.col("trip_duration_minutes")))
+    for c in (base, faulty):
+        m = marts.all_marts(c, materialize, extra_aggs=row_check_aggregates("clean_trips"))
+        fused = run_tests(spark, {"clean_trips": c, **m}, counted={"clean_trips": m.pop("extra")})
+        plain = run_tests(spark, {"clean_trips": c, **marts.all_marts(c, materialize)})
+        assert sorted(map(tuple, fused.collect())) == sorted(map(tuple, plain.collect()))
+    failed = {(r.column_name, r.test) for r in fused.collect() if not r.passed}
+    assert failed == {("avg_speed_mph", "accepted_range"), ("trip_duration_minutes", "not_null")}

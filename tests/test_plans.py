@@ -65,3 +65,12 @@ def test_row_counts_scan_raw_for_both_counts_once(spark, capsys):
     # RAW + staging counts in one scan; the marts are counted on the one-pass
     # aggregate, written when the query is built
     assert len(raw_scans) == 1
+
+
+def test_data_tests_scan_raw_once(spark, capsys):
+    import re
+    out = plan(REGISTRY["run_tests"](spark, SF001), capsys)
+    # the staging checks were counted in the marts' one pass (written when
+    # the query is built); the final plan reads only that written aggregate
+    raw_scans = [m for m in re.findall(r"^ReadSchema: (.*)$", out, re.M) if "tpep_pickup_datetime" in m]
+    assert raw_scans == []

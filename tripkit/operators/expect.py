@@ -76,8 +76,28 @@ def _label(r: Rule) -> str:
     return r.test
 
 
-def run_tests(spark: SparkSession, tables: dict[str, DataFrame], rules=RULES) -> DataFrame:
-    """(model, column_name, test, failures, passed) for every rule, in rule order."""
+def row_check_aggregates(model: str, rules=RULES) -> list[Column]:
+    """The not_null / accepted_range checks of one model as aggregates
+    ``count_if(failure) AS c<rule index>``, to compute in another pass over
+    the same rows (see ``run_tests(counted=...)``)."""
+    out = []
+    for i, r in enumerate(rules):
+        if r.model != model or r.test == "unique":
+            continue
+        fail = (not_null_failure(r.column) if r.test == "not_null"
+                else accepted_range_failure(r.column, r.min_value, r.max_value))
+        out.append(F.count_if(fail).alias(f"c{i}"))
+    return out
+
+
+def run_tests(spark: SparkSession, tables: dict[str, DataFrame], rules=RULES,
+              counted: dict[str, DataFrame] | None = None) -> DataFrame:
+    """(model, column_name, test, failures, passed) for every rule, in rule order.
+
+    ``counted`` maps a model to a one-row DataFrame of its row-check failure
+    counts (columns ``c<rule index>``, from ``row_check_aggregates``) already
+    computed elsewhere, so that model is not scanned again for them.
+    """
     parts = []
     by_model: dict[str, list[tuple[int, Rule]]] = {}
     for i, r in enumerate(rules):
@@ -86,12 +106,10 @@ def run_tests(spark: SparkSession, tables: dict[str, DataFrame], rules=RULES) ->
         df = tables[model]
         row_checks = [(i, r) for i, r in rs if r.test != "unique"]
         if row_checks:
-            aggs = []
-            for i, r in row_checks:
-                fail = (not_null_failure(r.column) if r.test == "not_null"
-                        else accepted_range_failure(r.column, r.min_value, r.max_value))
-                aggs.append(F.count_if(fail).alias(f"c{i}"))
-            fused = df.agg(*aggs)
+            if counted and model in counted:
+                fused = counted[model]
+            else:
+                fused = df.agg(*row_check_aggregates(model, rules))
             entries = [F.struct(F.lit(i).alias("rule_order"), F.lit(r.model).alias("model"),
                                 F.lit(r.column).alias("column_name"), F.lit(_label(r)).alias("test"),
                                 F.col(f"c{i}").cast("bigint").alias("failures"))

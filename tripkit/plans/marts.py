@@ -78,7 +78,7 @@ def _gid(keys) -> int:
     return sum(1 << (n - 1 - i) for i, k in enumerate(_KEYS) if k not in keys)
 
 
-def all_marts(clean: DataFrame, materialize=None) -> dict[str, DataFrame]:
+def all_marts(clean: DataFrame, materialize=None, extra_aggs=None) -> dict[str, DataFrame]:
     """The four marts from ONE scan of the staging table and one shuffle.
 
     ``GROUPING SETS ((date), (zone), (hour), (category, day type))`` expands
@@ -87,7 +87,15 @@ def all_marts(clean: DataFrame, materialize=None) -> dict[str, DataFrame]:
     is tiny. ``materialize`` (e.g. ``tripkit.session.materialize``) writes it
     once so the four marts are cheap filters of a stored table; without it
     each mart re-runs the single-pass plan.
+
+    ``extra_aggs`` are more count-like aggregates over the staging rows
+    (e.g. the data tests' failure counts) computed in the same pass; they
+    may use the measure columns selected below. Each
+    grouping set covers every row exactly once, so their totals are the sums
+    over one set's groups (the hours); they are returned as a one-row
+    DataFrame under ``"extra"``.
     """
+    extra_aggs = list(extra_aggs or [])
     keyed = clean.select(
         F.to_date(PICKUP).alias("pickup_date"), F.col("pulocationid").alias("pickup_zone"),
         "pickup_hour", "distance_category", "day_type", "trip_distance", "total_amount",
@@ -101,6 +109,7 @@ def all_marts(clean: DataFrame, materialize=None) -> dict[str, DataFrame]:
         F.avg("tip_percentage").alias("avg_tip_percentage"),
         F.avg("avg_speed_mph").alias("avg_speed"),
         F.avg("trip_duration_minutes").alias("avg_duration"),
+        *extra_aggs,
     )
     if materialize is not None:
         agg = materialize(agg)
@@ -108,7 +117,9 @@ def all_marts(clean: DataFrame, materialize=None) -> dict[str, DataFrame]:
     def part(name):
         return agg.filter(F.col("_gid") == _gid(_SETS[name]))
 
-    return {
+    out = {} if not extra_aggs else {"extra": part("hourly_patterns").agg(*[
+        F.sum(n).cast("bigint").alias(n) for n in agg.columns[-len(extra_aggs):]])}
+    return out | {
         "daily_summary": part("daily_summary").select(
             "pickup_date", "total_trips", "avg_distance", "total_revenue", "avg_revenue", "avg_tip_percentage"),
         "zone_analysis": popularity_rank(part("zone_analysis").select(
