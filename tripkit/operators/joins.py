@@ -12,15 +12,16 @@ from ..functions.derive import coalesce_name
 BROADCAST_MAX_ROWS = 100_000
 
 
-def bounded_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def bounded_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                      known_rows: int | None = None) -> DataFrame:
     """Broadcast hint on ``dim`` if it has at most ``max_rows`` rows.
 
-    The count runs on the dimension only. Above the bound the side is left
-    to the planner (shuffle join), so memory never depends on data growth.
+    The count runs on the dimension only (``known_rows`` passes a count the
+    caller already took). Above the bound the side is left to the planner
+    (shuffle join), so memory never depends on data growth.
     """
-    if dim.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(dim)
-    return dim
+    n = dim.limit(max_rows + 1).count() if known_rows is None else known_rows
+    return F.broadcast(dim) if n <= max_rows else dim
 
 
 def zone_name_lookup(df: DataFrame, zones: DataFrame, id_col: str = "zone_id",

@@ -34,7 +34,8 @@ def zones_fixture(spark: SparkSession, sf_dir: str, n_zones: int = N_ZONES) -> D
     n = nation.count()  # the modulus of the naming rule; one tiny job
     ids = spark.range(1, n_zones + 1).select(F.col("id").alias("location_id"))
     # broadcast only behind the row-count bound (nation is 25 rows in TPC-H)
-    named = ids.join(bounded_broadcast(nation), F.col("n_nationkey") == (F.col("location_id") - 1) % n, "left")
+    named = ids.join(bounded_broadcast(nation, known_rows=n),
+                     F.col("n_nationkey") == (F.col("location_id") - 1) % n, "left")
     name = F.when(F.col("location_id") % 3 == 0,
                   F.concat(F.col("n_name"), F.lit(" "), F.col("location_id").cast("string"))) \
         .otherwise(F.col("n_name"))
