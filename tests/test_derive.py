@@ -5,7 +5,8 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tripkit.functions import derive as D
-from tripkit.functions.dates import date_label, day_name, epoch_repair, iso_weekday, month_period, shift_months, to_epoch
+from tripkit.functions.dates import (clamp_dates, date_label, day_name, epoch_repair, iso_weekday, month_period,
+                                    shift_months, to_epoch)
 
 
 def ts(s):
@@ -77,6 +78,13 @@ def test_speed_and_dates(spark):
     assert r.s == dt.date(2024, 2, 29) and r.m == "2024-03" and r.l == "31 Mar 2024" and r.l2 == "Mar 2024"
 
 
+def test_clamp_dates(spark):
+    lo, hi = dt.date(2024, 1, 10), dt.date(2024, 6, 30)
+    df = spark.createDataFrame([(dt.date(2024, 1, 1),), (dt.date(2024, 3, 15),), (dt.date(2025, 1, 1),), (None,)], "d date")
+    got = [r.c for r in df.select(clamp_dates("d", F.lit(lo), F.lit(hi)).alias("c")).collect()]
+    assert got == [lo, dt.date(2024, 3, 15), hi, None]
+
+
 def test_epoch_repair_units(spark):
     df = spark.createDataFrame([(1704067200123456, 1704067200, 1704067200123)], "us bigint, s bigint, ms bigint")
     r = df.select(epoch_repair("us").alias("a"), epoch_repair("s", "s").alias("b"),

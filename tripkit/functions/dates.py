@@ -42,7 +42,10 @@ def shift_months(d, k) -> Column:
 
 
 def clamp_dates(d, lo, hi) -> Column:
-    return F.least(F.greatest(_c(d), _c(lo)), _c(hi))
+    """d limited to [lo, hi]; a NULL date stays NULL (``greatest``/``least``
+    alone skip NULLs and would return a bound)."""
+    x = _c(d)
+    return F.when(x.isNotNull(), F.least(F.greatest(x, _c(lo)), _c(hi)))
 
 
 def epoch_repair(raw, unit: str = "us") -> Column:
