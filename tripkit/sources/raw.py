@@ -84,15 +84,17 @@ def is_complete(spark: SparkSession, path: str) -> bool:
         return False
 
 
-# One DataFrame per (session, RAW folder): reusing it reuses its file index,
-# so repeated queries in a session do not list the folder again.
-_OPEN: dict[tuple[int, str], DataFrame] = {}
+# One DataFrame per (application, RAW folder): reusing it reuses its file
+# index, so repeated queries in a session do not list the folder again. The
+# application id (not the Python object id, which a later session may reuse)
+# keeps a stopped session's DataFrame from being handed to a new one.
+_OPEN: dict[tuple[str, str], DataFrame] = {}
 
 
 def raw_trips(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> DataFrame:
     """The 19-column RAW table for ``sf_dir`` (built on first use)."""
     path = raw_location(spark, sf_dir)
-    key = (id(spark), path)
+    key = (spark.sparkContext.applicationId, path)
     if not rebuild and key in _OPEN:
         return _OPEN[key]
     if rebuild or not is_complete(spark, path):
