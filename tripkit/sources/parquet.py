@@ -70,6 +70,10 @@ def _read_footers(batches):
         keys, errors = [], []
         for uri in b["path"]:
             try:
+                # Hadoop's S3 schemes name the same store Arrow calls s3://
+                for hadoop_scheme in ("s3a://", "s3n://"):
+                    if uri.startswith(hadoop_scheme):
+                        uri = "s3://" + uri[len(hadoop_scheme):]
                 filesystem, rel = pafs.FileSystem.from_uri(uri)
                 keys.append(_arrow_schema_key(pq.read_schema(rel, filesystem=filesystem)))
                 errors.append(None)
