@@ -116,3 +116,37 @@ def test_payment_split_exact_sums_to_100(spark):
     assert abs(sum(r.share for r in rows) - 100.0) < 1e-9
     card = DB.dash_profile(trips_view(spark, SF001)).first().pct_carte
     assert abs(rows[0].share - card) < 1e-12
+
+
+def _settled(df):
+    cols = sorted(df.columns)
+    return sorted((tuple(round(v, 6) if isinstance(v, float) else v for v in r)
+                   for r in df.select(*cols).collect()), key=repr)
+
+
+def test_dashboard_load_one_scan_equals_four_queries(spark, capsys):
+    """The four dashboard queries from one GROUPING SETS scan equal the
+    one-query forms (up to float rounding), on the whole window and on an
+    empty one, and the plan scans the trips once."""
+    import re
+
+    from conftest import SF01
+    from tripkit.session import materialize
+    from tripkit.sources.raw import raw_trips
+
+    t = raw_trips(spark, SF01)
+    single = {"dash_daily": DB.dash_daily, "dash_hourly": DB.dash_hourly,
+              "dash_zones": DB.dash_zones, "dash_profile": DB.dash_profile}
+    for window in [(), ("2026-01-01", "2026-07-01"), ("1990-01-01", "1990-02-01")]:
+        one = DB.dashboard_load(t, *window, materialize=materialize)
+        for name, fn in single.items():
+            sep = fn(t, *window)
+            assert one[name].columns == sep.columns, name
+            assert [f.dataType for f in one[name].schema] == [f.dataType for f in sep.schema], name
+            assert _settled(one[name]) == _settled(sep), (name, window)
+    empty = DB.dashboard_load(t, "1990-01-01", "1990-02-01")["dash_profile"].collect()
+    assert len(empty) == 1 and empty[0].total_trips == 0 and empty[0].avg_fare is None
+    capsys.readouterr()
+    DB.dashboard_load(t)["dash_profile"].explain(mode="formatted")
+    out = capsys.readouterr().out
+    assert len(re.findall(r"^\(\d+\) Scan parquet", out, re.M)) == 1 and "Expand" in out

@@ -106,6 +106,92 @@ def dash_profile(trips: DataFrame, start: str = FL.WINDOW_START,
     )
 
 
+def dashboard_load(trips: DataFrame, start: str = FL.WINDOW_START,
+                   end_exclusive: str = FL.WINDOW_END_EXCLUSIVE, k: int = TOP_ZONES,
+                   jfk=JFK_ZONES, lga=LGA_ZONES, materialize=None) -> dict[str, DataFrame]:
+    """The dashboard's four RAW queries (``dash_daily``, ``dash_hourly``,
+    ``dash_zones``, ``dash_profile``) from ONE scan of the trips.
+
+    ``GROUPING SETS ((date), (hour), (zone))`` over the shared filtered base;
+    the positive-total rule of the daily view and the profile becomes
+    conditional aggregates. The one-row profile is re-aggregated from
+    decomposable sums and counts over the 24 hour groups (every set covers
+    each trip once), so it has one row even on an empty window, as a global
+    aggregate does. ``materialize`` writes the grouped result once; the four
+    outputs are then small reads of it. Averages are sum / count in another
+    addition order than the one-query forms: equal up to float rounding.
+    """
+    pos = F.coalesce(FL.positive_total(), F.lit(False))
+    keyed = dash_base(trips, start, end_exclusive).select(
+        D.pickup_date().alias("pickup_date"), D.pickup_hour().alias("pickup_hour"),
+        F.col("pulocationid").alias("zone_id"), pos.alias("_pos"),
+        "trip_distance", "total_amount", D.tip_pct_nullif().alias("_tip"), "tip_amount",
+        "payment_type", "passenger_count", _touches(jfk).alias("_jfk"), _touches(lga).alias("_lga"))
+    p = F.col("_pos")
+
+    def on_pos(c):
+        return F.when(p, F.col(c) if isinstance(c, str) else c)
+
+    sums = {}   # decomposable parts of the profile, per group
+    for name, col in (("dist", "trip_distance"), ("tip", "_tip"), ("pass", "passenger_count")):
+        sums[f"s_{name}"] = F.sum(on_pos(col))
+        sums[f"n_{name}"] = F.count(on_pos(col))
+    for name, cond in (("tipped", F.col("tip_amount") > 0), ("card", F.col("payment_type") == CARD_PAYMENT),
+                       ("jfk", F.col("_jfk")), ("lga", F.col("_lga"))):
+        sums[f"c_{name}"] = F.count_if(p & cond)
+    keys = ("pickup_date", "pickup_hour", "zone_id")
+    agg = keyed.groupingSets([["pickup_date"], ["pickup_hour"], ["zone_id"]], *keys).agg(
+        F.grouping_id().alias("_gid"),
+        # all trips of the window (hourly, zones)
+        *_trip_metrics(),
+        F.avg("total_amount").alias("avg_fare"),
+        F.avg("_tip").alias("avg_tip_pct"),
+        F.avg("trip_distance").alias("avg_distance"),
+        # trips with a positive total (daily, profile)
+        F.count_if(p).alias("pos_trips"),
+        F.sum(on_pos("total_amount")).alias("pos_revenue"),
+        F.avg(on_pos("trip_distance")).alias("pos_avg_distance"),
+        F.avg(on_pos("total_amount")).alias("pos_avg_fare"),
+        F.avg(on_pos("_tip")).alias("pos_avg_tip_pct"),
+        *[v.alias(n) for n, v in sums.items()],
+    )
+    if materialize is not None:
+        agg = materialize(agg, "dashboard_load")
+
+    def part(key):
+        # grouping_id bit i (most significant first) is 1 when key i is not grouped
+        gid = sum(1 << (len(keys) - 1 - i) for i, kk in enumerate(keys) if kk != key)
+        return agg.filter(F.col("_gid") == gid)
+
+    daily = part("pickup_date").filter(F.col("pos_trips") > 0).select(
+        "pickup_date", F.col("pos_trips").alias("total_trips"), F.col("pos_revenue").alias("total_revenue"),
+        F.col("pos_avg_distance").alias("avg_distance"), F.col("pos_avg_fare").alias("avg_fare"),
+        F.col("pos_avg_tip_pct").alias("avg_tip_pct"))
+    hourly = part("pickup_hour").select(
+        "pickup_hour", "total_trips", "total_revenue", "avg_fare", "avg_tip_pct", "avg_distance"
+    ).withColumn("tranche", D.tranche("pickup_hour"))
+    zones = top_k(part("zone_id").select(
+        "zone_id", "total_trips", "total_revenue", "avg_fare", "avg_distance", "avg_tip_pct"),
+        "total_trips", k, "zone_id")
+
+    def ratio(s_col, n_col):
+        return F.sum(s_col) / F.nullif(F.sum(n_col).cast("double"), F.lit(0.0))
+
+    n = F.coalesce(F.sum("pos_trips"), F.lit(0)).cast("bigint")
+    profile = part("pickup_hour").agg(
+        n.alias("total_trips"),
+        ratio("s_dist", "n_dist").alias("avg_distance"),
+        ratio("pos_revenue", "pos_trips").alias("avg_fare"),
+        ratio("s_tip", "n_tip").alias("avg_tip_pct"),
+        share_pct(F.sum("c_tipped"), n).alias("pct_avec_pourboire"),
+        share_pct(F.sum("c_card"), n).alias("pct_carte"),
+        share_pct(F.sum("c_jfk"), n).alias("pct_aeroport_jfk"),
+        share_pct(F.sum("c_lga"), n).alias("pct_aeroport_lga"),
+        ratio("s_pass", "n_pass").alias("avg_passagers"),
+    )
+    return {"dash_daily": daily, "dash_hourly": hourly, "dash_zones": zones, "dash_profile": profile}
+
+
 def complete_days(daily: DataFrame, last_day: str = FL.LAST_DAY,
                   ratio: float = FL.INCOMPLETE_RATIO) -> DataFrame:
     """Drop unparseable dates, days after ``last_day`` and days under
