@@ -12,6 +12,14 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else F.lit(x)
 
 
+def _round_via_decimal(x, scale: int, decimal_type: str) -> Column:
+    """Half-up ROUND through ``decimal_type``; a value the decimal cannot hold
+    (too large, NaN, infinite) is rounded as a double instead of raising an
+    ANSI cast error, so one absurd row cannot fail a whole job."""
+    c = _c(x)
+    return F.coalesce(F.round(c.try_cast(decimal_type), scale).cast("double"), F.round(c, scale))
+
+
 def dec_round(x, scale: int, via_scale: int = 9) -> Column:
     """ROUND(x, scale) with half-up on the decimal value, returned as DOUBLE.
 
@@ -19,12 +27,12 @@ def dec_round(x, scale: int, via_scale: int = 9) -> Column:
     representation; going through DECIMAL(38, via_scale) first makes halves
     round away from zero the way a warehouse ROUND on NUMBER does.
     """
-    return F.round(_c(x).cast(f"decimal(38,{via_scale})"), scale).cast("double")
+    return _round_via_decimal(x, scale, f"decimal(38,{via_scale})")
 
 
 def round_pct(x, scale: int = 2) -> Column:
     """Percentage rounded the way the staging model rounds tip_percentage."""
-    return F.round(_c(x).cast("decimal(18,6)"), scale).cast("double")
+    return _round_via_decimal(x, scale, "decimal(18,6)")
 
 
 def safe_div(num, den) -> Column:

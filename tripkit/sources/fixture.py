@@ -33,6 +33,14 @@ def _double(x) -> Column:
     return (x if isinstance(x, Column) else F.lit(x)).cast("double")
 
 
+def _zone_mod(pk: Column, ok: Column, m: int = 263) -> Column:
+    """(pk*pk + ok) % m, reduced before multiplying: the same value for the
+    non-negative TPC-H keys, but pk*pk overflows BIGINT (an error under ANSI)
+    once part keys pass ~3e9, i.e. at the 100 TB scale factors."""
+    r = pk % m
+    return (r * r + ok % m) % m
+
+
 def trips_from_lines(lines: DataFrame) -> DataFrame:
     """Map joined (lineitem, o_orderdate) rows to the 19 RAW columns."""
     ok, pk, sk, ln = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
@@ -52,7 +60,7 @@ def trips_from_lines(lines: DataFrame) -> DataFrame:
         F.when(every7, F.lit(None)).otherwise(_double(1 + sk % 6)).alias("ratecodeid"),
         F.when(every7, F.lit(None)).otherwise(F.col("l_linestatus")).alias("store_and_fwd_flag"),
         F.when(ok % 53 == 0, F.lit(None))
-         .otherwise((1 + (pk * pk + ok) % 263).cast("bigint")).alias("pulocationid"),
+         .otherwise((1 + _zone_mod(pk, ok)).cast("bigint")).alias("pulocationid"),
         F.when(ok % 59 == 0, F.lit(None))
          .otherwise((1 + (sk * 7 + pk) % 263).cast("bigint")).alias("dolocationid"),
         (1 + ok % 4).cast("bigint").alias("payment_type"),
