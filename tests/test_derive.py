@@ -85,6 +85,13 @@ def test_clamp_dates(spark):
     assert got == [lo, dt.date(2024, 3, 15), hi, None]
 
 
+def test_epoch_repair_out_of_range_is_null(spark):
+    df = spark.createDataFrame([(9_000_000_000_000_000_000,), (300_000_000_000,), (-1,), (None,)], "v bigint")
+    rows = df.select(epoch_repair("v", "s").alias("s"), epoch_repair("v").alias("us")).collect()
+    assert [r.s for r in rows] == [None, None, dt.datetime(1969, 12, 31, 23, 59, 59), None]
+    assert rows[1].us == dt.datetime(1970, 1, 4, 11, 20) and rows[0].us is None
+
+
 def test_epoch_repair_units(spark):
     df = spark.createDataFrame([(1704067200123456, 1704067200, 1704067200123)], "us bigint, s bigint, ms bigint")
     r = df.select(epoch_repair("us").alias("a"), epoch_repair("s", "s").alias("b"),

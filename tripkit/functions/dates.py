@@ -48,6 +48,11 @@ def clamp_dates(d, lo, hi) -> Column:
     return F.when(x.isNotNull(), F.least(F.greatest(x, _c(lo)), _c(hi)))
 
 
+# Microseconds since 1970-01-01 of 0001-01-01 00:00 and 9999-12-31 23:59:59.999999.
+_MIN_MICROS = -62_135_596_800_000_000
+_MAX_MICROS = 253_402_300_799_999_999
+
+
 def epoch_repair(raw, unit: str = "us") -> Column:
     """TIMESTAMP_NTZ from an integer count since 1970-01-01 in ``unit``.
 
@@ -55,8 +60,12 @@ def epoch_repair(raw, unit: str = "us") -> Column:
     that a loader took for seconds). No session time zone is involved.
     """
     per = _UNIT_MICROS[unit]
-    micros = _c(raw).cast("bigint") * F.lit(per) if per != 1 else _c(raw).cast("bigint")
-    return F.timestamp_add("MICROSECOND", micros, _epoch_ntz())
+    raw_l = _c(raw).cast("bigint")
+    # try_multiply: an absurd count in a dirty file gives NULL, not an ANSI
+    # overflow error; so does anything outside years 1..9999
+    micros = F.try_multiply(raw_l, F.lit(per).cast("bigint")) if per != 1 else raw_l
+    in_range = micros.between(F.lit(_MIN_MICROS), F.lit(_MAX_MICROS))
+    return F.when(in_range, F.timestamp_add("MICROSECOND", micros, _epoch_ntz()))
 
 
 def to_epoch(ts, unit: str = "us") -> Column:
