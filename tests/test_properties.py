@@ -112,3 +112,19 @@ def test_calendar_columns(spark, stamps):
         assert (r.h, r.dow, r.mo, r.d) == (t.hour, want_dow, t.month, t.date())
         assert r.dt == ("Weekend" if want_dow in (0, 6) else "Jours de semaine")
         assert (r.tp, r.tr) == (py_time_period(t.hour), py_tranche(t.hour))
+
+
+@SETTINGS
+@given(st.lists(st.datetimes(min_value=dt.datetime(1900, 1, 1), max_value=dt.datetime(2100, 12, 31)),
+                min_size=1, max_size=200))
+def test_epoch_round_trip(spark, stamps):
+    """epoch_repair inverts to_epoch in every unit (to the unit's precision)."""
+    from tripkit.functions.dates import epoch_repair, to_epoch
+
+    df = spark.createDataFrame([(t,) for t in stamps], "t timestamp_ntz")
+    cols = [epoch_repair(to_epoch("t", u), u).alias(u) for u in ("us", "ms", "s")]
+    rows = df.select(*cols).collect()
+    for t, r in zip(stamps, rows):
+        assert r.us == t
+        assert r.ms == t.replace(microsecond=t.microsecond // 1000 * 1000)
+        assert r.s == t.replace(microsecond=0)
