@@ -117,8 +117,9 @@ def all_marts(clean: DataFrame, materialize=None, extra_aggs=None) -> dict[str,
     def part(name):
         return agg.filter(F.col("_gid") == _gid(_SETS[name]))
 
+    # coalesce: on empty staging there are no hour groups, and a count is 0
     out = {} if not extra_aggs else {"extra": part("hourly_patterns").agg(*[
-        F.sum(n).cast("bigint").alias(n) for n in agg.columns[-len(extra_aggs):]])}
+        F.coalesce(F.sum(n), F.lit(0)).cast("bigint").alias(n) for n in agg.columns[-len(extra_aggs):]])}
     return out | {
         "daily_summary": part("daily_summary").select(
             "pickup_date", "total_trips", "avg_distance", "total_revenue", "avg_revenue", "avg_tip_percentage"),
