@@ -101,6 +101,14 @@ def test_scan_glob_groups_many_files(spark, tmpdir_path):
     with pytest.raises(Exception):
         scan_parquet_glob(spark, os.path.join(root, "*.parquet")).count()
     assert len(glob.glob(os.path.join(root, "*.parquet"))) == 41
+    # all files alike: the glob is scanned as given
+    same = os.path.join(tmpdir_path, "same")
+    os.makedirs(same)
+    for i in range(6):
+        pq.write_table(pa.table(_base(3, 1 + i)), os.path.join(same, f"m_{i}.parquet"))
+    df = scan_parquet_glob(spark, os.path.join(same, "*.parquet"))
+    assert df.columns == TRIPS_NAMES and df.count() == 18
+    assert df.filter(F.col("airport_fee") == 1.75).count() == 18
 
 
 def test_load_months_isolates_bad_file(spark, tmpdir_path):

@@ -103,13 +103,20 @@ def scan_parquet_glob(spark: SparkSession, path_glob: str | list[str],
 
     Files sharing a physical schema are read by one scan, so a thousand
     same-typed monthly files cost one plan node, not a thousand. Footers are
-    read by Spark tasks (``file_schemas``); only the file list of each
+    read by Spark tasks (``file_schemas``). When all files share one schema
+    the given paths are scanned as they are; otherwise the file list of each
     schema group comes back to the driver, which needs it to plan the scans.
     A file whose footer a task could not open (a filesystem scheme Arrow does
     not know) has its schema read by Spark on the driver instead; an
     unreadable file fails the scan, as a plain Parquet read would.
     """
     listed = file_schemas(spark, path_glob)
+    # one small row per physical schema first; the usual case (every file
+    # alike) scans the given paths or globs and ships no file list at all
+    kinds = listed.groupBy("schema_key").agg(F.count(F.lit(1)).alias("n_files")).collect()
+    if len(kinds) == 1 and kinds[0].schema_key is not None:
+        paths = list(path_glob) if isinstance(path_glob, (list, tuple)) else [path_glob]
+        return copy_by_name(spark.read.parquet(*paths), schema)
     grouped = (listed.groupBy("schema_key")
                .agg(F.sort_array(F.collect_list("path")).alias("paths"))
                .collect())
