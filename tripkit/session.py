@@ -78,14 +78,18 @@ def materialize(df, name: str = "result"):
 
     Cuts the lineage with one computation (an eager ``checkpoint()`` of an
     unpersisted plan computes it twice). Meant for small aggregates that many
-    later steps and scalar subqueries read.
+    later steps and scalar subqueries read. Files go to
+    ``<spark.checkpoint.dir>/tripkit_tmp/<application id>/``.
     """
     import uuid
 
     from pyspark.sql.types import StructField, StructType
 
     spark = df.sparkSession
-    path = shared_path(spark, f"tripkit_tmp/{name}-{uuid.uuid4().hex}")
+    # one folder per application (as Spark's own checkpoints): a finished
+    # application's intermediates are removed as one unit by retention
+    app = spark.sparkContext.applicationId
+    path = shared_path(spark, f"tripkit_tmp/{app}/{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
     # The schema is known: reading with it skips the footer-inference job.
     # Columns come back nullable, as an inferred Parquet schema would be.
