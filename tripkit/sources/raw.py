@@ -4,8 +4,9 @@ The reference loads its files into one RAW table and every model and
 dashboard query reads that table. Here the RAW table for a folder of driver
 tables is built by Spark from the ``trips`` fixture and written as Parquet
 under the shared checkpoint folder (``spark.checkpoint.dir``), partitioned
-by ranges of pickup time and sorted inside each file, so date-window filters
-skip whole files and row groups. Later queries read the written
+by ranges of pickup time and sorted inside each file, so each scan task
+reads only the row groups a date window can match (none of a file outside
+it). Later queries read the written
 table: no lineage back to the join, nothing recomputed after a lost
 executor.
 """
@@ -62,7 +63,8 @@ def write_raw(trips: DataFrame, path: str, n_partitions: int | None = None) -> N
     Range bounds come from a sample, so a month holding a third of all trips
     is split over many tasks; each output file covers a narrow time range,
     which gives Parquet min/max statistics that let date-window filters skip
-    files and row groups. No partition directories: nothing to list.
+    row groups (all of a file outside the window). No partition directories:
+    nothing to list.
     ``n_partitions`` sizes the tasks to the input (see ``partitions_for``).
     """
     ranged = (trips.repartitionByRange(n_partitions, "tpep_pickup_datetime") if n_partitions
