@@ -2,7 +2,9 @@
 
 ``run_tests`` evaluates a rule list against named tables. All not_null and
 accepted_range checks on one table are fused into a single aggregate; each
-unique check is one grouped count. Failures are reported, never raised.
+unique check is one grouped count, and a table with one unique check gets its
+row checks inside that grouped count (one read of the table). Failures are
+reported, never raised.
 """
 
 from __future__ import annotations
@@ -105,17 +107,27 @@ def run_tests(spark: SparkSession, tables: dict[str, DataFrame], rules=RULES,
     for model, rs in by_model.items():
         df = tables[model]
         row_checks = [(i, r) for i, r in rs if r.test != "unique"]
+        uniques = [(i, r) for i, r in rs if r.test == "unique"]
+        # One unique rule: its grouped count also carries the row checks
+        # (their totals are sums over the groups), so the table is read once.
+        one_pass = len(uniques) == 1 and not (counted and model in counted)
+        if one_pass:
+            (ui, ur), = uniques
+            groups = df.groupBy(ur.column).agg(F.count(F.lit(1)).alias("_n"), *row_check_aggregates(model, rules))
+            fused = groups.agg(
+                F.count_if(F.col(ur.column).isNotNull() & (F.col("_n") > 1)).alias(f"c{ui}"),
+                *[F.coalesce(F.sum(f"c{i}"), F.lit(0)).alias(f"c{i}") for i, _ in row_checks])
+            row_checks = sorted(row_checks + uniques)
         if row_checks:
-            if counted and model in counted:
-                fused = counted[model]
-            else:
-                fused = df.agg(*row_check_aggregates(model, rules))
+            if not one_pass:
+                fused = counted[model] if counted and model in counted else \
+                    df.agg(*row_check_aggregates(model, rules))
             entries = [F.struct(F.lit(i).alias("rule_order"), F.lit(r.model).alias("model"),
                                 F.lit(r.column).alias("column_name"), F.lit(_label(r)).alias("test"),
                                 F.col(f"c{i}").cast("bigint").alias("failures"))
                        for i, r in row_checks]
             parts.append(fused.select(F.inline(F.array(*entries))))
-        for i, r in rs:
+        for i, r in ([] if one_pass else rs):
             if r.test == "unique":
                 n = test_unique(df, r.column).agg(F.count(F.lit(1)).cast("bigint").alias("failures"))
                 parts.append(n.select(F.lit(i).alias("rule_order"), F.lit(r.model).alias("model"),
