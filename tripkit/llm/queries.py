@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, language_id
+from . import exact_dedup, language_id, packing, token_files
 
 QUERIES = {
+    "op1_packing": packing.op1_packing,
     "op2_exact_dedup": exact_dedup.op2_exact_dedup,
+    "op6_token_files": token_files.op6_token_files,
     "op8_language_id": language_id.op8_language_id,
 }
 ORACLE_SQL = {"op2_exact_dedup": exact_dedup.ORACLE}
