@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, language_id, packing, token_files
+from . import exact_dedup, jaccard_join, language_id, packing, piece_encoding, quality_classifier, quality_rules, token_files
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
     "op2_exact_dedup": exact_dedup.op2_exact_dedup,
+    "op3_quality_classifier": quality_classifier.op3_quality_classifier,
+    "op4_piece_encoding": piece_encoding.op4_piece_encoding,
+    "op5_quality_rules": quality_rules.op5_quality_rules,
     "op6_token_files": token_files.op6_token_files,
     "op8_language_id": language_id.op8_language_id,
+    "op9_jaccard_join": jaccard_join.op9_jaccard_join,
 }
 ORACLE_SQL = {"op2_exact_dedup": exact_dedup.ORACLE}
