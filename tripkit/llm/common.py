@@ -82,3 +82,14 @@ def split_heavy(groups: DataFrame, count_col: str, total: int, at_most: int = 10
     """
     heavy = F.col(count_col) * at_most >= max(total, 1)
     return groups.filter(heavy), groups.filter(~heavy)
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, key: str, count_col: str, total: int, how: str = "left") -> DataFrame:
+    """``rows`` joined to ``groups`` (one row a key, with the number of its rows) without a hot key in the shuffle: heavy
+    groups are broadcast, at most 10,000 of them. The groups' other columns come with the rows, ``count_col`` does not."""
+    heavy, light = split_heavy(groups, count_col, total)
+    mark = F.lit(True).alias("_heavy")
+    told = rows.join(F.broadcast(heavy.drop(count_col).select("*", mark)), key, "left")
+    extra = [c for c in groups.columns if c not in (key, count_col)]
+    rest = told.filter("_heavy is null").drop("_heavy", *extra).join(light.drop(count_col), key, how)
+    return told.filter("_heavy").drop("_heavy").unionByName(rest)

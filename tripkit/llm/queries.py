@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, jaccard_join, language_id, lm_scoring, packing, piece_encoding, quality_classifier, quality_rules, token_files
+from . import exact_dedup, jaccard_join, language_id, lm_scoring, packing, pii, piece_encoding, quality_classifier, quality_rules, token_files
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_piece_encoding": piece_encoding.op4_piece_encoding,
     "op5_quality_rules": quality_rules.op5_quality_rules,
     "op6_token_files": token_files.op6_token_files,
+    "op7_pii": pii.op7_pii,
     "op8_language_id": language_id.op8_language_id,
     "op9_jaccard_join": jaccard_join.op9_jaccard_join,
     "op10_lm_scoring": lm_scoring.op10_lm_scoring,
