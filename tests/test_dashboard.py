@@ -62,7 +62,7 @@ def test_top_bottom_ties_keep_earliest(spark):
     top = DB.top_days(days(spark, rows), "total_trips", 3).collect()
     assert [r.pickup_date.day for r in top] == [2, 3, 8]
     bot = DB.bottom_days(days(spark, rows), "total_trips", 3).collect()
-    assert [r.pickup_date.day for r in bot] == [4, 5, 9]
+    assert [r.pickup_date.day for r in bot] == [9, 4, 5]
 
 
 def test_short_series_moving_average(spark):

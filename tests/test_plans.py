@@ -15,12 +15,24 @@ def plan(df, capsys):
 def test_dashboard_filters_reach_the_scan(spark, capsys):
     out = plan(REGISTRY["dash_daily"](spark, SF001), capsys)
     assert "GreaterThan(trip_distance,0.0)" in out
-    assert "GreaterThanOrEqual(tpep_pickup_datetime,2023-01-01T00:00)" in out
-    assert "LessThan(tpep_pickup_datetime,2025-11-01T00:00)" in out
+    assert "GreaterThanOrEqual(pickup_day,2023-01-01)" in out
     read = [l for l in out.splitlines() if l.startswith("ReadSchema")][0]
     assert "vendorid" not in read and "airport_fee" not in read and "passenger_count" not in read
 
 
+def test_date_window_reads_the_pages_of_its_days(spark):
+    """Rows that leave the Parquet scan for one week of about seven years."""
+    from tripkit.operators.filters import filter_date_window
+    from tripkit.sources.raw import raw_trips
+    trips = raw_trips(spark, "/root/testdata/sf0.1", with_day=True)
+    week = filter_date_window(trips, "2024-03-04", "2024-03-11").select("tpep_pickup_datetime", "fare_amount")
+    hits = len(week.collect())
+    plan = week._jdf.queryExecution().executedPlan()
+    scanned = plan.collectLeaves().head().metrics().get("numOutputRows").get().value()
+    total = trips.count()
+    assert 0 < hits <= scanned < total / 10
+
+
 def test_partial_aggregation_before_shuffle(spark, capsys):
     out = plan(REGISTRY["daily_summary"](spark, SF001), capsys)
     assert "partial_count" in out and "partial_avg" in out
@@ -52,8 +64,8 @@ def test_weekly_profile_plans_the_chain_once(spark, capsys):
     import re
     out = plan(REGISTRY["weekly_profile"](spark, SF001), capsys)
     # one scan for the weekly chain and one inside the median subquery of
-    # complete_days; the grand mean of the seven values is a window, not a
-    # second copy of the chain
+    # complete_days (both of the stored daily aggregate); the grand mean of the
+    # seven values is a window, not a second copy of the chain
     assert len(re.findall(r"^\(\d+\) Scan parquet", out, re.M)) == 2
     assert "Window" in out
 

@@ -40,9 +40,9 @@ def test_moving_average_and_top_bottom(spark, series):
     # nlargest / nsmallest select the first (earliest) of rows tied at the cut.
     # pandas leaves the order among equal values unspecified (and the source
     # re-sorts for display), so the selected days are compared as a set; ours
-    # come in a fixed order: value, then earliest date.
-    for got_rows, exp, sign in ((DB.top_days(df, "total_trips").collect(), pdf.nlargest(10, "total_trips"), -1),
-                                (DB.bottom_days(df, "total_trips").collect(), pdf.nsmallest(10, "total_trips"), 1)):
+    # come in display order: by value, then earliest date.
+    for got_rows, exp, sign in ((DB.top_days(df, "total_trips").collect(), pdf.nlargest(10, "total_trips"), 1),
+                                (DB.bottom_days(df, "total_trips").collect(), pdf.nsmallest(10, "total_trips"), -1)):
         assert sorted(r.pickup_date for r in got_rows) == sorted(exp["pickup_date"])
         keys = [(sign * r.value, r.pickup_date) for r in got_rows]
         assert keys == sorted(keys)
@@ -52,16 +52,19 @@ def test_moving_average_and_top_bottom(spark, series):
 @given(SERIES)
 def test_weekly_profile_with_missing_weekdays(spark, series):
     df, pdf = frames(spark, series)
-    days = pd.to_datetime(pdf["pickup_date"])
-    order = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
-    w = pdf.assign(day=days.dt.day_name()).groupby("day")["total_trips"].mean().reindex(order)
-    mean_val = w.mean()
-    got = DB.weekly_profile(df, "total_trips").toPandas()
-    assert list(got["day_name"]) == order
-    for g, e in zip(got["value"], w.values):
-        assert (pd.isna(g) and pd.isna(e)) or abs(g - e) < 1e-9
-    assert abs(got["mean_value"].iloc[0] - mean_val) < 1e-9
-    assert list(got["above_mean"]) == list(w.values >= mean_val)
+    by_weekday = [[] for _ in range(7)]
+    for d, n in zip(pdf["pickup_date"], pdf["total_trips"]):
+        by_weekday[d.weekday()].append(n)
+    means = [sum(v) / len(v) if v else None for v in by_weekday]
+    present = [m for m in means if m is not None]
+    overall = sum(present) / len(present)
+    got = DB.weekly_profile(df, "total_trips").collect()
+    assert [r.iso_dow for r in got] == list(range(1, 8))
+    for r, m in zip(got, means):
+        assert (r.value is None) == (m is None) and (m is None or abs(r.value - m) < 1e-9)
+        assert abs(r.mean_value - overall) < 1e-9
+        if m is None or abs(m - overall) > 1e-9:
+            assert r.above_mean == (m is not None and m > overall)
 
 
 @SETTINGS

@@ -125,6 +125,7 @@ def test_load_months_isolates_bad_file(spark, tmpdir_path):
     data2, _ = load_months(spark, {"2024-01": paths["2024-01"]}, target=target)
     assert data2.count() == 9
     man = month_manifest(data2)
+    assert r["2024-01"].unrepaired == 0
     todo = months_to_load(month_range(spark, "2024-01", "2024-05").select("month"), man)
     assert sorted(x.month for x in todo.collect()) == ["2024-04", "2024-05"]
     flags = {x.month: x.already_loaded for x in
@@ -158,4 +159,93 @@ def test_infer_schema_and_catalog(spark, tmpdir_path):
 def test_create_fixed_schema(spark):
     create_fixed_schema(spark, "raw.trips_fixed")
     cols = spark.table("raw.trips_fixed").columns
-    assert cols[:19] == TRIPS_NAMES and cols[-1] == "load_month"
+    assert cols[:19] == TRIPS_NAMES and cols[-2:] == ["pickup_day", "load_month"]
+
+
+def test_raw_layer_is_filled_and_built_from(spark, tmpdir_path):
+    from tripkit.plans.build import build, row_counts
+    paths = write_months(tmpdir_path)
+    data, rep = load_months(spark, paths, table="raw.trips_filled", truncate=True)
+    assert load_summary(rep).first().total_rows == 9 and spark.table("raw.trips_filled").count() == 9
+    tables = build(spark, spark.table("raw.trips_filled").select(*TRIPS_NAMES))
+    counts = {r.table_name: r.row_count for r in row_counts({"raw": spark.table("raw.trips_filled"), **tables}).collect()}
+    assert counts["raw"] == counts["trips_raw"] == 9 and 0 < counts["clean_trips"] <= 9
+    # a later load adds to the table, and replaces the month it names
+    load_months(spark, {"2024-01": paths["2024-02"]}, table="raw.trips_filled")
+    assert {r.load_month: r["count"] for r in spark.table("raw.trips_filled").groupBy("load_month").count().collect()} == \
+        {"2024-01": 4, "2024-02": 4, "2024-03": 2}
+
+
+def test_uncastable_month_is_isolated(spark, tmpdir_path):
+    paths = write_months(tmpdir_path)
+    cols = _base(5, 5)
+    cols["trip_distance"] = pa.array(["n/a"] * 5)
+    paths["2024-05"] = os.path.join(tmpdir_path, "trips_2024-05.parquet")
+    pq.write_table(pa.table(cols), paths["2024-05"])
+    for target in (None, os.path.join(tmpdir_path, "raw")):
+        data, rep = load_months(spark, paths, target=target)
+        r = {x.month: x for x in rep.collect()}
+        assert [m for m in sorted(r) if r[m].ok] == ["2024-01", "2024-02", "2024-03"] and r["2024-05"].error
+        assert data.count() == 9 and r["2024-01"].rows == 3
+
+
+def test_integer_timestamps_out_of_range_are_counted(spark, tmpdir_path):
+    cols = _base(3, 1)
+    cols["tpep_pickup_datetime"] = pa.array([1_704_096_000_000_000, 2 ** 62, None], pa.int64())
+    path = os.path.join(tmpdir_path, "trips.parquet")
+    pq.write_table(pa.table(cols), path)
+    for target in (None, os.path.join(tmpdir_path, "raw")):
+        _, rep = load_months(spark, {"2024-01": path}, target=target)
+        assert (rep.first().rows, rep.first().unrepaired) == (3, 1)
+
+
+def test_raw_table_follows_its_input(spark, tmpdir_path):
+    """A changed input is built anew, also where only Spark can list it."""
+    from tripkit.sources.raw import raw_trips
+    from conftest import SF001
+    folder = "file://" + os.path.join(tmpdir_path, "sf")
+    lines = spark.read.parquet(f"{SF001}/lineitem.parquet")
+    spark.read.parquet(f"{SF001}/orders.parquet").write.parquet(f"{folder}/orders.parquet")
+    lines.write.parquet(f"{folder}/lineitem.parquet")
+    n = raw_trips(spark, folder).count()
+    assert n == lines.count() and raw_trips(spark, folder).count() == n
+    lines.limit(1000).write.mode("overwrite").parquet(f"{folder}/lineitem.parquet")
+    assert raw_trips(spark, folder).count() == 1000
+
+
+def test_unpublished_build_is_not_read(spark, tmpdir_path):
+    from tripkit.sources.raw import build_once, published
+    root = os.path.join(tmpdir_path, "table")
+
+    def broken(folder):
+        spark.range(3).write.parquet(folder)
+        raise RuntimeError("broke off")
+
+    try:
+        build_once(spark, root, broken)
+    except RuntimeError:
+        pass
+    assert published(spark, root) is None
+    folder = build_once(spark, root, lambda f: spark.range(5).write.parquet(f))
+    assert spark.read.parquet(build_once(spark, root, broken)).count() == 5 and published(spark, root) == folder
+
+
+def test_zone_lookup_file(spark, tmpdir_path):
+    from tripkit.operators.joins import zone_name_lookup
+    from tripkit.sources.zones import zones_from_file
+    path = os.path.join(tmpdir_path, "zones.csv")
+    with open(path, "w") as f:
+        f.write('LocationID,Borough,Zone,service_zone\n132,Queens,JFK Airport,Airports\n138,Queens,"LaGuardia, Airport",Airports\n')
+    zones = zones_from_file(spark, path)
+    named = zone_name_lookup(spark.createDataFrame([(132,), (138,), (7,), (None,)], "zone_id bigint"), zones)
+    assert {r.zone_id: r.zone_name for r in named.collect()} == {132: "JFK Airport", 138: "LaGuardia, Airport", 7: "7", None: None}
+
+
+def test_cluster_without_shared_folder_is_refused(spark):
+    from types import SimpleNamespace
+    import pytest
+    from tripkit.session import ensure_checkpoint_dir
+    conf = SimpleNamespace(get=lambda key, default=None: None)
+    context = SimpleNamespace(getCheckpointDir=lambda: None, getConf=lambda: conf, master="yarn")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(SimpleNamespace(sparkContext=context, conf=conf))

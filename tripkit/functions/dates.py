@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .numeric import _c
 
-def _epoch_ntz() -> Column:
+def epoch_ntz() -> Column:
     return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
 _UNIT_MICROS = {"s": 1_000_000, "ms": 1_000, "us": 1}
@@ -65,11 +65,11 @@ def epoch_repair(raw, unit: str = "us") -> Column:
     # overflow error; so does anything outside years 1..9999
     micros = F.try_multiply(raw_l, F.lit(per).cast("bigint")) if per != 1 else raw_l
     in_range = micros.between(F.lit(_MIN_MICROS), F.lit(_MAX_MICROS))
-    return F.when(in_range, F.timestamp_add("MICROSECOND", micros, _epoch_ntz()))
+    return F.when(in_range, F.timestamp_add("MICROSECOND", micros, epoch_ntz()))
 
 
 def to_epoch(ts, unit: str = "us") -> Column:
     """Inverse of ``epoch_repair`` (floor division for non-micro units)."""
-    micros = F.timestamp_diff("MICROSECOND", _epoch_ntz(), _c(ts))
+    micros = F.timestamp_diff("MICROSECOND", epoch_ntz(), _c(ts))
     per = _UNIT_MICROS[unit]
-    return micros if per == 1 else F.floor(micros / F.lit(per)).cast("bigint")
+    return micros if per == 1 else F.floor(micros.cast("decimal(20,0)") / F.lit(per)).cast("bigint")

@@ -8,15 +8,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .dates import epoch_ntz
 from .numeric import _c, round_pct
 
 PICKUP = "tpep_pickup_datetime"
 DROPOFF = "tpep_dropoff_datetime"
 
-def _epoch_ntz() -> Column:
-    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-
-
 # Labels of the staging categories.
 DIST_SHORT = "Courts trajets"
 DIST_MEDIUM = "Trajets moyens"
@@ -38,9 +35,9 @@ TRANCHE_ELSE = "Soirée (21h-0h)"
 
 def epoch_minute(ts) -> Column:
     """Whole minutes since 1970-01-01 00:00 (floor), for TIMESTAMP_NTZ input."""
-    micros = F.timestamp_diff("MICROSECOND", _epoch_ntz(), _c(ts))
+    micros = F.timestamp_diff("MICROSECOND", epoch_ntz(), _c(ts))
     minute = F.lit(60_000_000)
-    return ((micros - F.pmod(micros, minute)) / minute).cast("bigint")
+    return F.call_function("div", micros - F.pmod(micros, minute), minute)
 
 
 def trip_duration_minutes(t0=PICKUP, t1=DROPOFF) -> Column:

@@ -12,12 +12,12 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else F.lit(x)
 
 
-def _round_via_decimal(x, scale: int, decimal_type: str) -> Column:
-    """Half-up ROUND through ``decimal_type``; a value the decimal cannot hold
-    (too large, NaN, infinite) is rounded as a double instead of raising an
-    ANSI cast error, so one absurd row cannot fail a whole job."""
+def _round_via_decimal(x, scale: int, via_scale: int) -> Column:
+    """Half-up ROUND through DECIMAL(38, via_scale). What that cannot hold is
+    NaN, infinite, or so large that a double has no fraction: such a value is
+    its own rounding and is returned as it is."""
     c = _c(x)
-    return F.coalesce(F.round(c.try_cast(decimal_type), scale).cast("double"), F.round(c, scale))
+    return F.coalesce(F.round(c.try_cast(f"decimal(38,{via_scale})"), scale).cast("double"), c.cast("double"))
 
 
 def dec_round(x, scale: int, via_scale: int = 9) -> Column:
@@ -27,17 +27,12 @@ def dec_round(x, scale: int, via_scale: int = 9) -> Column:
     representation; going through DECIMAL(38, via_scale) first makes halves
     round away from zero the way a warehouse ROUND on NUMBER does.
     """
-    return _round_via_decimal(x, scale, f"decimal(38,{via_scale})")
+    return _round_via_decimal(x, scale, via_scale)
 
 
 def round_pct(x, scale: int = 2) -> Column:
     """Percentage rounded the way the staging model rounds tip_percentage."""
-    return _round_via_decimal(x, scale, "decimal(18,6)")
-
-
-def safe_div(num, den) -> Column:
-    """num / den as DOUBLE, NULL when den is 0 or NULL (NULLIF form)."""
-    return _c(num).cast("double") / F.nullif(_c(den).cast("double"), F.lit(0.0))
+    return _round_via_decimal(x, scale, 6)
 
 
 def share_pct(part, whole) -> Column:

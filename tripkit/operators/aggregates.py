@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import _c, share_pct
+from ..functions.numeric import _c
 
 
 def conditional_sum(pred: Column) -> Column:
@@ -13,12 +13,8 @@ def conditional_sum(pred: Column) -> Column:
     return F.sum(F.when(pred, F.lit(1)).otherwise(F.lit(0))).cast("bigint")
 
 
-def share_of_rows(pred: Column) -> Column:
-    """conditional_sum(pred) * 100 / COUNT(*) as DOUBLE."""
-    return share_pct(conditional_sum(pred), F.count(F.lit(1)))
-
-
 def ratio_of_sums(num, den) -> Column:
+    """sum(num) / sum(den) as DOUBLE, NULL where the divisor is 0 or NULL."""
     return F.sum(_c(num)).cast("double") / F.nullif(F.sum(_c(den)).cast("double"), F.lit(0.0))
 
 

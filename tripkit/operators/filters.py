@@ -1,7 +1,9 @@
 """Row filters and predicates of the staging model and the dashboards.
 
 Predicates compare bare columns against literals so Catalyst can push them
-into the Parquet scan (row-group statistics).
+into the Parquet scan. Parquet statistics prune on the numbers and on the DATE
+column ``pickup_day`` of the stored tables; Spark does not prune on
+TIMESTAMP_NTZ, so a date window tests both the day and the time.
 """
 
 from __future__ import annotations
@@ -59,11 +61,20 @@ def _ts_literal(d: str | _dt.date) -> Column:
     return F.lit(str(d) + " 00:00:00").cast("timestamp_ntz")
 
 
+# The DATE of the pickup, stored beside the RAW columns so that scans prune.
+DAY = "pickup_day"
+
+
 def date_window(start: str = WINDOW_START, end_exclusive: str = WINDOW_END_EXCLUSIVE,
-                col: str = PICKUP) -> Column:
-    """start <= pickup < end, written on the bare timestamp (pushes down)."""
+                col: str = PICKUP, day: str | None = None) -> Column:
+    """start <= pickup < end on the bare timestamp and, where the table has
+    the pickup's DATE column ``day``, on that too (both bounds are midnights)."""
     c = F.col(col)
-    return (c >= _ts_literal(start)) & (c < _ts_literal(end_exclusive))
+    window = (c >= _ts_literal(start)) & (c < _ts_literal(end_exclusive))
+    if day:
+        d = F.col(day)
+        window = (d >= F.lit(str(start)).cast("date")) & (d < F.lit(str(end_exclusive)).cast("date")) & window
+    return window
 
 
 def any_null(cols=None) -> Column:
@@ -71,11 +82,6 @@ def any_null(cols=None) -> Column:
     return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in cols])
 
 
-def in_list(col, values) -> Column:
-    c = F.col(col) if isinstance(col, str) else col
-    return c.isin(list(values))
-
-
 def staging_filter() -> Column:
     """The four staging filters, conjoined."""
     return nonneg_amounts() & ordered_times() & distance_range() & zones_present()
@@ -109,7 +115,7 @@ def filter_positive_total(df: DataFrame) -> DataFrame:
 
 def filter_date_window(df: DataFrame, start: str = WINDOW_START,
                        end_exclusive: str = WINDOW_END_EXCLUSIVE) -> DataFrame:
-    return df.filter(date_window(start, end_exclusive))
+    return df.filter(date_window(start, end_exclusive, day=DAY if DAY in df.columns else None))
 
 
 def filter_any_null(df: DataFrame, cols=None) -> DataFrame:

@@ -2,34 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import DAY_FR, DAY_ORDER
 from ..functions.derive import coalesce_name
 
-# A dimension is broadcast only when a count proves it under this many rows.
-BROADCAST_MAX_ROWS = 100_000
-
-
-def bounded_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                      known_rows: int | None = None) -> DataFrame:
-    """Broadcast hint on ``dim`` if it has at most ``max_rows`` rows.
-
-    The count runs on the dimension only (``known_rows`` passes a count the
-    caller already took). Above the bound the side is left to the planner
-    (shuffle join), so memory never depends on data growth.
-    """
-    n = dim.limit(max_rows + 1).count() if known_rows is None else known_rows
-    return F.broadcast(dim) if n <= max_rows else dim
-
-
 def zone_name_lookup(df: DataFrame, zones: DataFrame, id_col: str = "zone_id",
                      out: str = "zone_name") -> DataFrame:
     """Left lookup of ``id_col`` in (location_id, zone_name); a missing name
-    falls back to the id as text (NULL id stays NULL)."""
-    z = bounded_broadcast(zones.select(F.col("location_id").alias("_lid"),
-                                       F.col("zone_name").alias("_zname")))
+    falls back to the id as text (NULL id stays NULL). The join is left to the
+    planner, which broadcasts a dimension under its size threshold."""
+    z = zones.select(F.col("location_id").alias("_lid"), F.col("zone_name").alias("_zname"))
     j = df.join(z, df[id_col] == z["_lid"], "left")
     return j.withColumn(out, coalesce_name("_zname", id_col)).drop("_lid", "_zname")
 
@@ -48,8 +32,3 @@ def weekday_reindex(weekly: DataFrame, key: str = "iso_dow", ordered: bool = Tru
     dim = F.broadcast(weekday_dim(weekly.sparkSession))
     out = dim.join(weekly, dim["iso_dow"] == weekly[key], "left").drop(weekly[key])
     return out.orderBy("iso_dow") if ordered else out
-
-
-def scalar(df: DataFrame, agg: Column) -> Column:
-    """An aggregate over ``df`` as a scalar subquery Column."""
-    return df.select(agg).scalar()

@@ -6,10 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def order_by_key(df: DataFrame, key: str) -> DataFrame:
-    return df.orderBy(F.col(key).asc())
-
-
 def order_by_metric_desc(df: DataFrame, metric: str, tiebreak: str) -> DataFrame:
     return df.orderBy(F.col(metric).desc(), F.col(tiebreak).asc_nulls_last())
 

@@ -27,16 +27,13 @@ class Model:
     inputs: tuple[str, ...]
     fn: Callable[..., DataFrame]
     partition_by: tuple[str, ...] = field(default=())
-    sort_within: tuple[str, ...] = field(default=())
 
 
 # Staging is not split into directories: its only month column is the month
 # of the year (it would mix years, prune no date window, and make every write
-# task open one file per month). It keeps the RAW time clustering instead and
-# is sorted by pickup inside each file (no shuffle), so Parquet row-group
-# statistics skip data for date filters.
+# task open one file per month). The marts read all of it.
 MODELS = [
-    Model("clean_trips", "staging", ("trips_raw",), clean_trips, sort_within=("tpep_pickup_datetime",)),
+    Model("clean_trips", "staging", ("trips_raw",), clean_trips),
     Model("daily_summary", "final", ("clean_trips",), marts.daily_summary),
     Model("zone_analysis", "final", ("clean_trips",), marts.zone_analysis),
     Model("hourly_patterns", "final", ("clean_trips",), marts.hourly_patterns),
@@ -91,8 +88,7 @@ def _build(spark: SparkSession, trips_raw: DataFrame, materialized: str = "table
         else:
             df = m.fn(*[out[i] for i in m.inputs])
         if materialized == "table":
-            out[name] = ctas_table(df, f"{m.layer}.{m.name}", list(m.partition_by) or None,
-                                   sort_within=list(m.sort_within) or None)
+            out[name] = ctas_table(df, f"{m.layer}.{m.name}", list(m.partition_by) or None)
         else:
             out[name] = view_materialization(df, m.name)
     return out, extra

@@ -1,7 +1,7 @@
 """Dashboard results: four RAW queries and the exploration steps on them.
 
 The four RAW queries share one filtered base (positive distance, date
-window on the bare pickup timestamp, which pushes into the scan). Every
+window on the pickup day, which prunes the scan, and time). Every
 later step works on their small aggregated outputs; scalars (median, grand
 means, window bounds) are uncorrelated scalar subqueries, not joins.
 """
@@ -15,7 +15,7 @@ from ..functions import derive as D
 from ..functions.dates import date_label, iso_weekday
 from ..functions.numeric import dec_round, share_pct
 from ..operators import filters as FL
-from ..operators.aggregates import (arg_max_first, arg_min_first, conditional_sum, rollup_total,
+from ..operators.aggregates import (arg_max_first, arg_min_first, conditional_sum, ratio_of_sums, rollup_total,
                                     series_count, weighted_avg)
 from ..operators.joins import weekday_reindex, zone_name_lookup
 from ..operators.topk import bottom_k, top_k
@@ -40,7 +40,7 @@ def check_metric(metric: str, allowed=METRICS) -> str:
 
 def dash_base(trips: DataFrame, start: str = FL.WINDOW_START,
               end_exclusive: str = FL.WINDOW_END_EXCLUSIVE) -> DataFrame:
-    return trips.filter(FL.positive_distance() & FL.date_window(start, end_exclusive))
+    return FL.filter_date_window(trips.filter(FL.positive_distance()), start, end_exclusive)
 
 
 def _trip_metrics() -> list[Column]:
@@ -215,7 +215,7 @@ def kpis(days: DataFrame) -> DataFrame:
     return days.agg(
         trips.cast("bigint").alias("total_trips"),
         rev.alias("total_revenue"),
-        (rev / F.nullif(trips.cast("double"), F.lit(0.0))).alias("revenue_per_trip"),
+        ratio_of_sums("total_revenue", "total_trips").alias("revenue_per_trip"),
         F.avg("avg_distance").alias("avg_distance"),
         F.avg("avg_fare").alias("avg_fare"),
         F.avg("avg_tip_pct").alias("avg_tip_pct"),
@@ -295,16 +295,18 @@ def period_extremes(days: DataFrame, metric: str = "total_trips", period: str =
 
 
 def top_days(days: DataFrame, metric: str = "total_trips", n: int = 10) -> DataFrame:
-    """n largest days by metric over all kept days; ties keep the earliest."""
+    """n largest days by metric over all kept days (ties keep the earliest),
+    shown in ascending order as the source shows them."""
     check_metric(metric)
     s = days.filter(F.col(metric).isNotNull()).select("pickup_date", F.col(metric).cast("double").alias("value"))
-    return top_k(s, "value", n, "pickup_date")
+    return top_k(s, "value", n, "pickup_date").orderBy("value", "pickup_date")
 
 
 def bottom_days(days: DataFrame, metric: str = "total_trips", n: int = 10) -> DataFrame:
+    """n smallest days by metric (ties keep the earliest), shown in descending order."""
     check_metric(metric)
     s = days.filter(F.col(metric).isNotNull()).select("pickup_date", F.col(metric).cast("double").alias("value"))
-    return bottom_k(s, "value", n, "pickup_date")
+    return bottom_k(s, "value", n, "pickup_date").orderBy(F.desc("value"), "pickup_date")
 
 
 def zones_named(zones_top: DataFrame, zone_dim: DataFrame) -> DataFrame:

@@ -17,17 +17,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import derive as D
-from ..functions.dates import date_label, day_name, epoch_repair, month_period, shift_months, to_epoch
+from ..functions.dates import date_label, day_name, month_period, shift_months
 from ..functions.numeric import dec_round
 from ..operators import filters as FL
 from ..operators.expect import row_check_aggregates, run_tests
 from ..session import materialize
 from ..sources.months import month_manifest, month_range, skip_loaded_months
-from ..sources.parquet import copy_by_name, infer_schema
-from ..sources.fixture import table_path
-from ..sources.raw import raw_trips
+from ..sources.parquet import copy_by_name, infer_schema, scan_parquet_glob
+from ..sources.fixture import LINEITEM_COLS, ORDERS_COLS, read_table, table_path, trip_seconds
+from ..sources.raw import build_once, raw_root, raw_trips
+from ..sources.schema import TRIPS, TRIPS_NAMES
 from ..sources.zones import zones_fixture
 from . import dashboard as DB
+from . import load_queries as LQ
 from . import marts
 from . import notebook as NB
 from . import quality as Q
@@ -70,6 +72,11 @@ def _trips(spark, sf_dir):
     return raw_trips(spark, sf_dir)
 
 
+def _by_day(spark, sf_dir):
+    """The RAW table with the pickup day, which date windows prune on."""
+    return raw_trips(spark, sf_dir, with_day=True)
+
+
 @register("daily_summary")
 def q_daily_summary(spark, sf_dir):
     """Per pickup date: trips, mean distance, revenue sum and mean, mean tip %."""
@@ -123,12 +130,16 @@ for _name, _fn in [
     ("filter_zones_present", FL.filter_zones_present),
     ("filter_positive_distance", FL.filter_positive_distance),
     ("filter_positive_total", FL.filter_positive_total),
-    ("filter_date_window", FL.filter_date_window),
     ("any_null", FL.filter_any_null),
 ]:
     _filter_query(_name, _fn)
 
 
+@register("filter_date_window", settled=False)
+def q_filter_date_window(spark, sf_dir):
+    return FL.filter_date_window(_by_day(spark, sf_dir)).select(*TRIPS_NAMES)
+
+
 @register("trip_features", settled=False)
 def q_trip_features(spark, sf_dir):
     """Every per-trip scalar expression on the whole RAW table."""
@@ -160,26 +171,39 @@ def q_trip_features(spark, sf_dir):
 
 @register("epoch_repair", settled=False)
 def q_epoch_repair(spark, sf_dir):
-    """Timestamps held as BIGINT microseconds, repaired back to timestamps."""
-    t = _trips(spark, sf_dir).select(to_epoch(D.PICKUP).alias("pickup_us"),
-                                     to_epoch(D.DROPOFF).alias("dropoff_us"))
-    return t.select("pickup_us", "dropoff_us",
-                    epoch_repair("pickup_us").alias("tpep_pickup_datetime"),
-                    epoch_repair("dropoff_us").alias("tpep_dropoff_datetime"))
+    """Trips whose timestamps arrive as BIGINT microseconds (counted here from
+    the order's day and the trip's seconds), repaired by the by-name load."""
+    lines = read_table(spark, sf_dir, "lineitem").select(*LINEITEM_COLS)
+    orders = read_table(spark, sf_dir, "orders").select(*ORDERS_COLS)
+    joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
+    day = F.unix_date((F.col("o_orderdate") + F.expr("INTERVAL '28' YEAR")).cast("date")).cast("bigint")
+    pickup, length = trip_seconds()
+    arrived = joined.select(((day * 86_400 + pickup) * 1_000_000).alias("TPEP_PICKUP_DATETIME"),
+                            ((day * 86_400 + pickup + length) * 1_000_000).alias("TPEP_DROPOFF_DATETIME"))
+    times = T.StructType([f for f in TRIPS.fields if f.name in (D.PICKUP, D.DROPOFF)])
+    raw = arrived.withColumns({"pickup_us": F.col("TPEP_PICKUP_DATETIME"), "dropoff_us": F.col("TPEP_DROPOFF_DATETIME")})
+    return copy_by_name(raw, times, keep=("pickup_us", "dropoff_us"))
 
 
 # --- dashboard -------------------------------------------------------------
 
-def _dash(spark, sf_dir, which: str):
-    """One of the four dashboard base aggregates, written once.
+def dash_tables(spark, sf_dir, rebuild=False) -> str:
+    """The folder of the dashboard's four base aggregates, from one scan of
+    RAW; stored once per input and read by every exploration step."""
+    def write(folder):
+        for name, df in DB.dashboard_load(_by_day(spark, sf_dir), materialize=materialize).items():
+            df.write.parquet(f"{folder}/{name}")
 
-    These are the small results the dashboard loads once and explores many
-    times; writing them to the shared folder lets the exploration steps and
-    their scalar subqueries read the aggregate instead of re-running the scan.
-    """
+    return build_once(spark, f"{raw_root(spark, sf_dir)}/dashboard", write, rebuild)
+
+
+def _dash(spark, sf_dir, which: str):
+    """One of the four stored base aggregates."""
     fn = {"daily": DB.dash_daily, "hourly": DB.dash_hourly, "zones": DB.dash_zones,
           "profile": DB.dash_profile}[which]
-    return materialize(fn(_trips(spark, sf_dir)), f"dash_{which}")
+    folder = dash_tables(spark, sf_dir)
+    # the schema is known without opening a file
+    return spark.read.schema(fn(_by_day(spark, sf_dir)).schema).parquet(f"{folder}/dash_{which}")
 
 
 def _days(spark, sf_dir):
@@ -188,22 +212,22 @@ def _days(spark, sf_dir):
 
 @register("dash_daily")
 def q_dash_daily(spark, sf_dir):
-    return DB.dash_daily(_trips(spark, sf_dir)).orderBy("pickup_date")
+    return DB.dash_daily(_by_day(spark, sf_dir)).orderBy("pickup_date")
 
 
 @register("dash_hourly")
 def q_dash_hourly(spark, sf_dir):
-    return DB.dash_hourly(_trips(spark, sf_dir)).orderBy("pickup_hour")
+    return DB.dash_hourly(_by_day(spark, sf_dir)).orderBy("pickup_hour")
 
 
 @register("dash_zones")
 def q_dash_zones(spark, sf_dir):
-    return DB.dash_zones(_trips(spark, sf_dir))
+    return DB.dash_zones(_by_day(spark, sf_dir))
 
 
 @register("dash_profile")
 def q_dash_profile(spark, sf_dir):
-    return DB.dash_profile(_trips(spark, sf_dir))
+    return DB.dash_profile(_by_day(spark, sf_dir))
 
 
 @register("complete_days")
@@ -277,6 +301,55 @@ def q_payment_split(spark, sf_dir):
     return DB.payment_split(_dash(spark, sf_dir, "profile"))
 
 
+@register("payment_split_exact")
+def q_payment_split_exact(spark, sf_dir):
+    return DB.payment_split_exact(_by_day(spark, sf_dir))
+
+
+# --- dashboard, every value of its parameters ---------------------------------
+
+def _each(fn, values):
+    return LQ.union(fn(v) for v in values)
+
+
+@register("weekly_profile_metrics")
+def q_weekly_profile_metrics(spark, sf_dir):
+    days = _days(spark, sf_dir)
+    return _each(lambda m: DB.weekly_profile(days, m), DB.METRICS)
+
+
+@register("hourly_metric_metrics")
+def q_hourly_metric_metrics(spark, sf_dir):
+    hours = _dash(spark, sf_dir, "hourly")
+    return _each(lambda m: DB.hourly_metric(hours, m).withColumn("metric", F.lit(m)), DB.METRICS)
+
+
+@register("daily_evolution_metrics")
+def q_daily_evolution_metrics(spark, sf_dir):
+    days = _days(spark, sf_dir)
+    return _each(lambda m: DB.daily_evolution(days, m).withColumn("metric", F.lit(m)), DB.METRICS)
+
+
+@register("period_window_pages")
+def q_period_window_pages(spark, sf_dir):
+    days = _days(spark, sf_dir)
+    return _each(lambda p: DB.period_window(days, *p), [(p, k) for p in DB.PERIODS for k in range(3)])
+
+
+@register("period_extremes_metrics")
+def q_period_extremes_metrics(spark, sf_dir):
+    """Best and worst day of every metric, in the second page of three months."""
+    days = _days(spark, sf_dir)
+    return _each(lambda m: DB.period_extremes(days, m, "3M", 1).withColumn("metric", F.lit(m)), DB.METRICS)
+
+
+@register("top_bottom_days_metrics")
+def q_top_bottom_days_metrics(spark, sf_dir):
+    days = _days(spark, sf_dir)
+    return _each(lambda m: DB.top_days(days, m, 10).withColumn("side", F.lit("top"))
+                 .unionByName(DB.bottom_days(days, m, 10).withColumn("side", F.lit("bottom"))).withColumn("metric", F.lit(m)), DB.METRICS)
+
+
 # --- quality -----------------------------------------------------------------
 
 @register("dq_summary")
@@ -396,6 +469,15 @@ def q_run_tests(spark, sf_dir):
     return run_tests(spark, {"clean_trips": c, **m}, counted=counted)
 
 
+@register("run_tests_raw")
+def q_run_tests_raw(spark, sf_dir):
+    """The 13 column tests on trips that no staging rule has cleaned: reversed
+    times, negative amounts and missing zones make some of them fail."""
+    rows = _trips(spark, sf_dir).withColumns(D.staging_columns())
+    return run_tests(spark, {"clean_trips": rows, **{n: fn(rows) for n, fn in (
+        ("daily_summary", marts.daily_summary), ("zone_analysis", marts.zone_analysis), ("hourly_patterns", marts.hourly_patterns))}})
+
+
 @register("row_count_check")
 def q_row_count_check(spark, sf_dir):
     """Rows in RAW, staging and each mart (one row per table)."""
@@ -424,3 +506,36 @@ def q_skip_loaded_months(spark, sf_dir):
     """The 21 requested months, flagged when the RAW table already holds them."""
     requested = month_range(spark).select("month")
     return skip_loaded_months(requested, month_manifest(_trips(spark, sf_dir)))
+
+
+@register("append_months", settled=False)
+def q_append_months(spark, sf_dir):
+    """All rows of the months loaded from files that disagree (one month fails)."""
+    rows, _ = LQ.loaded(spark, sf_dir)
+    return rows.select(*TRIPS_NAMES, F.col("load_month").cast("string").alias("load_month"))
+
+
+@register("month_load_report", settled=False)
+def q_month_load_report(spark, sf_dir):
+    """Each month's outcome, loaded to a table and lazily."""
+    _, report = LQ.loaded(spark, sf_dir)
+    return report.select("mode", "month", "ok", "rows", "unrepaired", F.col("error").isNotNull().alias("has_error"))
+
+
+@register("scan_parquet_glob", settled=False)
+def q_scan_parquet_glob(spark, sf_dir):
+    """The castable month files, of five physical schemas, as one table."""
+    return scan_parquet_glob(spark, LQ.good_paths(spark, sf_dir))
+
+
+@register("skip_after_failed_month")
+def q_skip_after_failed_month(spark, sf_dir):
+    """The requested months after that load: the failed one is still to do."""
+    rows, _ = LQ.loaded(spark, sf_dir)
+    return skip_loaded_months(month_range(spark).select("month"), month_manifest(rows))
+
+
+@register("truncate_reload")
+def q_truncate_reload(spark, sf_dir):
+    """Rows by month after a load that empties the table first."""
+    return LQ.reloaded(spark, sf_dir)

@@ -49,8 +49,10 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
-    ``spark.checkpoint.dir`` is read from the session. Only when it is unset
-    (local tests) a private folder is created and registered.
+    ``spark.checkpoint.dir`` is read from the session. Only in local mode,
+    when it is unset (tests), a private folder is created and registered;
+    on a cluster a missing folder is an error, since executors would each
+    write to their own disk.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -58,6 +60,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="tripkit-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -73,6 +77,13 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base.rstrip("/"), name) if "://" not in base else base.rstrip("/") + "/" + name
 
 
+def remove_run_files(spark: SparkSession) -> None:
+    """Delete what ``materialize`` wrote in this application (call it when no
+    DataFrame that reads those files is needed any more)."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(shared_path(spark, f"tripkit_tmp/{spark.sparkContext.applicationId}"))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df, name: str = "result"):
     """Write ``df`` as Parquet under the shared folder and read it back.
 
@@ -87,7 +98,7 @@ def materialize(df, name: str = "result"):
 
     spark = df.sparkSession
     # one folder per application (as Spark's own checkpoints): a finished
-    # application's intermediates are removed as one unit by retention
+    # application's intermediates are removed as one unit (remove_run_files)
     app = spark.sparkContext.applicationId
     path = shared_path(spark, f"tripkit_tmp/{app}/{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)

@@ -41,12 +41,17 @@ def _zone_mod(pk: Column, ok: Column, m: int = 263) -> Column:
     return (r * r + ok % m) % m
 
 
+def trip_seconds() -> tuple[Column, Column]:
+    """(second of the day of a line's pickup, length of its trip in seconds)."""
+    ok, pk, sk, ln = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
+    return (ok * 7919 + ln * 104729 + pk * 31) % 86400, (pk * 37 + sk * 101 + ln * 613) % 5400 - 60
+
+
 def trips_from_lines(lines: DataFrame) -> DataFrame:
     """Map joined (lineitem, o_orderdate) rows to the 19 RAW columns."""
     ok, pk, sk, ln = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
     qty = F.col("l_quantity")
-    sec = (ok * 7919 + ln * 104729 + pk * 31) % 86400
-    dur = (pk * 37 + sk * 101 + ln * 613) % 5400 - 60
+    sec, dur = trip_seconds()
     base = F.col("o_orderdate") + F.expr("INTERVAL '28' YEAR")
     every7 = (ok % 7) == 0
     cents = _double(pk % 1000) / 100

@@ -9,9 +9,12 @@ from __future__ import annotations
 import logging
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..functions.dates import epoch_repair
+from ..operators.filters import DAY
 from .parquet import copy_by_name
 from .schema import TRIPS
 
@@ -41,48 +44,95 @@ def month_list(start: str = FIRST_MONTH, end: str = LAST_MONTH) -> list[str]:
 
 
 def read_month(spark: SparkSession, path: str, month: str) -> DataFrame:
-    """One month's file conformed to the RAW schema, tagged with its month."""
-    return copy_by_name(spark.read.parquet(path), TRIPS).withColumn("load_month", F.lit(month))
+    """One month's file conformed to the RAW schema, with the pickup's DATE
+    (``pickup_day``, which prunes scans) and tagged with its month."""
+    src = spark.read.parquet(path)
+    return _tagged(copy_by_name(src, TRIPS), month)
+
+
+def _tagged(df: DataFrame, month: str) -> DataFrame:
+    return df.withColumn(DAY, F.to_date("tpep_pickup_datetime")).withColumn("load_month", F.lit(month))
+
+
+def _unrepaired(src: DataFrame) -> Column:
+    """How many timestamps of a row arrive as integers that no timestamp of
+    years 1 to 9999 repairs (they are loaded as NULL and counted)."""
+    by_name = {f.name.lower(): f for f in src.schema.fields}
+    lost = F.lit(0)
+    for f in TRIPS.fields:
+        s = by_name.get(f.name)
+        if s is not None and isinstance(f.dataType, T.TimestampNTZType) and isinstance(s.dataType, (T.LongType, T.IntegerType)):
+            raw = F.col(f"`{s.name}`")
+            lost = lost + (raw.isNotNull() & epoch_repair(raw).isNull()).cast("int")
+    return lost
+
+
+def _uncastable(src: DataFrame) -> Column:
+    """Whether a row has a value that the by-name load can't cast."""
+    by_name = {f.name.lower(): f for f in src.schema.fields}
+    bad = F.lit(False)
+    for f in TRIPS.fields:
+        s = by_name.get(f.name)
+        if s is not None and s.dataType != f.dataType and not isinstance(s.dataType, (T.LongType, T.IntegerType)):
+            raw = F.col(f"`{s.name}`")
+            bad = bad | (raw.isNotNull() & raw.try_cast(f.dataType).isNull())
+    return bad
 
 
 def load_months(spark: SparkSession, month_paths: dict[str, str], target: str | None = None,
-                truncate: bool = False, fmt: str = "parquet") -> tuple[DataFrame | None, DataFrame]:
+                truncate: bool = False, fmt: str = "parquet", table: str | None = None) -> tuple[DataFrame | None, DataFrame]:
     """Load every month, isolating failures.
 
-    With ``target`` (a table path), each month is written as its own
-    partition (dynamic overwrite, so re-loading a month replaces it) and its
-    row count is observed during the write, with no second scan. ``truncate``
-    empties the table first. Without ``target`` the good months are combined
-    lazily (UNION ALL by name). Returns (data or None, load_report) where the
-    report has (month, ok, rows, error).
+    With ``target`` (a path) or ``table`` (a table of ``create_fixed_schema``,
+    which stores it), each month is written as its own partition (dynamic
+    overwrite, so re-loading a month replaces it) and its rows are counted
+    during the write, with no second scan. ``truncate`` empties the target
+    first. Without a target, each month's casts are tested by one scan and the
+    good months are combined lazily (UNION ALL by name). Returns (data or
+    None, load_report) where the report has (month, ok, rows, unrepaired,
+    error): ``unrepaired`` counts integer timestamps out of range.
     """
+    if table and not target:
+        from .schema import create_fixed_schema, table_location
+        create_fixed_schema(spark, table)
+        target = table_location(spark, table)
     report, frames = [], []
     first = True
     for month in sorted(month_paths):
-        path = month_paths[month]
         try:
-            df = read_month(spark, path, month)
+            src = spark.read.parquet(month_paths[month])
+            counted = src.withColumn("_lost", _unrepaired(src))
+            df = _tagged(copy_by_name(src, TRIPS), month)
             if target is None:
+                n = counted.agg(F.count(F.lit(1)).alias("rows"), F.sum("_lost").alias("lost"), F.count_if(_uncastable(src)).alias("bad")).first()
+                if n["bad"]:
+                    raise ValueError(f"{n['bad']} rows have a value that can't be cast")
                 frames.append(df)
-                report.append((month, True, None, None))
+                report.append((month, True, n["rows"], int(n["lost"] or 0), None))
                 continue
             obs = Observation(f"load_{month.replace('-', '_')}")
-            df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-            # sorted inside each write task (no shuffle): narrow row-group
-            # statistics on pickup time let date windows skip data
-            df = df.sortWithinPartitions("tpep_pickup_datetime")
+            df = _tagged(copy_by_name(counted, TRIPS, keep=("_lost",)), month)
+            df = df.observe(obs, F.count(F.lit(1)).alias("rows"), F.sum("_lost").alias("lost")).drop("_lost")
+            # sorted inside each write task (no shuffle): narrow page
+            # statistics on the pickup day let date windows skip data
+            df = df.sortWithinPartitions(DAY, "tpep_pickup_datetime")
             w = df.write.format(fmt).partitionBy("load_month")
             if truncate and first:
                 w.mode("overwrite").option("partitionOverwriteMode", "static").save(target)
             else:
                 w.mode("overwrite").option("partitionOverwriteMode", "dynamic").save(target)
             first = False
-            report.append((month, True, int(obs.get["rows"]), None))
+            got = obs.get
+            report.append((month, True, int(got["rows"]), int(got["lost"] or 0), None))
         except Exception as e:  # one bad month must not stop the others
             log.error("month %s failed: %s", month, e)
-            report.append((month, False, None, f"{type(e).__name__}: {str(e)[:500]}"))
-    rep = spark.createDataFrame(report, "month string, ok boolean, rows bigint, error string")
-    if target is not None:
+            report.append((month, False, None, None, f"{type(e).__name__}: {e}"))
+    rep = spark.createDataFrame(report, "month string, ok boolean, rows bigint, unrepaired bigint, error string")
+    if table and any(r[1] for r in report):
+        spark.sql(f"MSCK REPAIR TABLE {table}")
+        spark.catalog.refreshTable(table)
+        data = spark.table(table)
+    elif target is not None:
         data = spark.read.format(fmt).load(target) if any(r[1] for r in report) else None
     else:
         data = reduce(lambda a, b: a.unionByName(b), frames) if frames else None
@@ -100,9 +150,11 @@ def month_manifest(raw: DataFrame, ts_col: str = "tpep_pickup_datetime") -> Data
 
     Uses the ``load_month`` partition column when there is one.
     """
-    month = F.col("load_month") if "load_month" in raw.columns else F.date_format(ts_col, "yyyy-MM")
-    return raw.groupBy(month.alias("month")).agg(
+    key = F.col("load_month") if "load_month" in raw.columns else F.trunc(ts_col, "MM")
+    found = raw.groupBy(key.alias("month")).agg(
         F.count(F.lit(1)).alias("rows"), F.min(ts_col).alias("first_pickup"), F.max(ts_col).alias("last_pickup"))
+    # months are formatted after the grouping: once a month, not once a row
+    return found if "load_month" in raw.columns else found.withColumn("month", F.date_format("month", "yyyy-MM"))
 
 
 def months_to_load(requested: DataFrame, manifest: DataFrame) -> DataFrame:

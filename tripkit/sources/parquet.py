@@ -20,12 +20,13 @@ from .schema import TRIPS
 
 
 def copy_by_name(df: DataFrame, schema: T.StructType = TRIPS,
-                 timestamp_units: dict[str, str] | None = None) -> DataFrame:
+                 timestamp_units: dict[str, str] | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """Conform ``df`` to ``schema`` by column name, ignoring case.
 
     ``timestamp_units`` maps a target timestamp column to the unit ('s', 'ms',
     'us') of an integer source column (epoch repair); by default an integer
-    source for a timestamp target is read as microseconds.
+    source for a timestamp target is read as microseconds. ``keep`` names
+    further columns to pass on.
     """
     from ..functions.dates import epoch_repair
     src = {f.name.lower(): f for f in df.schema.fields}
@@ -43,11 +44,7 @@ def copy_by_name(df: DataFrame, schema: T.StructType = TRIPS,
         elif s.dataType != f.dataType:
             c = c.cast(f.dataType)
         cols.append(c.alias(f.name, metadata=f.metadata))
-    return df.select(*cols)
-
-
-def _schema_key(schema: T.StructType) -> str:
-    return schema.simpleString().lower()
+    return df.select(*cols, *keep)
 
 
 def _arrow_schema_key(schema) -> str:
@@ -79,7 +76,7 @@ def _read_footers(batches):
                 errors.append(None)
             except Exception as e:  # unknown scheme or unreadable file: the driver decides
                 keys.append(None)
-                errors.append(f"{type(e).__name__}: {str(e)[:200]}")
+                errors.append(f"{type(e).__name__}: {e}")
         yield pd.DataFrame({"path": b["path"], "schema_key": keys, "error": errors})
 
 
@@ -103,33 +100,29 @@ def scan_parquet_glob(spark: SparkSession, path_glob: str | list[str],
 
     Files sharing a physical schema are read by one scan, so a thousand
     same-typed monthly files cost one plan node, not a thousand. Footers are
-    read by Spark tasks (``file_schemas``). When all files share one schema
-    the given paths are scanned as they are; otherwise the file list of each
-    schema group comes back to the driver, which needs it to plan the scans.
-    A file whose footer a task could not open (a filesystem scheme Arrow does
-    not know) has its schema read by Spark on the driver instead; an
-    unreadable file fails the scan, as a plain Parquet read would.
+    read once, by Spark tasks, and listed in the shared folder; when all files
+    share one schema the given paths are scanned as they are. Otherwise the
+    paths come to the driver one schema at a time, without gathering them in a
+    task: each scan's plan needs its paths, as any Parquet read does. Files
+    that a task could not open (a filesystem Arrow doesn't know) are one scan
+    with merged schemas; an unreadable file fails it, as any Parquet read.
     """
-    listed = file_schemas(spark, path_glob)
+    from ..session import materialize
+
+    listed = materialize(file_schemas(spark, path_glob), "parquet_footers")
     # one small row per physical schema first; the usual case (every file
     # alike) scans the given paths or globs and ships no file list at all
-    kinds = listed.groupBy("schema_key").agg(F.count(F.lit(1)).alias("n_files")).collect()
-    if len(kinds) == 1 and kinds[0].schema_key is not None:
+    kinds = listed.groupBy("schema_key").agg(F.count(F.lit(1)).alias("n_files")).orderBy("schema_key").collect()
+    if not kinds:
+        return spark.createDataFrame([], schema)
+    if len(kinds) == 1 and kinds[0]["schema_key"] is not None:
         paths = list(path_glob) if isinstance(path_glob, (list, tuple)) else [path_glob]
         return copy_by_name(spark.read.parquet(*paths), schema)
-    grouped = (listed.groupBy("schema_key")
-               .agg(F.sort_array(F.collect_list("path")).alias("paths"))
-               .collect())
-    if not grouped:
-        return spark.createDataFrame([], schema)
-    groups: dict[str, list[str]] = {}
-    for key, ps in grouped:
-        if key is not None:
-            groups.setdefault(key, []).extend(ps)
-            continue
-        for p in ps:
-            groups.setdefault("spark:" + _schema_key(spark.read.parquet(p).schema), []).append(p)
-    frames = [copy_by_name(spark.read.parquet(*ps), schema) for _, ps in sorted(groups.items())]
+    frames = []
+    for kind in kinds:
+        mine = listed.filter(F.col("schema_key").eqNullSafe(kind["schema_key"])).select("path").orderBy("path")
+        merge = "true" if kind["schema_key"] is None else "false"
+        frames.append(copy_by_name(spark.read.option("mergeSchema", merge).parquet(*[r["path"] for r in mine.toLocalIterator()]), schema))
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 

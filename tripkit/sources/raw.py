@@ -3,106 +3,98 @@
 The reference loads its files into one RAW table and every model and
 dashboard query reads that table. Here the RAW table for a folder of driver
 tables is built by Spark from the ``trips`` fixture and written as Parquet
-under the shared checkpoint folder (``spark.checkpoint.dir``), partitioned
-by ranges of pickup time and sorted inside each file, so each scan task
-reads only the row groups a date window can match (none of a file outside
-it). Later queries read the written
-table: no lineage back to the join, nothing recomputed after a lost
+under the shared checkpoint folder (``spark.checkpoint.dir``). Beside the 19
+columns it stores the pickup's DATE (``pickup_day``): rows are clustered by it
+and sorted within each file, in small Parquet pages, so a date window reads
+only the pages of its days (``date_window`` tests the day, because Spark does
+not use Parquet statistics of TIMESTAMP_NTZ columns). Later queries read the
+written table: no lineage back to the join, nothing recomputed after a lost
 executor.
+
+A table is keyed on the listing of its input files (path, length, modification
+time) and on the version of the mapping, so a changed input or rule is built
+anew. Each build writes a folder of its own and publishes it last: a build that
+breaks off, or two at a time, never leave a table half written.
 """
 
 from __future__ import annotations
 
-import hashlib
-import os
+import time
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..operators.filters import DAY
 from ..session import shared_path
 from .fixture import table_path, trips_view
-from .schema import TRIPS_NAMES
+from .schema import TRIPS, TRIPS_NAMES
 
-def _input_key(sf_dir: str) -> str:
-    parts = [os.path.abspath(sf_dir)]
-    for name in ("lineitem", "orders"):
-        p = table_path(sf_dir, name)
-        try:
-            st = os.stat(p)
-            parts.append(f"{name}:{st.st_size}:{int(st.st_mtime)}")
-        except OSError:  # remote storage: key on the path only
-            parts.append(name)
-    return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
+# Raise it when the fixture's rules or the stored layout change.
+MAPPING_VERSION = 2
+# Rows of a Parquet page: the unit that a date window skips.
+PAGE_ROWS = 2_000
 
 
-def raw_location(spark: SparkSession, sf_dir: str) -> str:
-    return shared_path(spark, f"tripkit_raw/{_input_key(sf_dir)}")
+def input_key(spark: SparkSession, paths: list[str], version: int = MAPPING_VERSION) -> str:
+    """A digest of the input files' listing and of the mapping version.
 
+    ``binaryFile`` without its content column lists the files on whatever
+    store they are and reads no data.
+    """
+    files = spark.read.format("binaryFile").load(paths)
+    one = F.xxhash64("path", "length", "modificationTime", F.lit(version)).cast("decimal(20,0)")
+    total = files.agg(F.count("*").alias("n"), F.sum("length").alias("bytes"), F.sum(one).alias("digest")).first()
+    return f"v{version}-{total['n']}-{total['bytes']}-{total['digest']}".replace("--", "-m")
 
-TARGET_PARTITION_BYTES = 256 * 1024 * 1024
 
+def write_raw(trips: DataFrame, path: str) -> None:
+    """Cluster by pickup day and sort by pickup within each file.
 
-def input_bytes(spark: SparkSession, paths: list[str]) -> int:
-    """Total size of the input files, from a listing job (``binaryFile``
-    without its content column reads no file data)."""
-    df = spark.read.format("binaryFile").load(paths)
-    return int(df.agg(F.sum("length")).first()[0] or 0)
+    The rebalance needs no sampling pass (the join runs once), and adaptive
+    execution splits a day that holds a large share of the rows and joins
+    small ones.
+    """
+    (trips.withColumn(DAY, F.to_date("tpep_pickup_datetime")).hint("rebalance", DAY)
+     .sortWithinPartitions(DAY, "tpep_pickup_datetime")
+     .write.option("parquet.page.row.count.limit", PAGE_ROWS).parquet(path))
 
 
-def partitions_for(spark: SparkSession, n_bytes: int,
-                   target: int = TARGET_PARTITION_BYTES) -> int:
-    """Enough tasks that each handles about ``target`` bytes, and at least
-    the cluster's default parallelism."""
-    return max(spark.sparkContext.defaultParallelism, -(-n_bytes // target))
+def published(spark: SparkSession, root: str) -> str | None:
+    """The folder of the last published build under ``root``, if any."""
+    try:
+        row = spark.read.schema("at double, folder string").parquet(f"{root}/published").orderBy(F.desc("at"), "folder").first()
+    except AnalysisException:
+        return None
+    return row["folder"] if row else None
 
 
-def write_raw(trips: DataFrame, path: str, n_partitions: int | None = None) -> None:
-    """Range-partition by pickup time and sort inside each task.
+def publish(spark: SparkSession, root: str, folder: str) -> None:
+    """Make ``folder`` the current build: one appended file, committed as a whole."""
+    spark.createDataFrame([(time.time(), folder)], "at double, folder string").coalesce(1) \
+        .write.mode("append").parquet(f"{root}/published")
 
-    Range bounds come from a sample, so a month holding a third of all trips
-    is split over many tasks; each output file covers a narrow time range,
-    which gives Parquet min/max statistics that let date-window filters skip
-    row groups (all of a file outside the window). No partition directories:
-    nothing to list.
-    ``n_partitions`` sizes the tasks to the input (see ``partitions_for``).
-    """
-    ranged = (trips.repartitionByRange(n_partitions, "tpep_pickup_datetime") if n_partitions
-              else trips.repartitionByRange("tpep_pickup_datetime"))
-    (ranged.sortWithinPartitions("tpep_pickup_datetime")
-     .write.mode("overwrite").parquet(path))
 
+def build_once(spark: SparkSession, root: str, write, rebuild: bool = False) -> str:
+    """The published folder under ``root``; ``write(folder)`` makes it on first use."""
+    folder = None if rebuild else published(spark, root)
+    if folder is None:
+        folder = f"{root}/build-{uuid.uuid4().hex}"
+        write(folder)
+        publish(spark, root, folder)
+    return folder
 
-def is_complete(spark: SparkSession, path: str) -> bool:
-    """True when a committed write exists at ``path``.
 
-    The ``_SUCCESS`` marker is written only when the write job commits, so a
-    folder left behind by an interrupted build is rebuilt, not read.
-    """
-    try:
-        spark.read.text(path.rstrip("/") + "/_SUCCESS").limit(1).collect()
-        return True
-    except AnalysisException:
-        return False
-
-
-# One DataFrame per (application, RAW folder): reusing it reuses its file
-# index, so repeated queries in a session do not list the folder again. The
-# application id (not the Python object id, which a later session may reuse)
-# keeps a stopped session's DataFrame from being handed to a new one.
-_OPEN: dict[tuple[str, str], DataFrame] = {}
-
-
-def raw_trips(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> DataFrame:
-    """The 19-column RAW table for ``sf_dir`` (built on first use)."""
-    path = raw_location(spark, sf_dir)
-    key = (spark.sparkContext.applicationId, path)
-    if not rebuild and key in _OPEN:
-        return _OPEN[key]
-    if rebuild or not is_complete(spark, path):
-        inputs = [table_path(sf_dir, "lineitem"), table_path(sf_dir, "orders")]
-        n = partitions_for(spark, input_bytes(spark, inputs))
-        write_raw(trips_view(spark, sf_dir), path, n)
-    df = spark.read.parquet(path).select(*TRIPS_NAMES)
-    _OPEN[key] = df
-    return df
+def raw_root(spark: SparkSession, sf_dir: str) -> str:
+    key = input_key(spark, [table_path(sf_dir, "lineitem"), table_path(sf_dir, "orders")])
+    return shared_path(spark, f"tripkit_raw/{key}")
+
+
+def raw_trips(spark: SparkSession, sf_dir: str, rebuild: bool = False, with_day: bool = False) -> DataFrame:
+    """The 19-column RAW table for ``sf_dir`` (built on first use), and the
+    pickup day with ``with_day``."""
+    folder = build_once(spark, raw_root(spark, sf_dir), lambda path: write_raw(trips_view(spark, sf_dir), path), rebuild)
+    stored = spark.read.schema(T.StructType([*TRIPS.fields, T.StructField(DAY, T.DateType())])).parquet(folder)
+    return stored if with_day else stored.select(*TRIPS_NAMES)

@@ -76,16 +76,23 @@ TRIPS_NAMES = [n for n, _ in TRIPS_COLUMNS]
 
 def create_fixed_schema(spark: SparkSession, table: str = "raw.trips_raw",
                         location: str | None = None) -> None:
-    """Declare the RAW table (empty, fixed schema, Parquet, partitioned by month)."""
+    """Declare the RAW table (fixed schema and the pickup's DATE, Parquet,
+    partitioned by month); ``load_months(table=...)`` fills it."""
     db = table.split(".")[0] if "." in table else None
     if db:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
-    cols = ", ".join(f"{n} {t.simpleString()}" for n, t in TRIPS_COLUMNS)
+    cols = ", ".join(f"{n} {t.simpleString()}" for n, t in TRIPS_COLUMNS) + ", pickup_day date"
     loc = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({cols}, load_month STRING) "
               f"USING parquet PARTITIONED BY (load_month){loc}")
 
 
+def table_location(spark: SparkSession, table: str) -> str:
+    """Where the files of a stored table lie."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'").collect()
+    return rows[0]["data_type"]
+
+
 def with_comments(df: DataFrame, comments: dict[str, str] | None = None) -> DataFrame:
     """Attach catalog comments to matching columns (metadata only, no data work)."""
     comments = COLUMN_COMMENTS if comments is None else comments

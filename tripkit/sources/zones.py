@@ -29,13 +29,10 @@ def zones_from_file(spark: SparkSession, path: str, fmt: str | None = None,
 def zones_fixture(spark: SparkSession, sf_dir: str, n_zones: int = N_ZONES) -> DataFrame:
     """ids 1..n_zones named after nation ((id - 1) mod |nation|), with a
     numeric suffix on every third id so some names are unique and others shared."""
-    from ..operators.joins import bounded_broadcast
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    n = nation.count()  # the modulus of the naming rule; one tiny job
-    ids = spark.range(1, n_zones + 1).select(F.col("id").alias("location_id"))
-    # broadcast only behind the row-count bound (nation is 25 rows in TPC-H)
-    named = ids.join(bounded_broadcast(nation, known_rows=n),
-                     F.col("n_nationkey") == (F.col("location_id") - 1) % n, "left")
+    n = nation.select(F.count(F.lit(1))).scalar()  # the modulus of the naming rule
+    ids = spark.range(1, n_zones + 1).select(F.col("id").alias("location_id"), ((F.col("id") - 1) % n).alias("_nation"))
+    named = ids.join(nation, F.col("n_nationkey") == F.col("_nation"), "left")
     name = F.when(F.col("location_id") % 3 == 0,
                   F.concat(F.col("n_name"), F.lit(" "), F.col("location_id").cast("string"))) \
         .otherwise(F.col("n_name"))

@@ -20,6 +20,9 @@ schema.
 
 from __future__ import annotations
 
+import hashlib
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,11 +49,14 @@ def conform_landing(stream: DataFrame) -> DataFrame:
 
 def start_landing_load(spark: SparkSession, landing_dir: str, target: str,
                        checkpoint: str | None = None, available_now: bool = True,
-                       schema: T.StructType = TRIPS) -> StreamingQuery:
+                       schema: T.StructType = TRIPS, max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the incremental load; with ``available_now`` it stops by itself
-    once every file present at start is committed."""
-    checkpoint = checkpoint or shared_path(spark, "landing_load_checkpoint")
-    w = (conform_landing(landing_stream(spark, landing_dir, schema)).writeStream
+    once every file present at start is committed. Without ``checkpoint``, each
+    pair of landing folder and target has one of its own."""
+    if checkpoint is None:
+        pair = hashlib.sha256(f"{landing_dir}\n{target}".encode()).hexdigest()[:16]
+        checkpoint = shared_path(spark, f"landing_load_checkpoint/{pair}")
+    w = (conform_landing(landing_stream(spark, landing_dir, schema, max_files_per_trigger)).writeStream
          .format("parquet")
          .partitionBy("load_month")
          .option("path", target)
@@ -60,12 +66,20 @@ def start_landing_load(spark: SparkSession, landing_dir: str, target: str,
     return w.start()
 
 
-def run_landing_load(spark: SparkSession, landing_dir: str, target: str,
-                     checkpoint: str | None = None) -> int:
-    """Run one catch-up pass; returns the number of rows appended."""
-    q = start_landing_load(spark, landing_dir, target, checkpoint, available_now=True)
-    q.awaitTermination()
-    rows = 0
-    for p in q.recentProgress:
-        rows += int(p.get("numInputRows", 0) if isinstance(p, dict) else p.numInputRows)
-    return rows
+def committed_rows(spark: SparkSession, target: str) -> int:
+    """Rows in the files that the sink has committed (0 before the first batch)."""
+    try:
+        return spark.read.parquet(target).count()
+    except AnalysisException:
+        return 0
+
+
+def run_landing_load(spark: SparkSession, landing_dir: str, target: str, checkpoint: str | None = None,
+                     max_files_per_trigger: int | None = None) -> int:
+    """Run one catch-up pass, in batches of ``max_files_per_trigger`` files;
+    returns the number of rows appended (from the committed files: a query's
+    progress keeps its last 100 batches only)."""
+    before = committed_rows(spark, target)
+    start_landing_load(spark, landing_dir, target, checkpoint, True,
+                       max_files_per_trigger=max_files_per_trigger).awaitTermination()
+    return committed_rows(spark, target) - before
