@@ -22,14 +22,15 @@ from pyspark.sql import functions as F
 from ..session import materialize
 from .common import slices, split_heavy, table, utf8
 from .components import components
-from .hashing import shingle_sets
+from .hashing import mix, shingle_sets
+from .packed import pack, unpack
 
 WIDTH = 5
 PERCENT = 80
 MAX_MATCH = 4
 SMALL = 32
-BLOCK = 2_048
-BLOCK_SHINGLES = 1_000_000
+BLOCK = 1_024
+BLOCK_SHINGLES = 500_000
 PART_SHINGLES = 2_000_000
 # In a task's slice of the documents, a shingle in more of them than this is passed on as repeated without its documents meeting in one task
 LOCAL = 32
@@ -38,19 +39,6 @@ VERIFY_COST = 8
 OUTPUT = ("n_shingles", "component_id")
 
 
-def _planes(numbers) -> bytes:
-    """The numbers' lowest bytes, then their next ones and so on: the empty high bytes of small numbers compress away."""
-    import numpy as np
-
-    return numbers.view(np.uint8).reshape(len(numbers), numbers.itemsize).T.tobytes()
-
-
-def _unplanes(data: bytes, kind):
-    import numpy as np
-
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
-
-
 def _sets(docs: DataFrame) -> DataFrame:
     """(doc_id, n, sig): size and 128-bit digest of each document's shingle set."""
     def body(batches):
@@ -66,8 +54,13 @@ def _sets(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(body, "doc_id bigint, n bigint, sig binary")
 
 
-def _repeated(docs: DataFrame, classes: DataFrame, parts: int) -> DataFrame:
-    """(node, hashes): shingles of each class that occur in another class too, in pieces."""
+def _members(docs: DataFrame, classes: DataFrame, parts: int) -> DataFrame:
+    """(node, n, first, tokens) of the classes that may link: their size, their shingles that occur in another class too, ascending,
+    and how many of those are in the prefix for l = 1.
+
+    The shingles meet in ``parts`` parts by ranges of their hash; the repeated ones go back to their classes, which lie in as
+    many lots. Both ways they travel as packed arrays.
+    """
     def cut(batches):
         import hashlib
 
@@ -76,6 +69,7 @@ def _repeated(docs: DataFrame, classes: DataFrame, parts: int) -> DataFrame:
 
         for number, batch in enumerate(slices(batches)):
             sets, sigs, nodes = shingle_sets(utf8(batch), WIDTH), batch.column(1).to_pylist(), batch.column(2).to_numpy()
+            sizes = np.fromiter(map(len, sets), np.int64, len(sets))
             # another text can have the doc_id of the class's first document
             own = [k for k, s in enumerate(sets) if len(s) and hashlib.blake2b(s.tobytes(), digest_size=16).digest() == sigs[k]]
             if not own:
@@ -95,44 +89,75 @@ def _repeated(docs: DataFrame, classes: DataFrame, parts: int) -> DataFrame:
                 at = np.flatnonzero(np.concatenate(([True], p[1:] != p[:-1]))) if len(p) else []
                 for a, b in zip(at, np.append(at[1:], len(p))):
                     used, local = np.unique(w[a:b], return_inverse=True)
-                    yield int(p[a]), kind, _planes(np.diff(h[a:b], prepend=np.uint64(0))), _planes(local.astype(np.uint32)), nodes[used].tobytes()
+                    yield int(p[a]), kind, *_entries(h[a:b], local, nodes[used], sizes[used])
 
             found = list(rows(0, part, ~many | (place < 2)))
             if many.any():  # two of them tell the others that the shingle is repeated
                 found += rows(1, np.full(len(hashes), number % parts), many)
             columns = list(zip(*found))
             yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[2:])],
-                                             ["part", "known", "hashes", "local", "nodes"])
+                                             ["part", "known", "hashes", "local", "nodes", "sizes"])
 
     def meet(rows):
         import numpy as np
         import pandas as pd
 
-        hashes, nodes = [], []
-        sure = []
-        for known, h, w, used in zip(rows["known"], rows["hashes"], rows["local"], rows["nodes"]):
-            h, w, used = np.cumsum(_unplanes(h, np.uint64), dtype=np.uint64), _unplanes(w, np.uint32), np.frombuffer(used, np.int64)
-            (sure if known else hashes).append((h, used[w]) if known else h)
-            if not known:
-                nodes.append(used[w])
-        if hashes:
-            h, n = np.concatenate(hashes), np.concatenate(nodes)
-            del hashes, nodes
-            order = np.argsort(h, kind="stable")
-            h, n = h[order], n[order]
-            same = h[1:] == h[:-1]
-            twice = np.concatenate((same, [False])) | np.concatenate(([False], same))
-            sure.append((h[twice], n[twice]))
-        h, n = np.concatenate([s[0] for s in sure]), np.concatenate([s[1] for s in sure])
-        order = np.lexsort((h, n))
-        h, n = h[order].view(np.int64), n[order]
-        at = np.flatnonzero(np.concatenate(([True], n[1:] != n[:-1]))) if len(n) else np.zeros(0, np.int64)
-        return pd.DataFrame({"node": n[at], "hashes": np.split(h, at[1:]) if len(at) else []})
+        found = [_read_entries(*r) for r in zip(rows["hashes"], rows["local"], rows["nodes"], rows["sizes"])]
+        hashes, nodes, sizes = (np.concatenate(c) for c in zip(*found))
+        known = np.repeat(rows["known"].to_numpy() > 0, [len(f[0]) for f in found])
+        order = np.argsort(hashes, kind="stable")
+        hashes, nodes, sizes, known = hashes[order], nodes[order], sizes[order], known[order]
+        same = hashes[1:] == hashes[:-1]
+        twice = np.concatenate((same, [False])) | np.concatenate(([False], same)) | known
+        hashes, nodes, sizes = hashes[twice], nodes[twice], sizes[twice]
+        lot = (mix(nodes.view(np.uint64)) % np.uint64(parts)).astype(np.int64)
+        order = np.argsort(lot, kind="stable")
+        cut = np.searchsorted(lot[order], np.arange(parts + 1)).tolist()
+        out = []
+        for k, (a, b) in enumerate(zip(cut, cut[1:])):
+            if a < b:
+                mine = order[a:b]
+                used, first, local = np.unique(nodes[mine], return_index=True, return_inverse=True)
+                out.append((k, *_entries(hashes[mine], local, used, sizes[mine][first])))
+        return pd.DataFrame(out, columns=["lot", "hashes", "local", "nodes", "sizes"])
+
+    def gather(rows):
+        import numpy as np
+        import pandas as pd
+
+        found = [_read_entries(*r) for r in zip(rows["hashes"], rows["local"], rows["nodes"], rows["sizes"])]
+        hashes, nodes, sizes = (np.concatenate(c) for c in zip(*found))
+        hashes = hashes.view(np.int64)
+        order = np.lexsort((hashes, nodes))
+        hashes, nodes, sizes = hashes[order], nodes[order], sizes[order]
+        once = np.concatenate(([True], (hashes[1:] != hashes[:-1]) | (nodes[1:] != nodes[:-1])))
+        hashes, nodes, sizes = hashes[once], nodes[once], sizes[once]
+        at = np.flatnonzero(np.concatenate(([True], nodes[1:] != nodes[:-1])))
+        n, many = sizes[at], np.diff(np.append(at, len(nodes)))
+        first = n - -(-n * PERCENT // 100) + 1 - (n - many)
+        keep = np.flatnonzero(first > 0)
+        return pd.DataFrame({"node": nodes[at][keep], "n": n[keep], "first": first[keep].astype(np.int32),
+                             "tokens": pd.Series([hashes[at[k]:at[k] + many[k]] for k in keep], dtype=object)})
 
     firsts = classes.select(F.col("rep").alias("doc_id"), "sig", "node")
     rows = docs.join(firsts, "doc_id").select("doc_id", "sig", "node", "text")
-    return rows.mapInArrow(cut, "part bigint, known int, hashes binary, local binary, nodes binary") \
-        .groupBy("part").applyInPandas(meet, "node bigint, hashes array<bigint>")
+    entries = "hashes binary, local binary, nodes binary, sizes binary"
+    return rows.mapInArrow(cut, f"part bigint, known int, {entries}").groupBy("part").applyInPandas(meet, f"lot bigint, {entries}") \
+        .groupBy("lot").applyInPandas(gather, "node bigint, n bigint, first int, tokens array<bigint>")
+
+
+def _entries(hashes, local, nodes, sizes) -> tuple[bytes, bytes, bytes, bytes]:
+    """Entries (hash, node, size of the node's set) as bytes: ascending hashes, places in a list of nodes, the list and its sizes."""
+    import numpy as np
+
+    return pack(np.diff(hashes, prepend=np.uint64(0))), pack(local.astype(np.uint32)), pack(nodes), pack(sizes.astype(np.uint32))
+
+
+def _read_entries(hashes: bytes, local: bytes, nodes: bytes, sizes: bytes):
+    import numpy as np
+
+    local = unpack(local, np.uint32)
+    return np.cumsum(unpack(hashes, np.uint64), dtype=np.uint64), unpack(nodes, np.int64)[local], unpack(sizes, np.uint32)[local].astype(np.int64)
 
 
 def _candidates(docs: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -140,11 +165,7 @@ def _candidates(docs: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]
     classes = sets.filter("n > 0").groupBy("sig").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.count("*").alias("copies"))
     classes = materialize(classes.withColumn("node", F.monotonically_increasing_id()), "jaccard_classes")
     parts = int(classes.agg(F.sum("n")).first()[0] or 0) // PART_SHINGLES + 1
-    found = _repeated(docs, classes, max(parts, docs.sparkSession.sparkContext.defaultParallelism)) \
-        .groupBy("node").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("hashes")))).alias("tokens"))
-    # of the shingles in the prefix for l = 1, how many are repeated ones
-    first = F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1 - (F.col("n") - F.size("tokens"))
-    members = found.join(classes.select("node", "n"), "node").withColumn("first", first.cast("int")).filter("first > 0")
+    members = _members(docs, classes, max(parts, docs.sparkSession.sparkContext.defaultParallelism))
     return classes, materialize(members, "jaccard_members")
 
 
