@@ -6,7 +6,7 @@ A Python worker remembers the words it has met, up to ``MAX_WORDS``; then it sta
 
 from __future__ import annotations
 
-from itertools import chain
+from .idstore import IdStore
 
 MAX_WORDS = 1_000_000
 END_ID = 1
@@ -38,37 +38,8 @@ class WordEncoder:
         self._reset()
 
     def _reset(self):
-        import numpy as np
-
-        self.known: dict[str, int] = {}  # word -> number
-        self.begin, self.size = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)  # by number
-        self.flat, self.used = np.zeros(1 << 18, np.uint32), 0
-        self._add(["", END], [[], [self.end_id]])
-
-    @staticmethod
-    def _room(array, n):
-        import numpy as np
-
-        return array if n <= len(array) else np.concatenate((array, np.zeros(max(n - len(array), len(array)), array.dtype)))
-
-    def _add(self, words, ids):
-        import numpy as np
-
-        first, sizes = len(self.known), np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter(chain.from_iterable(ids), np.uint32, sizes.sum())
-        self.begin, self.size = self._room(self.begin, first + len(words)), self._room(self.size, first + len(words))
-        self.flat = self._room(self.flat, self.used + len(flat))
-        self.begin[first:first + len(words)] = self.used + np.cumsum(sizes) - sizes
-        self.size[first:first + len(words)] = sizes
-        self.flat[self.used:self.used + len(flat)] = flat
-        self.used += len(flat)
-        self.known.update(zip(words, range(first, first + len(words))))
-
-    @staticmethod
-    def _room(array, n):
-        import numpy as np
-
-        return array if n <= len(array) else np.concatenate((array, np.zeros(max(n - len(array), len(array)), array.dtype)))
+        self.store = IdStore()
+        self.store.add(["", END], [[], [self.end_id]])
 
     def _learn(self, words: list[str]):
         """A word of letters is one piece to the tokenizer, and so is a full stop or comma after it; the library's model cuts
@@ -93,36 +64,28 @@ class WordEncoder:
                 ids.append([*[t.id for t in cut(n if n.isascii() else n.encode().decode("latin-1").translate(self.spelling))], *tail])
             else:
                 others.append(w)
-        self._add(kept, ids)
-        self._add(others, [self.library.encode(w, add_special_tokens=False).ids for w in others])
+        self.store.add(kept, ids)
+        self.store.add(others, [self.library.encode(w, add_special_tokens=False).ids for w in others])
 
     def encode(self, texts):
         """(ids of all texts in a row as uint32, the end of each text in them) of an Arrow string array; the end id closes
         each text and a null is empty."""
         import numpy as np
-        import pyarrow as pa
         import pyarrow.compute as pc
 
-        if len(self.known) > self.max_words:
+        if len(self.store.known) > self.max_words:
             self._reset()
         texts = texts.fill_null("")
         special = pc.any(pc.match_substring(texts, "<|")).as_py()  # special tokens keep their case
         lists = pc.ascii_split_whitespace(texts if special else pc.ascii_lower(texts))
         until = lists.offsets.to_numpy()
         coded = lists.values[until[0]:until[-1]].dictionary_encode()
-        words = coded.dictionary.to_pylist()
-        numbers = list(map(self.known.get, words))
-        if None in numbers:
-            self._learn([w for w, n in zip(words, numbers) if n is None])
-            numbers = list(map(self.known.get, words))
-        numbers, until = np.array(numbers, np.int64), until.astype(np.int64) - until[0]
+        numbers = np.array(self.store.numbers(coded.dictionary.to_pylist(), self._learn), np.int64)
+        until = until.astype(np.int64) - until[0]
         end = until[1:] + np.arange(len(texts))  # the word after a text's last one is its end
-        row = np.full(len(coded) + len(texts), self.known[END], np.int64)
+        row = np.full(len(coded) + len(texts), self.store.known[END], np.int64)
         inside = np.ones(len(row), bool)
         inside[end] = False
         row[inside] = numbers[coded.indices.to_numpy(zero_copy_only=False)]
-        sizes = self.size[row]
-        after = np.cumsum(sizes)
-        at = np.repeat(self.begin[row] - after + sizes, sizes)
-        at += np.arange(len(at))
-        return self.flat[at], after[end]
+        ids, after = self.store.gather(row)
+        return ids, after[end]
