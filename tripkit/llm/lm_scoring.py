@@ -26,8 +26,8 @@ from .common import held_out, table
 from .hashing import mix, word_hashes
 from .packed import pack, unpack
 
-CHUNK_BYTES = 8 << 20
-PART_BYTES = 12 << 20
+CHUNK_BYTES = 6 << 20
+PART_BYTES = 10 << 20
 LAST_DISCOUNTED = 5
 KEPT_BACK = 0.1
 START, END = 0x5354415254, 0x454E44
@@ -214,7 +214,8 @@ def _rows(found: list[dict]):
 
 
 def _weigh(rows):
-    """Part -> the backoff weights of its histories (chunk -1), and for each text the logarithm of the weights it needs."""
+    """Part -> the backoff weights of its histories (chunk -1), and for each chunk the logarithms of the weights that its texts
+    need, added up by text."""
     import numpy as np
     import pandas as pd
 
@@ -225,13 +226,23 @@ def _weigh(rows):
         sums = np.concatenate([np.frombuffer(s, float).reshape(3, -1) for s in owned["sums"]], axis=1)
         unigram, kept, count = (np.bincount(at, s, len(keys)) for s in sums)
         weight = np.log10((1 - kept / count) / np.maximum(1 - unigram, 1e-300))
-        out.append(pd.DataFrame({"chunk": [-1], "place": [-1], "weight": [0.0], "keys": [keys.tobytes()], "weights": [weight.tobytes()]}))
+        out.append((-1, keys.tobytes(), weight.tobytes()))
         for chunk, k, p in zip(asked["chunk"], asked["keys"], asked["sums"]):
             k, p = np.cumsum(unpack(k, np.uint64), dtype=np.uint64), unpack(p, np.uint32)
             places, to = np.unique(p, return_inverse=True)
             total = np.bincount(to, weight[np.searchsorted(keys, k)], len(places))
-            out.append(pd.DataFrame({"chunk": chunk, "place": places.astype(np.int64), "weight": total, "keys": None, "weights": None}))
-    return pd.concat(out) if out else pd.DataFrame({"chunk": [], "place": [], "weight": [], "keys": [], "weights": []})
+            out.append((chunk, pack(places), total.tobytes()))
+    return pd.DataFrame(out, columns=["chunk", "keys", "weights"])
+
+
+def _add_up(rows):
+    """Chunk -> the logarithm of all weights that each of its texts backs off with."""
+    import numpy as np
+    import pandas as pd
+
+    places, at = np.unique(np.concatenate([unpack(k, np.uint32) for k in rows["keys"]]), return_inverse=True)
+    total = np.bincount(at, np.concatenate([np.frombuffer(w, float) for w in rows["weights"]]), len(places))
+    return pd.DataFrame({"chunk": rows["chunk"].iloc[0], "place": places.astype(np.int64), "weight": total})
 
 
 def katz_scores(docs: DataFrame, mod: int = 7, remainder: int = 2) -> DataFrame:
@@ -257,8 +268,8 @@ def katz_scores(docs: DataFrame, mod: int = 7, remainder: int = 2) -> DataFrame:
     answers = counted.filter("chunk >= 0").select("chunk", "kind", "part", "counts", "own")
     rows = materialize(dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_evaluate(model, parts), KINDS), "lm_rows")
     weights = materialize(rows.filter("kind > 0").select("kind", "chunk", "part", "keys", "sums").groupBy("part")
-                          .applyInPandas(_weigh, "chunk bigint, place bigint, weight double, keys binary, weights binary"), "lm_weights")
-    backed = weights.filter("chunk >= 0").groupBy("chunk", "place").agg(F.sum("weight").alias("weight"))
+                          .applyInPandas(_weigh, "chunk bigint, keys binary, weights binary"), "lm_weights")
+    backed = weights.filter("chunk >= 0").groupBy("chunk").applyInPandas(_add_up, "chunk bigint, place bigint, weight double")
     found = rows.filter("kind = 0").join(backed, ["chunk", "place"], "left")
     return found.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.n).cast("bigint").alias("train_tokens"), "base_score",
                         (F.col("score") + F.coalesce("weight", F.lit(0.0))).alias("score"))
