@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import slices, split_heavy, table, utf8
+from .common import join_groups, slices, table, utf8
 from .components import components
 from .hashing import mix, shingle_sets
 from .packed import pack, unpack
@@ -40,7 +40,7 @@ OUTPUT = ("n_shingles", "component_id")
 
 
 def _sets(docs: DataFrame) -> DataFrame:
-    """(doc_id, n, sig): size and 128-bit digest of each document's shingle set."""
+    """(doc_id, text_hash, n, sig): size and 128-bit digest of each document's shingle set."""
     def body(batches):
         import hashlib
 
@@ -49,9 +49,10 @@ def _sets(docs: DataFrame) -> DataFrame:
         for batch in slices(batches):
             sets = shingle_sets(utf8(batch), WIDTH)
             sig = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(sig, pa.binary())], ["doc_id", "n", "sig"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array([len(s) for s in sets], pa.int64()), pa.array(sig, pa.binary())],
+                                             ["doc_id", "text_hash", "n", "sig"])
 
-    return docs.mapInArrow(body, "doc_id bigint, n bigint, sig binary")
+    return docs.mapInArrow(body, "doc_id bigint, text_hash bigint, n bigint, sig binary")
 
 
 def _members(docs: DataFrame, classes: DataFrame, parts: int) -> DataFrame:
@@ -62,20 +63,16 @@ def _members(docs: DataFrame, classes: DataFrame, parts: int) -> DataFrame:
     many lots. Both ways they travel as packed arrays.
     """
     def cut(batches):
-        import hashlib
-
         import numpy as np
         import pyarrow as pa
+        from pyspark import TaskContext
 
         for number, batch in enumerate(slices(batches)):
-            sets, sigs, nodes = shingle_sets(utf8(batch), WIDTH), batch.column(1).to_pylist(), batch.column(2).to_numpy()
+            nodes, own = np.unique(batch.column(0).to_numpy(), return_index=True)  # a repeated row counts once
+            texts = utf8(batch)
+            sets = shingle_sets([texts[k] for k in own], WIDTH)
             sizes = np.fromiter(map(len, sets), np.int64, len(sets))
-            # another text can have the doc_id of the class's first document
-            own = [k for k, s in enumerate(sets) if len(s) and hashlib.blake2b(s.tobytes(), digest_size=16).digest() == sigs[k]]
-            if not own:
-                continue
-            hashes = np.concatenate([sets[k] for k in own])
-            who = np.repeat(np.array(own, np.int32), [len(sets[k]) for k in own])
+            hashes, who = np.concatenate(sets), np.repeat(np.arange(len(sets), dtype=np.int32), sizes)
             order = np.argsort(hashes, kind="stable")
             hashes, who = hashes[order], who[order]
             fresh = np.concatenate(([True], hashes[1:] != hashes[:-1]))
@@ -93,7 +90,7 @@ def _members(docs: DataFrame, classes: DataFrame, parts: int) -> DataFrame:
 
             found = list(rows(0, part, ~many | (place < 2)))
             if many.any():  # two of them tell the others that the shingle is repeated
-                found += rows(1, np.full(len(hashes), number % parts), many)
+                found += rows(1, np.full(len(hashes), (31 * TaskContext.get().partitionId() + number) % parts), many)
             columns = list(zip(*found))
             yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[2:])],
                                              ["part", "known", "hashes", "local", "nodes", "sizes"])
@@ -139,8 +136,8 @@ def _members(docs: DataFrame, classes: DataFrame, parts: int) -> DataFrame:
         return pd.DataFrame({"node": nodes[at][keep], "n": n[keep], "first": first[keep].astype(np.int32),
                              "tokens": pd.Series([hashes[at[k]:at[k] + many[k]] for k in keep], dtype=object)})
 
-    firsts = classes.select(F.col("rep").alias("doc_id"), "sig", "node")
-    rows = docs.join(firsts, "doc_id").select("doc_id", "sig", "node", "text")
+    firsts = classes.select(F.col("rep").alias("doc_id"), "text_hash", "node")
+    rows = docs.join(firsts, ["doc_id", "text_hash"]).select("node", "text")
     entries = "hashes binary, local binary, nodes binary, sizes binary"
     return rows.mapInArrow(cut, f"part bigint, known int, {entries}").groupBy("part").applyInPandas(meet, f"lot bigint, {entries}") \
         .groupBy("lot").applyInPandas(gather, "node bigint, n bigint, first int, tokens array<bigint>")
@@ -162,7 +159,8 @@ def _read_entries(hashes: bytes, local: bytes, nodes: bytes, sizes: bytes):
 
 def _candidates(docs: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(classes, members): members have the classes that may link, with their repeated shingles in global order."""
-    classes = sets.filter("n > 0").groupBy("sig").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.count("*").alias("copies"))
+    classes = sets.filter("n > 0").groupBy("sig").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"), F.first("n").alias("n"), F.count("*").alias("copies"))
+    classes = classes.select("sig", F.col("first.doc_id").alias("rep"), F.col("first.text_hash").alias("text_hash"), "n", "copies")
     classes = materialize(classes.withColumn("node", F.monotonically_increasing_id()), "jaccard_classes")
     parts = int(classes.agg(F.sum("n")).first()[0] or 0) // PART_SHINGLES + 1
     members = _members(docs, classes, max(parts, docs.sparkSession.sparkContext.defaultParallelism))
@@ -177,10 +175,7 @@ def _prefixes(members: DataFrame) -> DataFrame:
         .withColumn("level", F.greatest(F.col("place") - F.col("first") + 2, F.lit(1)))
     entries = materialize(entries, "jaccard_entries")
     buckets = entries.groupBy("hash").agg(F.count("*").alias("bucket")).filter("bucket > 1")
-    heavy, light = split_heavy(buckets, "bucket", entries.count())
-    entries = entries.join(F.broadcast(heavy), "hash", "left")
-    met = entries.filter("bucket is not null").unionByName(entries.filter("bucket is null").drop("bucket").join(light, "hash").select(entries.columns))
-    met = materialize(met, "jaccard_met")
+    met = materialize(join_groups(entries, buckets.withColumn("size", F.col("bucket")), "hash", "size", entries.count(), "inner"), "jaccard_met")
     # by l: the entries its buckets hold, of which about one in l reaches verification
     costs = [F.sum(F.when(F.col("level") <= match, F.col("bucket") - 1)) * (1 + F.lit(VERIFY_COST) / match) for match in range(1, MAX_MATCH + 1)]
     costs = F.array(*[F.when(F.first("most") >= match, F.struct(F.coalesce(c, F.lit(0.0)).alias("cost"), F.lit(match).alias("match"))) for match, c in enumerate(costs, 1)])
@@ -206,14 +201,12 @@ def _small_links(entries: DataFrame, members: DataFrame) -> DataFrame:
 
 def _large_links(entries: DataFrame, members: DataFrame) -> DataFrame:
     """(a, b): a spanning forest of the links among documents that large buckets connect."""
-    heavy, light = split_heavy(entries.groupBy("hash").agg(F.min("node").alias("least"), F.count("*").alias("size")), "size", entries.count())
-    told = entries.join(F.broadcast(heavy.select("hash", "least")), "hash", "left")
-    edges = told.filter("least is not null").select(F.col("node").alias("a"), F.col("least").alias("b")) \
-        .unionByName(told.filter("least is null").drop("least").join(light.select("hash", "least"), "hash").select(F.col("node").alias("a"), F.col("least").alias("b")))
+    buckets = entries.groupBy("hash").agg(F.min("node").alias("b"), F.count("*").alias("size"))
+    edges = join_groups(entries.select("hash", F.col("node").alias("a")), buckets, "hash", "size", entries.count()).select("a", "b")
     families = components(edges).withColumnRenamed("component", "family")
     rows = materialize(families.join(members.select("node", "n", "tokens"), "node"), "jaccard_families")
-    blocks = rows.groupBy("family").agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum(F.size("tokens")) / BLOCK_SHINGLES)).cast("int").alias("blocks"))
-    placed = rows.join(blocks, "family").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    blocks = rows.groupBy("family").agg(F.count("*").alias("size"), F.ceil(F.greatest(F.count("*") / BLOCK, F.sum(F.size("tokens")) / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    placed = join_groups(rows, blocks, "family", "size", rows.count()).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     tiles = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
         .select("family", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "n", "tokens")
 
@@ -252,7 +245,8 @@ def _large_links(entries: DataFrame, members: DataFrame) -> DataFrame:
                     edges.append((node[k], node[m]))
         return pd.DataFrame(edges, columns=["a", "b"], dtype="int64")
 
-    return tiles.groupBy("family", "low", "high").applyInPandas(verify, "a bigint, b bigint")
+    # dealt by block pair: dealt by family alone, a large family's pairs would be one task
+    return tiles.repartition("family", "low", "high").groupBy("family", "low", "high").applyInPandas(verify, "a bigint, b bigint")
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
@@ -263,7 +257,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     links with nothing. Rows with equal sets, repeated rows among them, are linked; rows with the same doc_id are documents of their own. An
     empty table gives an empty result. A null doc_id is passed on and its row links with nothing.
     """
-    docs = docs.select(F.col("doc_id").cast("bigint"), "text")
+    docs = docs.select(F.col("doc_id").cast("bigint"), "text", F.xxhash64("text").alias("text_hash"))
     sets = materialize(_sets(docs), "jaccard_sets")
     classes, members = _candidates(docs, sets.filter("doc_id is not null"))
     entries = materialize(_prefixes(members), "jaccard_prefixes")
@@ -273,10 +267,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     least = joined.groupBy("component").agg(F.min("rep").alias("component_id"))
     linked = joined.join(least, "component").select("node", "component_id")
     found = classes.join(linked, "node", "left").select("sig", "copies", F.coalesce("component_id", "rep").alias("component_id"))
-    heavy, light = split_heavy(found, "copies", sets.count())
-    known = sets.join(F.broadcast(heavy.select("sig", "component_id")), "sig", "left")
-    rest = known.filter("component_id is null").drop("component_id").join(light.select("sig", "component_id"), "sig", "left")
-    out = known.filter("component_id is not null").unionByName(rest.select(known.columns))
+    out = join_groups(sets, found, "sig", "copies", sets.count())
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
 
