@@ -33,10 +33,38 @@ def with_fields(schema: T.StructType, *fields: tuple[str, str]) -> T.StructType:
     return out
 
 
+_KEPT: dict = {"stage": None, "things": {}}
+
+
+def forget() -> None:
+    """Drop what this Python worker kept for another stage: workers live on, and one stage's words are no use to the next."""
+    import gc
+
+    import pyarrow as pa
+    from pyspark import TaskContext
+
+    context = TaskContext.get()
+    stage = context.stageId() if context else None
+    if stage != _KEPT["stage"]:
+        _KEPT.update(stage=stage, things={})
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+
+
+def kept(name, make):
+    """What ``make`` returned when this Python worker first asked for ``name`` in the running stage."""
+    forget()
+    things = _KEPT["things"]
+    if name not in things:
+        things[name] = make()
+    return things[name]
+
+
 def slices(batches: Iterable, text_col: str = "text", max_bytes: int = SLICE_BYTES) -> Iterator:
     """Cut Arrow batches so that each slice holds about ``max_bytes`` of text (one row at least)."""
     import numpy as np
 
+    forget()
     for batch in batches:
         n = batch.num_rows
         if not n:

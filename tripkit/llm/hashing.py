@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
-_FACTOR = 0x100000001B3
-_POWERS: dict[bool, object] = {}
+from .common import kept
 
+_FACTOR = 0x100000001B3
 
 def _powers(n: int, inverse: bool):
     """Powers of an odd number modulo 2 ** 64, or of its inverse, kept up to the longest input met."""
     import numpy as np
 
-    held = _POWERS.get(inverse)
+    powers = kept("powers", dict)
+    held = powers.get(inverse)
     if held is None or len(held) < n:
         factors = np.full(max(n, 1 << 20), pow(_FACTOR, -1 if inverse else 1, 1 << 64), np.uint64)
         factors[0] = 1
-        held = _POWERS[inverse] = np.multiply.accumulate(factors)
+        held = powers[inverse] = np.multiply.accumulate(factors)
     return held[:n]
 
 

@@ -159,7 +159,7 @@ def cut(docs: DataFrame, length: int = LENGTH, grain: int = GRAIN, tokenizer: st
         from pyspark import TaskContext
 
         task, seen = TaskContext.get().partitionId(), np.zeros(length // grain + 2, np.int64)
-        for batch in slices(batches, max_bytes=2 * SLICE_BYTES):
+        for batch in slices(batches, max_bytes=SLICE_BYTES if with_ids else 2 * SLICE_BYTES):
             ids, end = word_encoder(tokenizer, end_id).encode(batch.column(batch.schema.get_field_index("text")))
             tokens = np.diff(end, prepend=0)
             pieces = -(-tokens // length)

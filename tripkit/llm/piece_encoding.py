@@ -14,24 +14,20 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import SLICE_BYTES, slices, table, with_fields
+from .common import SLICE_BYTES, kept, slices, table, with_fields
 from .idstore import IdStore
 
-MAX_CHUNKS = 1_000_000
+MAX_CHUNKS = 800_000
 BLANK = "▁"
 OUTPUT = ("n_tokens", "ids_sha256", "decoded_sha256", "n_differ")
 # Texts that a split at every blank would not cut into chunks
 IRREGULAR = f"  | \n|^[ \n]| $|{BLANK}"
 CHUNK = re.compile(f"\n[^{BLANK}\n]*|{BLANK}*[^{BLANK}\n]+|{BLANK}+")
 
-_ENCODERS: dict = {}
-
 
 def piece_encoder(path: str | None = None) -> "PieceEncoder":
     """The encoder of this Python worker; ``path`` None is the 32k vocabulary of ``public_tokenizers``."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = PieceEncoder(path)
-    return _ENCODERS[path]
+    return kept(("pieces", path), lambda: PieceEncoder(path))
 
 
 class PieceEncoder:

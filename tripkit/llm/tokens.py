@@ -6,20 +6,17 @@ A Python worker remembers the words it has met, up to ``MAX_WORDS``; then it sta
 
 from __future__ import annotations
 
+from .common import kept
 from .idstore import IdStore
 
-MAX_WORDS = 1_000_000
+MAX_WORDS = 600_000
 END_ID = 1
 END = " "  # stands for the end of a text: no word has a space
 
-_ENCODERS: dict[tuple, "WordEncoder"] = {}
-
 
 def word_encoder(path: str | None = None, end_id: int = END_ID) -> "WordEncoder":
     """The encoder of this Python worker; ``path`` None is the 49k word vocabulary of ``public_tokenizers``."""
-    if (path, end_id) not in _ENCODERS:
-        _ENCODERS[path, end_id] = WordEncoder(path, end_id)
-    return _ENCODERS[path, end_id]
+    return kept(("words", path, end_id), lambda: WordEncoder(path, end_id))
 
 
 class WordEncoder:
