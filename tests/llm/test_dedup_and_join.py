@@ -110,6 +110,27 @@ def test_jaccard_near_copies(spark, monkeypatch, small, block):
     assert 6 < len({r["component_id"] for r in got}) < len(rows)
 
 
+def brute_links(rows):
+    sets = [shingles(r[1]) for r in rows]
+    real = [k for k, r in enumerate(rows) if r[0] is not None and sets[k]]
+    n = {k: sum(j != k and 100 * len(sets[k] & sets[j]) >= 80 * len(sets[k] | sets[j]) for j in real) for k in real}
+    return sorted(str((r[0], n.get(k, 0))) for k, r in enumerate(rows))
+
+
+@pytest.mark.parametrize("small, block", [(32, 2048), (3, 10), (8, 4)])
+def test_jaccard_counts_every_link_of_each_document(spark, odd, monkeypatch, small, block):
+    monkeypatch.setattr(JJ, "SMALL", small)
+    monkeypatch.setattr(JJ, "BLOCK", block)
+    monkeypatch.setattr(JJ, "LOCAL", 4)
+    rows = near_copies(9, 4, 20, shared=["a", "common", "line", "of", "nine", "words", "at", "the", "end"])
+    rows += [(1000 + k, rows[k % 7][1].upper(), "en", "s", 1) for k in range(20)]  # copies: links of their own, and weights of others'
+    rows += [(2000 + g, words(7000 + g // 2, 80) + (" last" if g % 2 else ""), "en", "s", 1) for g in range(10)]
+    rows += odd_rows()
+    got = JJ.jaccard_links(spark.createDataFrame(rows, KINDS)).collect()
+    assert sorted(str((r["doc_id"], r["n_links"])) for r in got) == brute_links(rows)
+    assert max(r["n_links"] for r in got) > 10 and tuple(got[0].asDict())[1:] == JJ.OUTPUT
+
+
 def test_components_of_chain_star_and_loops(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(30)] + [(7, 7), (200, 201), (201, 200), (200, 201)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}

@@ -11,7 +11,8 @@ judged by the lesser l of the two, at which both prefixes hold.
 
 Pairs of buckets of up to ``SMALL`` documents are counted and verified by joins. The documents of larger buckets are gathered by
 families (documents that large buckets connect), cut into blocks, and each pair of blocks is one task that verifies its pairs and
-returns a spanning forest of the links, so copies of one text never become all their pairs.
+returns a spanning forest of the links and how many links each document has, so copies of one text never become all their pairs.
+A pair within a family is left to its blocks, so that each link is counted once.
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ PART_SHINGLES = 2_000_000
 LOCAL = 32
 # What verifying a pair costs, in bucket entries read
 VERIFY_COST = 8
-OUTPUT = ("n_shingles", "component_id")
+OUTPUT = ("n_shingles", "component_id", "n_links")
 
 
 def _sets(docs: DataFrame) -> DataFrame:
@@ -188,33 +189,41 @@ def _near(a: str, b: str):
     return (F.col(a) * 100 >= F.col(b) * PERCENT) & (F.col(b) * 100 >= F.col(a) * PERCENT)
 
 
-def _small_links(entries: DataFrame, members: DataFrame) -> DataFrame:
-    """(a, b) of the links whose documents share prefix shingles in small buckets."""
+def _small_links(entries: DataFrame, members: DataFrame, families: DataFrame) -> DataFrame:
+    """(a, b), once each, of the links whose documents share prefix shingles in small buckets and are not of one family."""
     pairs = entries.alias("l").join(entries.alias("r"), (F.col("l.hash") == F.col("r.hash")) & (F.col("l.node") < F.col("r.node")) & _near("l.n", "r.n")) \
         .select(F.col("l.node").alias("a"), F.col("r.node").alias("b"), F.least("l.match", "r.match").alias("match"), F.greatest("l.level", "r.level").alias("level"))
     pairs = pairs.filter("level <= match").groupBy("a", "b", "match").count().filter("count >= match").select("a", "b")
+    fa, fb = (families.select(F.col("node").alias(k), F.col("family").alias("family" + k)) for k in "ab")
+    pairs = pairs.join(fa, "a", "left").join(fb, "b", "left").filter("familya is null or familyb is null or familya <> familyb").select("a", "b")
     one, two = (members.select(F.col("node").alias(k), F.col("n").alias("n" + k), F.col("tokens").alias("tokens" + k)) for k in "ab")
     both = materialize(pairs, "jaccard_pairs").join(one, "a").join(two, "b") \
         .withColumn("shared", F.size(F.array_intersect("tokensa", "tokensb")))
     return both.filter(F.col("shared") * 100 >= PERCENT * (F.col("na") + F.col("nb") - F.col("shared"))).select("a", "b")
 
 
-def _large_links(entries: DataFrame, members: DataFrame) -> DataFrame:
-    """(a, b): a spanning forest of the links among documents that large buckets connect."""
+def _families(entries: DataFrame) -> DataFrame:
+    """(node, family) of the documents that large buckets connect."""
     buckets = entries.groupBy("hash").agg(F.min("node").alias("b"), F.count("*").alias("size"))
     edges = join_groups(entries.select("hash", F.col("node").alias("a")), buckets, "hash", "size", entries.count()).select("a", "b")
-    families = components(edges).withColumnRenamed("component", "family")
-    rows = materialize(families.join(members.select("node", "n", "tokens"), "node"), "jaccard_families")
+    return components(edges).withColumnRenamed("component", "family")
+
+
+def _large_links(families: DataFrame, members: DataFrame, classes: DataFrame) -> DataFrame:
+    """The links within families: (a, b, null), a spanning forest of them, and (a, null, links), from each pair of blocks the
+    documents that a links with there, copies included."""
+    rows = families.join(classes.select("node", "copies"), "node").join(members.select("node", "n", "tokens"), "node")
+    rows = materialize(rows, "jaccard_families")
     blocks = rows.groupBy("family").agg(F.count("*").alias("size"), F.ceil(F.greatest(F.count("*") / BLOCK, F.sum(F.size("tokens")) / BLOCK_SHINGLES)).cast("int").alias("blocks"))
     placed = join_groups(rows, blocks, "family", "size", rows.count()).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     tiles = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
-        .select("family", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "n", "tokens")
+        .select("family", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "n", "copies", "tokens")
 
     def verify(rows):
         import numpy as np
         import pandas as pd
 
-        node, n, block = rows["node"].to_numpy(), rows["n"].to_numpy(), rows["block"].to_numpy()
+        node, n, block, copies = (rows[c].to_numpy() for c in ("node", "n", "block", "copies"))
         low, high = int(rows["low"].iloc[0]), int(rows["high"].iloc[0])
         sizes = np.fromiter(map(len, rows["tokens"]), np.int64, len(rows))
         flat = np.concatenate(list(rows["tokens"]))
@@ -234,25 +243,31 @@ def _large_links(entries: DataFrame, members: DataFrame) -> DataFrame:
                 k = root[k]
             return k
 
-        edges = []
+        edges, links = [], np.zeros(len(rows), np.int64)
         for k in np.flatnonzero(block == low).tolist():
             mine = rank[begin[k]:begin[k] + sizes[k]]
             shared = np.bincount(np.concatenate([owner[a:b] for a, b in zip(first[mine].tolist(), last[mine].tolist())]), minlength=len(rows))
             link = (shared * 100 >= PERCENT * (n + n[k] - shared)) & ((block == high) if low != high else (np.arange(len(rows)) > k))
+            links[k] += copies[link].sum()
+            links[link] += copies[k]
             for m in np.flatnonzero(link).tolist():
                 if (x := find(k)) != (y := find(m)):
                     root[max(x, y)] = min(x, y)
                     edges.append((node[k], node[m]))
-        return pd.DataFrame(edges, columns=["a", "b"], dtype="int64")
+        some = np.flatnonzero(links)
+        a, b = zip(*edges) if edges else ((), ())
+        return pd.DataFrame({"a": np.concatenate((np.array(a, np.int64), node[some])), "b": pd.array([*b, *[None] * len(some)], "Int64"),
+                             "links": pd.array([*[None] * len(edges), *links[some].tolist()], "Int64")})
 
     # dealt by block pair: dealt by family alone, a large family's pairs would be one task
-    return tiles.repartition("family", "low", "high").groupBy("family", "low", "high").applyInPandas(verify, "a bigint, b bigint")
+    return tiles.repartition("family", "low", "high").groupBy("family", "low", "high").applyInPandas(verify, "a bigint, b bigint, links bigint")
 
 
-def jaccard_components(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id): one row for each row of ``docs`` (doc_id, text).
+def jaccard_links(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id, n_links): one row for each row of ``docs`` (doc_id, text).
 
-    component_id is the smallest doc_id that links lead to, the document's own included. Words are compared with A-Z
+    component_id is the smallest doc_id that links lead to, the document's own included; n_links is the number of other rows that
+    the row itself links with. Words are compared with A-Z
     lower-cased. A document of fewer than five words is one shingle of all of them; one without words, empty or null,
     links with nothing. Rows with equal sets, repeated rows among them, are linked; rows with the same doc_id are documents of their own. An
     empty table gives an empty result. A null doc_id is passed on and its row links with nothing.
@@ -261,19 +276,30 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     sets = materialize(_sets(docs), "jaccard_sets")
     classes, members = _candidates(docs, sets.filter("doc_id is not null"))
     entries = materialize(_prefixes(members), "jaccard_prefixes")
-    links = materialize(_small_links(entries.filter(F.col("bucket") <= SMALL), members)
-                        .unionByName(_large_links(entries.filter(F.col("bucket") > SMALL), members)), "jaccard_links")
-    joined = components(links).join(classes.select("node", "rep"), "node")
+    families = materialize(_families(entries.filter(F.col("bucket") > SMALL)), "jaccard_family")
+    small = materialize(_small_links(entries.filter(F.col("bucket") <= SMALL), members, families), "jaccard_small")
+    large = materialize(_large_links(families, members, classes), "jaccard_large")
+    joined = components(small.unionByName(large.filter("b is not null").select("a", "b"))).join(classes.select("node", "rep"), "node")
     least = joined.groupBy("component").agg(F.min("rep").alias("component_id"))
     linked = joined.join(least, "component").select("node", "component_id")
-    found = classes.join(linked, "node", "left").select("sig", "copies", F.coalesce("component_id", "rep").alias("component_id"))
+    both = small.unionByName(small.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    counts = both.join(classes.select(F.col("node").alias("b"), F.col("copies").alias("links")), "b").select("a", "links") \
+        .unionByName(large.filter("b is null").select("a", "links")).groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
+    found = classes.join(linked, "node", "left").join(counts, "node", "left") \
+        .select("sig", "copies", F.coalesce("component_id", "rep").alias("component_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     out = join_groups(sets, found, "sig", "copies", sets.count())
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
+    links = F.when(F.col("doc_id").isNotNull(), F.coalesce("n_links", F.lit(0))).otherwise(0)
+    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), links.cast("bigint").alias("n_links"))
+
+
+def jaccard_components(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of ``jaccard_links``."""
+    return jaccard_links(docs).drop("n_links")
 
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_components(table(spark, sf_dir, "documents"))
+    return jaccard_links(table(spark, sf_dir, "documents"))
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
