@@ -262,6 +262,58 @@ def test_katz_equals_brute_force(spark, monkeypatch, empty):
     assert LM.katz_scores(empty).count() == 0
 
 
+def brute_katz(texts, order):
+    """The log10 probability of a list of tokens, by the recursive definition, for a model of any order."""
+    counts, after = [Counter() for _ in range(order)], Counter()
+    for t in texts:
+        padded = ["\r"] * (order - 1) + t
+        for k in range(order - 1, len(padded)):
+            for level in range(order):
+                counts[level][tuple(padded[k - level:k + 1])] += 1
+                after[tuple(padded[k - level:k])] += 1
+    keep = [LM.discounts([sum(v == r for v in c.values()) for r in range(1, LM.LAST_DISCOUNTED + 2)]) for c in counts]
+    follow = {}
+    for c in counts:
+        for g in c:
+            follow.setdefault(g[:-1], []).append(g[-1])
+
+    def cut(g):
+        c = counts[len(g) - 1][g]
+        return c - LM.KEPT_BACK if c > LM.LAST_DISCOUNTED else keep[len(g) - 1][c - 1] * c
+
+    unknown = 1 - sum(map(cut, counts[0])) / after[()]
+
+    def p(h, w):
+        if counts[len(h)][h + (w,)]:
+            return cut(h + (w,)) / after[h]
+        if not h:
+            return unknown
+        if h not in follow:
+            return p(h[1:], w)
+        return (1 - sum(cut(h + (x,)) for x in follow[h]) / after[h]) / (1 - sum(p(h[1:], x) for x in follow[h])) * p(h[1:], w)
+
+    def score(t):
+        padded = ["\r"] * (order - 1) + t
+        return sum(math.log10(p(tuple(padded[k - order + 1:k]), padded[k])) for k in range(order - 1, len(padded)))
+
+    return score
+
+
+@pytest.mark.parametrize("order", [1, 3, 4])
+def test_katz_of_any_order_equals_brute_force(spark, monkeypatch, order):
+    monkeypatch.setattr(LM, "CHUNK_BYTES", 2_000)
+    monkeypatch.setattr(LM, "PART_BYTES", 3_000)
+    rows = [(200 + i, words(i % 35, 60, 12), "en", "s", 1) for i in range(50)] + [(300, None, "en", "s", 1), (301, "", "en", "s", 1)]
+    texts = {r[0]: (r[1] or "").split() + ["\n"] for r in rows}
+    score = brute_katz([t for i, t in texts.items() if not out(i, 7)], order)
+    got = {r["doc_id"]: r["score"] for r in LM.katz_scores(spark.createDataFrame(rows, KINDS), order=order).collect()}
+    assert got == {i: pytest.approx(score(t)) for i, t in texts.items()}
+    if order == 3:
+        assert LM.ORDER == 3
+        bigram = brute_katz([t for i, t in texts.items() if not out(i, 7)], 2)
+        assert any(abs(bigram(t) - got[i]) > 0.1 for i, t in texts.items())
+
+
 def test_katz_odd_rows(odd):
     got = LM.katz_scores(odd).collect()
     assert len(got) == len(odd_rows()) and all(math.isfinite(r["score"]) and math.isfinite(r["base_score"]) for r in got)

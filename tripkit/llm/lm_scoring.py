@@ -1,18 +1,19 @@
 """Language-model scoring with Katz backoff.
 
-A bigram model over lower-cased words, each text closed by an end token and begun by a start history:
+A model of any order over lower-cased words, each text closed by an end token and begun by start tokens. With h = v h' a history:
 
-    P(w | h) = d(c(h w)) c(h w) / c(h)     where the training texts have the bigram h w
-             = alpha(h) P(w)               otherwise; alpha is 1 for a history they don't have
+    P(w | h) = d(c(h w)) c(h w) / c(h)     where the training texts have the n-gram h w
+             = alpha(h) P(w | h')          otherwise; alpha is 1 for a history they don't have
     P(w)     = d1(c(w)) c(w) / N, and the mass that this leaves for words they don't have
 
-d and d1 are Good-Turing discounts for counts up to ``LAST_DISCOUNTED``; larger counts lose ``KEPT_BACK`` of a count, so that after
-every history some mass is left. alpha(h) is that mass over the unigram mass of the words not seen after h, both summed exactly.
+Each level has its own Good-Turing discounts for counts up to ``LAST_DISCOUNTED``; larger counts lose ``KEPT_BACK`` of a count, so that
+after every history some mass is left. alpha(h) is that mass over the mass that P(. | h') gives the words not seen after h, both summed
+exactly. A word seen after h is seen after h' too, so the sums need counts only, no other weights.
 
 Texts are dealt into chunks of some MB. A chunk sends its distinct n-grams and their training counts, as packed sorted hashes, to
 the parts of a table that is partitioned by ranges of the hash; a part adds up the counts and answers each chunk. Then a chunk sums up
-what it knows of each history (one chunk owns each distinct bigram), the parts turn the sums into the table of backoff
-weights, and answer for each text the weights that it backs off with. Corpus statistics grow with the corpus in these
+what it knows of each history that a held-out text has (one chunk owns each distinct n-gram; a training text's own n-grams are all
+known, it never backs off), the parts turn the sums into backoff weights, and answer for each text those that it backs off with. Corpus statistics grow with the corpus in these
 tables only; the driver sees some counts of counts.
 """
 
@@ -31,7 +32,7 @@ PART_BYTES = 10 << 20
 LAST_DISCOUNTED = 5
 KEPT_BACK = 0.1
 START, END = 0x5354415254, 0x454E44
-WORDS, PAIRS = 0, 1
+ORDER = 3
 
 
 def _tokens(texts: list):
@@ -56,6 +57,19 @@ def _pair(history, token):
     return mix(mix(history + np.uint64(0x9E3779B97F4A7C15)) + token)
 
 
+def _levels(token, history, first, order: int):
+    """By level, the hash of the n-gram that ends at each token, and of its history; n-grams begin with start tokens where a text does."""
+    import numpy as np
+
+    keys, start = token, np.uint64(START)
+    yield keys, None
+    for level in range(1, order):
+        before = history if level == 1 else np.where(first, start, np.roll(keys, 1))
+        keys = _pair(before, token)
+        yield keys, before
+        start = _pair(np.array([start]), np.array([START], np.uint64))[0]
+
+
 def _split(keys, parts: int):
     """Begin of each part in sorted keys, and the end."""
     import numpy as np
@@ -64,29 +78,32 @@ def _split(keys, parts: int):
     return np.searchsorted(part, np.arange(parts + 1, dtype=np.uint64))
 
 
-def _send(parts: int):
-    """Chunk -> its distinct words and bigrams with their training counts, by part."""
+def _send(parts: int, order: int):
+    """Chunk -> its distinct n-grams of each level with their training counts and whether a held-out text has them, by part."""
     def body(rows):
         import numpy as np
         import pyarrow as pa
 
-        token, history, _, end = _tokens(rows["text"].to_pylist())
+        token, history, first, end = _tokens(rows["text"].to_pylist())
         train = np.repeat(rows["train"].to_numpy().astype(float), np.diff(end, prepend=0))
         out = []
-        for kind, keys in ((WORDS, token), (PAIRS, _pair(history, token))):
+        for kind, (keys, _) in enumerate(_levels(token, history, first, order)):
             keys, at = np.unique(keys, return_inverse=True)
             counts = np.bincount(at, train, len(keys)).astype(np.uint32)
+            asked = np.bincount(at, 1 - train, len(keys)) > 0
             cut = _split(keys, parts).tolist()
-            out += [(kind, p, pack(np.diff(keys[a:b], prepend=np.uint64(0))), pack(counts[a:b])) for p, (a, b) in enumerate(zip(cut, cut[1:])) if a < b]
-        kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary())
+            out += [(kind, p, pack(np.diff(keys[a:b], prepend=np.uint64(0))), pack(counts[a:b]), np.packbits(asked[a:b]).tobytes() if kind < order - 1 else None)
+                    for p, (a, b) in enumerate(zip(cut, cut[1:])) if a < b]
+        kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
         columns = [pa.array(c, k) for c, k in zip(zip(*out), kinds)]
-        return pa.Table.from_arrays([pa.array([rows["chunk"][0].as_py()] * len(out), pa.int64()), *columns], ["chunk", "kind", "part", "keys", "counts"])
+        return pa.Table.from_arrays([pa.array([rows["chunk"][0].as_py()] * len(out), pa.int64()), *columns], ["chunk", "kind", "part", "keys", "counts", "asked"])
 
     return body
 
 
 def _count(rows):
-    """Part -> each chunk's total counts and which bigrams it owns; row -1: N, V and the counts of counts."""
+    """Part -> each chunk's total counts, which n-grams it owns and which of them a held-out text has; row -1: N, V and the counts of
+    counts."""
     import numpy as np
     import pandas as pd
 
@@ -97,13 +114,20 @@ def _count(rows):
     fresh = np.concatenate(([True], keys[order][1:] != keys[order][:-1]))
     totals = np.add.reduceat(counts[order], np.flatnonzero(fresh))
     answer, own = np.empty(len(keys), np.uint32), np.empty(len(keys), bool)
-    answer[order], own[order] = totals[np.cumsum(fresh) - 1], fresh
+    group = np.cumsum(fresh) - 1
+    answer[order], own[order] = totals[group], fresh
+    asked = [None] * len(rows)
+    if rows["asked"].iloc[0] is not None:
+        bits = np.concatenate([np.unpackbits(np.frombuffer(a, np.uint8), count=len(c) // 4) for a, c in zip(rows["asked"], rows["counts"])])
+        wanted = np.empty(len(keys), bool)
+        wanted[order] = np.maximum.reduceat(bits[order], np.flatnonzero(fresh))[group] > 0
+        asked = [np.packbits(w).tobytes() for w in np.split(wanted, cut)]
     few = np.bincount(totals[totals <= LAST_DISCOUNTED + 1], minlength=LAST_DISCOUNTED + 2)
     numbers = np.concatenate(([totals.sum(), (totals > 0).sum()], few[1:])).astype(np.int64)
-    out = [(c, pack(a), np.packbits(o).tobytes(), None) for c, a, o in zip(rows["chunk"], np.split(answer, cut), np.split(own, cut))]
-    out = pd.DataFrame([*out, (-1, None, None, numbers)], columns=["chunk", "counts", "own", "numbers"])
+    out = [(c, pack(a), np.packbits(o).tobytes(), w, None) for c, a, o, w in zip(rows["chunk"], np.split(answer, cut), np.split(own, cut), asked)]
+    out = pd.DataFrame([*out, (-1, None, None, None, numbers)], columns=["chunk", "counts", "own", "asked", "numbers"])
     out["kind"], out["part"] = rows["kind"].iloc[0], rows["part"].iloc[0]
-    return out[["chunk", "kind", "part", "counts", "own", "numbers"]]
+    return out[["chunk", "kind", "part", "counts", "own", "asked", "numbers"]]
 
 
 def discounts(counts_of_counts: list[int]) -> list[float]:
@@ -123,12 +147,13 @@ def discounts(counts_of_counts: list[int]) -> list[float]:
 
 
 class Model:
-    """Discounts and unigram probabilities from the corpus totals."""
+    """Discounts by level and unigram probabilities from the corpus totals of each level."""
 
-    def __init__(self, words: list[int], pairs: list[int], texts: int):
-        self.n, self.v, self.texts = words[0], words[1], texts
-        self.keep = {WORDS: discounts(words[2:]), PAIRS: discounts(pairs[2:])}
-        gone = sum(n_r * r * (1 - d) for r, (n_r, d) in enumerate(zip(words[2:], self.keep[WORDS]), 1))
+    def __init__(self, totals: list[list[int]], texts: int):
+        words = totals[0]
+        self.n, self.v, self.texts, self.order = words[0], words[1], texts, len(totals)
+        self.keep = [discounts(t[2:]) for t in totals]
+        gone = sum(n_r * r * (1 - d) for r, (n_r, d) in enumerate(zip(words[2:], self.keep[0]), 1))
         more = self.v - sum(words[2:2 + LAST_DISCOUNTED])
         self.unknown = (gone + KEPT_BACK * more) / self.n if self.n else 1.0
 
@@ -144,12 +169,12 @@ class Model:
         """P(w) by the word's count."""
         import numpy as np
 
-        return np.where(counts > 0, self.discounted(WORDS, counts) / max(self.n, 1), self.unknown)
+        return np.where(counts > 0, self.discounted(0, counts) / max(self.n, 1), self.unknown)
 
 
 def _evaluate(model: Model, parts: int):
-    """Chunk and its answers -> a row for each text, without the weights it backs off with; and by part, what the chunk owns of
-    each history, and how often each text backs off from it."""
+    """Chunk and its answers -> a row for each text, without the weights it backs off with; and by level and part, what the chunk owns
+    of each history that a held-out text has, and how often each text backs off from it."""
     def body(rows, answers):
         import numpy as np
         import pyarrow as pa
@@ -163,47 +188,52 @@ def _evaluate(model: Model, parts: int):
         def told(kind, n):
             mine = [g for g in got if g["kind"] == kind]
             counts = np.concatenate([unpack(g["counts"], np.uint32) for g in mine]).astype(np.int64)
-            own = np.concatenate([np.unpackbits(np.frombuffer(g["own"], np.uint8), count=len(g["counts"]) // 4).astype(bool) for g in mine])
+            own, asked = (np.concatenate([np.unpackbits(np.frombuffer(g[c], np.uint8), count=len(g["counts"]) // 4).astype(bool) for g in mine])
+                          if mine[0][c] is not None else None for c in ("own", "asked"))
             assert len(counts) == n, "the answers are not to this chunk"
-            return counts, own
-
-        words, word = np.unique(token, return_inverse=True)
-        pairs, where, pair = np.unique(_pair(history, token), return_index=True, return_inverse=True)
-        c_word, _ = told(WORDS, len(words))
-        c_pair, own = told(PAIRS, len(pairs))
-        p_word = model.unigram(c_word)
-        c_history = np.where(first, model.texts, np.roll(c_word[word], 1))
-        seen = c_pair[pair]
-        # P(w | h) where the bigram is known, else P(w), whose weight comes from the history's part
-        p = np.where(seen > 0, model.discounted(PAIRS, seen) / np.maximum(c_history, 1), p_word[word])
-        begin = np.concatenate(([0], end[:-1]))
+            return counts, own, asked
+
+        begin, place = np.concatenate(([0], end[:-1])), np.repeat(np.arange(len(end)), np.diff(end, prepend=0))
+        sums = []
+        for level, (keys, history_keys) in enumerate(_levels(token, history, first, model.order)):
+            grams, where, at = np.unique(keys, return_index=True, return_inverse=True)
+            counts, own, asked = told(level, len(grams))
+            if not level:
+                c_word = seen = counts[at]
+                p = model.unigram(seen)
+            else:
+                c_history, lower, seen = np.where(first, model.texts, np.roll(seen, 1)), p, counts[at]
+                # P(w | h) where the n-gram is known, else that of the shorter history, whose weight comes from the history's part
+                p = np.where(seen > 0, model.discounted(level, seen) / np.maximum(c_history, 1), lower)
+                mine = where[own & (counts > 0)]
+                mine = mine[wanted[mine]]
+                some, to = np.unique(history_keys[mine], return_inverse=True)
+                both = [np.bincount(to, w[mine], len(some)) for w in (lower, p)]
+                cut = _split(some, parts).tolist()
+                sums += [{"kind": 1, "chunk": chunk, "level": level, "part": k, "keys": pack(np.diff(some[a:b], prepend=np.uint64(0))), "sums": np.stack([s[a:b] for s in both]).tobytes()}
+                         for k, (a, b) in enumerate(zip(cut, cut[1:])) if a < b]
+                backs = np.flatnonzero((seen == 0) & (c_history > 0))
+                ask, of = history_keys[backs], place[backs]
+                order = np.lexsort((of, ask))
+                ask, of = ask[order], of[order]
+                cut = _split(ask, parts).tolist()
+                sums += [{"kind": 2, "chunk": chunk, "level": level, "part": k, "keys": pack(np.diff(ask[a:b], prepend=np.uint64(0))), "sums": pack(of[a:b].astype(np.uint32))}
+                         for k, (a, b) in enumerate(zip(cut, cut[1:])) if a < b]
+            wanted = first | np.roll(asked[at], 1) if asked is not None else None
+
         score = np.add.reduceat(np.log10(p), begin)
-        base = np.add.reduceat(np.log10((c_word[word] + 1) / (model.n + model.v + 1)), begin)
-        known = np.add.reduceat((c_word[word] > 0).astype(np.int64), begin)
+        base = np.add.reduceat(np.log10((c_word + 1) / (model.n + model.v + 1)), begin)
+        known = np.add.reduceat((c_word > 0).astype(np.int64), begin)
         out = [{"kind": 0, "chunk": chunk, "place": k, "doc_id": d, "held_out": h, "n_tokens": int(n), "n_known": int(kn), "base_score": float(b), "score": float(s)}
                for k, (d, h, n, kn, b, s) in enumerate(zip(rows["doc_id"].to_pylist(), rows["held_out"].to_pylist(), np.diff(end, prepend=0), known, base, score))]
-
-        mine = np.flatnonzero(own & (c_pair > 0))
-        keys, at = np.unique(history[where[mine]], return_inverse=True)
-        sums = [np.bincount(at, w, len(keys)) for w in (p_word[word[where[mine]]], model.discounted(PAIRS, c_pair[mine]), c_pair[mine])]
-        cut = _split(keys, parts).tolist()
-        out += [{"kind": 1, "chunk": chunk, "part": p, "keys": keys[a:b].tobytes(), "sums": np.stack([s[a:b] for s in sums]).tobytes()}
-                for p, (a, b) in enumerate(zip(cut, cut[1:])) if a < b]
-        backs = np.flatnonzero((seen == 0) & (c_history > 0))
-        if len(backs):
-            keys, place = history[backs], np.repeat(np.arange(len(end)), np.diff(end, prepend=0))[backs]
-            order = np.lexsort((place, keys))
-            keys, place = keys[order], place[order]
-            cut = _split(keys, parts).tolist()
-            out += [{"kind": 2, "chunk": chunk, "part": p, "keys": pack(np.diff(keys[a:b], prepend=np.uint64(0))), "sums": pack(place[a:b].astype(np.uint32))}
-                    for p, (a, b) in enumerate(zip(cut, cut[1:])) if a < b]
+        out += sums
         return _rows(out)
 
     return body
 
 
 KINDS = "kind int, chunk bigint, place bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double, " \
-        "part bigint, keys binary, sums binary"
+        "level int, part bigint, keys binary, sums binary"
 
 
 def _rows(found: list[dict]):
@@ -214,19 +244,17 @@ def _rows(found: list[dict]):
 
 
 def _weigh(rows):
-    """Part -> the backoff weights of its histories (chunk -1), and for each chunk the logarithms of the weights that its texts
-    need, added up by text."""
+    """Part of a level -> for each chunk the logarithms of the backoff weights that its texts need, added up by text."""
     import numpy as np
     import pandas as pd
 
     owned, asked = rows[rows["kind"] == 1], rows[rows["kind"] == 2]
     out = []
     if len(owned):
-        keys, at = np.unique(np.concatenate([np.frombuffer(k, np.uint64) for k in owned["keys"]]), return_inverse=True)
-        sums = np.concatenate([np.frombuffer(s, float).reshape(3, -1) for s in owned["sums"]], axis=1)
-        unigram, kept, count = (np.bincount(at, s, len(keys)) for s in sums)
-        weight = np.log10((1 - kept / count) / np.maximum(1 - unigram, 1e-300))
-        out.append((-1, keys.tobytes(), weight.tobytes()))
+        keys, at = np.unique(np.concatenate([np.cumsum(unpack(k, np.uint64), dtype=np.uint64) for k in owned["keys"]]), return_inverse=True)
+        sums = np.concatenate([np.frombuffer(s, float).reshape(2, -1) for s in owned["sums"]], axis=1)
+        lower, kept = (np.bincount(at, s, len(keys)) for s in sums)
+        weight = np.log10((1 - kept) / np.maximum(1 - lower, 1e-300))
         for chunk, k, p in zip(asked["chunk"], asked["keys"], asked["sums"]):
             k, p = np.cumsum(unpack(k, np.uint64), dtype=np.uint64), unpack(p, np.uint32)
             places, to = np.unique(p, return_inverse=True)
@@ -245,10 +273,10 @@ def _add_up(rows):
     return pd.DataFrame({"chunk": rows["chunk"].iloc[0], "place": places.astype(np.int64), "weight": total})
 
 
-def katz_scores(docs: DataFrame, mod: int = 7, remainder: int = 2) -> DataFrame:
+def katz_scores(docs: DataFrame, mod: int = 7, remainder: int = 2, order: int = 2) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score): a row for each row of ``docs`` (doc_id, text).
 
-    The model learns from rows that are not held out and scores all. A null or empty text has the end token only. base_score
+    The model has n-grams of up to ``order`` words (1 at least). It learns from rows that are not held out and scores all. A null or empty text has the end token only. base_score
     adds up log10((c + 1) / (N + V + 1)); score is the model's log10 probability of the text. Repeated rows count and are
     scored one by one; an empty table gives an empty result; without training rows every word is unknown, with probability 1.
     """
@@ -258,22 +286,22 @@ def katz_scores(docs: DataFrame, mod: int = 7, remainder: int = 2) -> DataFrame:
     chunks, parts = ((total["bytes"] or 0) // size + 1 for size in (CHUNK_BYTES, PART_BYTES))
     dealt = docs.withColumn("train", ~F.col("held_out")).withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)))
 
-    sent = dealt.groupBy("chunk").applyInArrow(_send(parts), "chunk bigint, kind int, part bigint, keys binary, counts binary")
-    counted = materialize(sent.groupBy("kind", "part").applyInPandas(_count, "chunk bigint, kind int, part bigint, counts binary, own binary, numbers array<bigint>"), "lm_counts")
+    sent = dealt.groupBy("chunk").applyInArrow(_send(parts, order), "chunk bigint, kind int, part bigint, keys binary, counts binary, asked binary")
+    counted = materialize(sent.groupBy("kind", "part").applyInPandas(_count, "chunk bigint, kind int, part bigint, counts binary, own binary, asked binary, numbers array<bigint>"), "lm_counts")
     size = LAST_DISCOUNTED + 3
     sums = [F.sum(F.col("numbers")[k]) for k in range(size)]
     totals = {r["kind"]: list(r)[1:] for r in counted.filter("chunk = -1").groupBy("kind").agg(*sums).collect()}
-    model = Model(totals.get(WORDS, [0] * size), totals.get(PAIRS, [0] * size), total["texts"])
+    model = Model([totals.get(k, [0] * size) for k in range(order)], total["texts"])
 
-    answers = counted.filter("chunk >= 0").select("chunk", "kind", "part", "counts", "own")
+    answers = counted.filter("chunk >= 0").select("chunk", "kind", "part", "counts", "own", "asked")
     rows = materialize(dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_evaluate(model, parts), KINDS), "lm_rows")
-    weights = materialize(rows.filter("kind > 0").select("kind", "chunk", "part", "keys", "sums").groupBy("part")
+    weights = materialize(rows.filter("kind > 0").select("kind", "chunk", "level", "part", "keys", "sums").groupBy("level", "part")
                           .applyInPandas(_weigh, "chunk bigint, keys binary, weights binary"), "lm_weights")
-    backed = weights.filter("chunk >= 0").groupBy("chunk").applyInPandas(_add_up, "chunk bigint, place bigint, weight double")
+    backed = weights.groupBy("chunk").applyInPandas(_add_up, "chunk bigint, place bigint, weight double")
     found = rows.filter("kind = 0").join(backed, ["chunk", "place"], "left")
     return found.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.n).cast("bigint").alias("train_tokens"), "base_score",
                         (F.col("score") + F.coalesce("weight", F.lit(0.0))).alias("score"))
 
 
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return katz_scores(table(spark, sf_dir, "documents"))
+    return katz_scores(table(spark, sf_dir, "documents"), order=ORDER)
