@@ -314,6 +314,17 @@ def test_katz_of_any_order_equals_brute_force(spark, monkeypatch, order):
         assert any(abs(bigram(t) - got[i]) > 0.1 for i, t in texts.items())
 
 
+def test_katz_counts_beyond_32_bits():
+    import numpy as np
+    import pandas as pd
+    keys, counts = LM.pack(np.array([5, 2], np.uint64)), LM.pack(np.array([4_000_000_000, 1], np.uint32))
+    rows = pd.DataFrame([(c, 0, 0, keys, counts, np.packbits([c == 1, False]).tobytes()) for c in (1, 2)], columns=["chunk", "kind", "part", "keys", "counts", "asked"])
+    got = LM._count(rows)
+    assert [LM.unpack(a, np.uint64).tolist() for a in got["counts"][:2]] == [[8_000_000_000, 2]] * 2
+    assert [np.unpackbits(np.frombuffer(a, np.uint8), count=2).tolist() for a in got["asked"][:2]] == [[1, 0]] * 2
+    assert got["numbers"][2][0] == 8_000_000_002
+
+
 def test_katz_odd_rows(odd):
     got = LM.katz_scores(odd).collect()
     assert len(got) == len(odd_rows()) and all(math.isfinite(r["score"]) and math.isfinite(r["base_score"]) for r in got)

@@ -113,7 +113,7 @@ def _count(rows):
     order = np.argsort(keys, kind="stable")
     fresh = np.concatenate(([True], keys[order][1:] != keys[order][:-1]))
     totals = np.add.reduceat(counts[order], np.flatnonzero(fresh))
-    answer, own = np.empty(len(keys), np.uint32), np.empty(len(keys), bool)
+    answer, own = np.empty(len(keys), np.uint64), np.empty(len(keys), bool)
     group = np.cumsum(fresh) - 1
     answer[order], own[order] = totals[group], fresh
     asked = [None] * len(rows)
@@ -187,8 +187,8 @@ def _evaluate(model: Model, parts: int):
 
         def told(kind, n):
             mine = [g for g in got if g["kind"] == kind]
-            counts = np.concatenate([unpack(g["counts"], np.uint32) for g in mine]).astype(np.int64)
-            own, asked = (np.concatenate([np.unpackbits(np.frombuffer(g[c], np.uint8), count=len(g["counts"]) // 4).astype(bool) for g in mine])
+            counts = np.concatenate([unpack(g["counts"], np.uint64) for g in mine]).astype(np.int64)
+            own, asked = (np.concatenate([np.unpackbits(np.frombuffer(g[c], np.uint8), count=len(g["counts"]) // 8).astype(bool) for g in mine])
                           if mine[0][c] is not None else None for c in ("own", "asked"))
             assert len(counts) == n, "the answers are not to this chunk"
             return counts, own, asked
