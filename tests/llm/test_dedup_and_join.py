@@ -148,3 +148,17 @@ def test_stages_keep_one_of_each_group(spark, odd):
     assert left.columns == docs.columns
     assert sorted(r["doc_id"] for r in left.collect()) == sorted({r["component_id"] for r in JJ.jaccard_components(docs).collect()})
     assert left.filter(F.col("text").isNull()).count() == 0
+
+
+def test_jaccard_stage_keeps_one_row_where_doc_ids_repeat(spark):
+    one, two, three = (words(9000 + k, 100) for k in range(3))
+    # two near copies under one doc_id; rows of doc_id 5 and 7 that have a smaller doc_id beside them; equal rows; rows that link with nothing
+    rows = [(1, one), (1, one + " end"), (5, two), (2, two + " end"), (5, three), (9, three + " end"), (9, three + " end"), (5, three), (7, "short text"), (7, "other text"),
+            (7, ""), (7, ""), (7, None), (None, one), (None, one)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], KINDS)
+    left = JJ.stage(spark, docs, "")
+    assert left.columns == docs.columns
+    got = sorted(((r["doc_id"], r["text"]) for r in left.collect()), key=str)
+    assert sum(g[0] == 1 for g in got) == 1
+    rest = [(2, two + " end"), (5, three), (7, "short text"), (7, "other text"), (7, ""), (7, ""), (7, None), (None, one), (None, one)]
+    assert [g for g in got if g[0] != 1] == sorted(rest, key=str)

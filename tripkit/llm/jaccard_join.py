@@ -263,11 +263,12 @@ def _large_links(families: DataFrame, members: DataFrame, classes: DataFrame) ->
     return tiles.repartition("family", "low", "high").groupBy("family", "low", "high").applyInPandas(verify, "a bigint, b bigint, links bigint")
 
 
-def jaccard_links(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id, n_links): one row for each row of ``docs`` (doc_id, text).
+def jaccard_rows(docs: DataFrame) -> DataFrame:
+    """(doc_id, text_hash, n_shingles, component_id, component, n_links): one row for each row of ``docs`` (doc_id, text).
 
     component_id is the smallest doc_id that links lead to, the document's own included; n_links is the number of other rows that
-    the row itself links with. Words are compared with A-Z
+    the row itself links with. text_hash is xxhash64 of the text; component names the component where several have the same
+    component_id, and is null for a row that links with nothing by itself: one without words or doc_id. Words are compared with A-Z
     lower-cased. A document of fewer than five words is one shingle of all of them; one without words, empty or null,
     links with nothing. Rows with equal sets, repeated rows among them, are linked; rows with the same doc_id are documents of their own. An
     empty table gives an empty result. A null doc_id is passed on and its row links with nothing.
@@ -281,16 +282,22 @@ def jaccard_links(docs: DataFrame) -> DataFrame:
     large = materialize(_large_links(families, members, classes), "jaccard_large")
     joined = components(small.unionByName(large.filter("b is not null").select("a", "b"))).join(classes.select("node", "rep"), "node")
     least = joined.groupBy("component").agg(F.min("rep").alias("component_id"))
-    linked = joined.join(least, "component").select("node", "component_id")
+    linked = joined.join(least, "component").select("node", "component", "component_id")
     both = small.unionByName(small.select(F.col("b").alias("a"), F.col("a").alias("b")))
     counts = both.join(classes.select(F.col("node").alias("b"), F.col("copies").alias("links")), "b").select("a", "links") \
         .unionByName(large.filter("b is null").select("a", "links")).groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
     found = classes.join(linked, "node", "left").join(counts, "node", "left") \
-        .select("sig", "copies", F.coalesce("component_id", "rep").alias("component_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+        .select("sig", "copies", F.coalesce("component_id", "rep").alias("component_id"), F.coalesce("component", "node").alias("component"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     out = join_groups(sets, found, "sig", "copies", sets.count())
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     links = F.when(F.col("doc_id").isNotNull(), F.coalesce("n_links", F.lit(0))).otherwise(0)
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), links.cast("bigint").alias("n_links"))
+    return out.select("doc_id", "text_hash", F.col("n").alias("n_shingles"), component.alias("component_id"),
+                      F.when(F.col("doc_id").isNotNull(), F.col("component")).alias("component"), links.cast("bigint").alias("n_links"))
+
+
+def jaccard_links(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id, n_links) of ``jaccard_rows``."""
+    return jaccard_rows(docs).select("doc_id", *OUTPUT)
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
@@ -303,6 +310,11 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each component the document with its smallest doc_id stays, and rows without doc_id."""
-    first = jaccard_components(docs).filter("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(first, "doc_id", "left_semi").unionByName(docs.filter("doc_id is null"))
+    """Pipeline stage: of each component one row with its smallest doc_id stays, and rows without words or doc_id."""
+    found = jaccard_rows(docs).filter("component is not null")
+    best = F.min(F.struct("doc_id", "text_hash")).alias("best")
+    first = found.groupBy("component").agg(best).select("best.doc_id", F.col("best.text_hash").alias("_text_hash"))
+    # rows that agree in both are of one component
+    kept = docs.withColumn("_text_hash", F.xxhash64("text")).join(first, ["doc_id", "_text_hash"], "left_semi").dropDuplicates(["doc_id", "_text_hash"])
+    loose = F.col("doc_id").isNull() | ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    return kept.select(*docs.columns).unionByName(docs.filter(loose))
