@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, jaccard_join, language_id, lm_scoring, packing, pii, piece_encoding, quality_classifier, quality_rules, token_files
+from . import (exact_dedup, jaccard_join, language_id, lm_scoring, merkle, packing, pii, piece_encoding, quality_classifier, quality_rules,
+               token_files)
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
@@ -15,5 +16,6 @@ QUERIES = {
     "op8_language_id": language_id.op8_language_id,
     "op9_jaccard_join": jaccard_join.op9_jaccard_join,
     "op10_lm_scoring": lm_scoring.op10_lm_scoring,
+    "op13_merkle_manifest": merkle.op13_merkle_manifest,
 }
-ORACLE_SQL = {"op2_exact_dedup": exact_dedup.ORACLE}
+ORACLE_SQL = {"op2_exact_dedup": exact_dedup.ORACLE, "op13_merkle_manifest": merkle.ORACLE}
