@@ -9,7 +9,7 @@ SF001 = "/root/testdata/sf0.001"
 
 def test_registered_queries():
     names = [q for q in entry.queries() if q.startswith("op") and q[2].isdigit()]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert "pipeline" in entry.queries() and set(ORACLE_SQL) <= set(entry.oracle_sql())
 
 

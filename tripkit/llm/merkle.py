@@ -148,7 +148,8 @@ def proofs(made: Manifest) -> DataFrame:
     ``path`` has a struct for each level, from the leaf's run to the root's, with the digests of the node's siblings to its left
     and to its right, as hex text in a row.
     """
-    above = _stored_root(made.top).select(F.lit("").alias("tree"), F.lit(0).cast("bigint").alias("block"), F.array().cast(_PATH).alias("path"), "root")
+    above = materialize(_stored_root(made.top).select(F.lit("").alias("tree"), F.lit(0).cast("bigint").alias("block"),
+                                                      F.array().cast(_PATH).alias("path"), "root"), "merkle_paths")
     for level in reversed(made.top[1:]):
         above = materialize(_paths(level, above).select("tree", F.col("idx").alias("block"), "path", "root"), "merkle_paths")
     # the trees' roots are the subtrees' roots of trees that end there

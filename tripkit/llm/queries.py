@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import (exact_dedup, jaccard_join, language_id, lm_scoring, merkle, packing, pii, piece_encoding, quality_classifier, quality_rules,
-               token_files)
+from . import (conversation_repair, decontamination, exact_dedup, jaccard_join, language_id, lm_scoring, merkle, packing, pii, piece_encoding,
+               quality_classifier, quality_rules, token_files)
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
@@ -16,6 +16,13 @@ QUERIES = {
     "op8_language_id": language_id.op8_language_id,
     "op9_jaccard_join": jaccard_join.op9_jaccard_join,
     "op10_lm_scoring": lm_scoring.op10_lm_scoring,
+    "op11_decontamination": decontamination.op11_decontamination,
+    "op12_conversation_repair": conversation_repair.op12_conversation_repair,
     "op13_merkle_manifest": merkle.op13_merkle_manifest,
 }
-ORACLE_SQL = {"op2_exact_dedup": exact_dedup.ORACLE, "op13_merkle_manifest": merkle.ORACLE}
+ORACLE_SQL = {
+    "op2_exact_dedup": exact_dedup.ORACLE,
+    "op11_decontamination": decontamination.ORACLE,
+    "op12_conversation_repair": conversation_repair.ORACLE,
+    "op13_merkle_manifest": merkle.ORACLE,
+}
