@@ -1,7 +1,7 @@
 """Month files that disagree, made from the RAW table, and what the loaders make of them.
 
 The files are written once per input, under the RAW table's folder, one for
-each month of the reference. They differ as real ones do: column case, an
+each month of the reference that has trips. They differ as real ones do: column case, an
 integer ``passenger_count``, a missing and an extra column, timestamps as
 BIGINT microseconds; one month has a column that can't be cast.
 """
@@ -15,10 +15,16 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import to_epoch
 from ..operators.filters import DAY
-from ..sources.months import load_months, month_list
+from ..session import materialize, shared_path
+from ..sources.files import list_files, names
+from ..sources.months import load_months, loaded_months, month_list
 from ..sources.raw import build_once, raw_root, raw_trips
 from ..sources.schema import TRIPS_NAMES
+from ..sources.snapshots import changed_months, manifest
+from .incremental import merged_marts, refresh, stored_states
 
+# Part of the key of what this module stores: raise it when the files or the loaders change.
+LOAD_VERSION = 2
 BAD_MONTH = "2024-06"
 VARIANTS = ("plain", "upper case", "integer passengers", "other columns", "integer timestamps")
 
@@ -41,17 +47,32 @@ def _as_file(trips: DataFrame, kind: str) -> DataFrame:
     return trips
 
 
-def month_files(spark: SparkSession, sf_dir: str) -> dict[str, str]:
-    """{month: folder of its Parquet file}, written on first use."""
-    def write(folder):
-        trips = raw_trips(spark, sf_dir, with_day=True)
-        for month in month_list():
-            day = F.lit(month + "-01").cast("date")
-            rows = trips.filter((F.col(DAY) >= day) & (F.col(DAY) < F.add_months(day, 1))).select(*TRIPS_NAMES)
-            _as_file(rows, variant(month)).write.parquet(f"{folder}/{month}")
+def _write_files(spark: SparkSession, sf_dir: str, folder: str, months: list[str]) -> None:
+    """The months' files under ``folder``, one job a variant: ``<variant>/file_month=<month>``."""
+    trips = raw_trips(spark, sf_dir, with_day=True)
+    month = F.date_format("tpep_pickup_datetime", "yyyy-MM")
+    for kind in sorted({variant(m) for m in months}):
+        rows = trips.filter(month.isin([m for m in months if variant(m) == kind])).withColumn("file_month", month)
+        first, last = (min(m for m in months if variant(m) == kind), max(m for m in months if variant(m) == kind))
+        rows = rows.filter((F.col(DAY) >= F.lit(first + "-01").cast("date")) & (F.col(DAY) < F.add_months(F.lit(last + "-01").cast("date"), 1)))
+        named = _as_file(rows.select(*TRIPS_NAMES), kind).columns
+        _as_file(rows.select(*TRIPS_NAMES, "file_month"), kind).select(*named, "file_month") \
+            .write.partitionBy("file_month").parquet(f"{folder}/{kind.replace(' ', '_')}")
+
 
-    folder = build_once(spark, f"{raw_root(spark, sf_dir)}/months", write)
-    return {month: f"{folder}/{month}" for month in month_list()}
+def _paths(spark: SparkSession, folder: str) -> dict[str, str]:
+    """{month: folder of its file}, of the months that have one."""
+    found = {}
+    for group in names(spark, folder):
+        if not group.startswith("_"):
+            found.update({n.split("=", 1)[1]: f"{folder}/{group}/{n}" for n in names(spark, f"{folder}/{group}") if n.startswith("file_month=")})
+    return found
+
+
+def month_files(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """{month: folder of its Parquet file}, written on first use; a month without trips has no file."""
+    folder = build_once(spark, f"{raw_root(spark, sf_dir)}/months{LOAD_VERSION}", lambda f: _write_files(spark, sf_dir, f, month_list()))
+    return _paths(spark, folder)
 
 
 def loaded(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -63,21 +84,56 @@ def loaded(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
         both = report.withColumn("mode", F.lit("target")).unionByName(lazy.withColumn("mode", F.lit("lazy")))
         both.write.parquet(f"{folder}/report")
 
-    folder = build_once(spark, f"{raw_root(spark, sf_dir)}/loaded", write)
-    return spark.read.parquet(f"{folder}/rows"), spark.read.parquet(f"{folder}/report")
+    folder = build_once(spark, f"{raw_root(spark, sf_dir)}/loaded{LOAD_VERSION}", write)
+    return loaded_months(spark, f"{folder}/rows"), spark.read.parquet(f"{folder}/report")
 
 
 def reloaded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(month, rows) after three months are loaded and then replaced, with ``truncate``, by two others."""
-    import uuid
+    """All rows after three months are loaded and then every month anew, in the place of all that was there."""
+    paths = month_files(spark, sf_dir)
+    target = _scratch(spark, "reload")
+    load_months(spark, {m: paths[m] for m in sorted(paths)[:3]}, target=target)
+    data, _ = load_months(spark, paths, target=target, truncate=True)
+    return data
+
+
+def replaced(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(what the listing of the files says, rows by month after its new and replaced months are loaded).
+
+    All months but the last two that have files are loaded; then the files of every fourth month are written again, longer.
+    """
+    paths, target, again = month_files(spark, sf_dir), _scratch(spark, "replaced"), _scratch(spark, "files")
+    months = sorted(paths)
+    load_months(spark, {m: paths[m] for m in months[:-2]}, target=target)
+    twice = raw_trips(spark, sf_dir).withColumn("file_month", F.date_format("tpep_pickup_datetime", "yyyy-MM")).filter(F.col("file_month").isin(months[::4]))
+    twice.unionByName(twice).write.partitionBy("file_month").parquet(again)
+    now = {**paths, **{m: f"{again}/file_month={m}" for m in months[::4]}}
+    listing = spark.createDataFrame([(m, *f) for m, p in now.items() for f in list_files(spark, p)], "month string, path string, length bigint, modified bigint")
+    status = materialize(changed_months(listing, manifest(spark, target)), "changed_months")
+    todo = [r["month"] for r in status.filter("status <> 'same'").select("month").collect()]
+    data, _ = load_months(spark, {m: now[m] for m in todo}, target=target)
+    return status, data
+
+
+def kept_marts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The marts from month states: made for all months but the last, brought up to date after that one is loaded and another one
+    loaded again; the states are stored on first use."""
+    def write(folder):
+        paths = month_files(spark, sf_dir)
+        months, raw, states = sorted(paths), f"{folder}/rows", f"{folder}/states"
+        load_months(spark, {m: paths[m] for m in months[:-1]}, target=raw)
+        refresh(spark, raw, states)
+        load_months(spark, {m: paths[m] for m in (months[2], months[-1])}, target=raw)
+        refresh(spark, raw, states)
 
-    from ..session import shared_path
+    folder = build_once(spark, f"{raw_root(spark, sf_dir)}/kept_marts{LOAD_VERSION}", write)
+    return merged_marts(stored_states(spark, f"{folder}/states"))
+
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    import uuid
 
-    paths, months = month_files(spark, sf_dir), month_list()
-    target = shared_path(spark, f"tripkit_tmp/{spark.sparkContext.applicationId}/reload-{uuid.uuid4().hex}")
-    load_months(spark, {m: paths[m] for m in months[:3]}, target=target, truncate=True)
-    data, _ = load_months(spark, {m: paths[m] for m in months[3:5]}, target=target, truncate=True)
-    return data.groupBy(F.col("load_month").alias("month")).agg(F.count("*").alias("rows"))
+    return shared_path(spark, f"tripkit_tmp/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}")
 
 
 def good_paths(spark: SparkSession, sf_dir: str) -> list[str]:

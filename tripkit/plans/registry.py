@@ -23,10 +23,11 @@ from ..operators import filters as FL
 from ..operators.expect import row_check_aggregates, run_tests
 from ..session import materialize
 from ..sources.months import month_manifest, month_range, skip_loaded_months
-from ..sources.parquet import copy_by_name, infer_schema, scan_parquet_glob
+from ..sources.parquet import copy_by_name, infer_glob_schema, infer_schema, scan_parquet_glob
 from ..sources.fixture import LINEITEM_COLS, ORDERS_COLS, read_table, table_path, trip_seconds
 from ..sources.raw import build_once, raw_root, raw_trips
 from ..sources.schema import TRIPS, TRIPS_NAMES
+from ..sources.zonemap import scan_window, zone_map
 from ..sources.zones import zones_fixture
 from . import dashboard as DB
 from . import load_queries as LQ
@@ -535,7 +536,62 @@ def q_skip_after_failed_month(spark, sf_dir):
     return skip_loaded_months(month_range(spark).select("month"), month_manifest(rows))
 
 
-@register("truncate_reload")
+@register("truncate_reload", settled=False)
 def q_truncate_reload(spark, sf_dir):
-    """Rows by month after a load that empties the table first."""
-    return LQ.reloaded(spark, sf_dir)
+    """All rows after a load of all months that replaces what three months' load left."""
+    return LQ.reloaded(spark, sf_dir).select(*TRIPS_NAMES, "load_month")
+
+
+@register("changed_months", settled=False)
+def q_changed_months(spark, sf_dir):
+    """Each month whose files are new, replaced or the same since they were loaded."""
+    status, _ = LQ.replaced(spark, sf_dir)
+    return status.select("month", "status", (F.col("changed_files") > 0).alias("changed"))
+
+
+@register("reload_changed_months", settled=False)
+def q_reload_changed_months(spark, sf_dir):
+    """Rows and first and last pickup by month after the new and replaced months are loaded."""
+    _, rows = LQ.replaced(spark, sf_dir)
+    return month_manifest(rows)
+
+
+@register("infer_schema_glob", settled=False)
+def q_infer_schema_glob(spark, sf_dir):
+    """The merged schema of month files that disagree, from every file's footer."""
+    found = infer_glob_schema(spark, list(LQ.month_files(spark, sf_dir).values()))
+    return found.select("column_name", "type", "nullable", "expression", "order_id", "in_all_files", F.size("types").alias("n_types"))
+
+
+@register("zone_map", settled=False)
+def q_zone_map(spark, sf_dir):
+    """Rows and first and last pickup of every month file, from the footers alone."""
+    zones = zone_map(spark, LQ.good_paths(spark, sf_dir))
+    time = [F.timestamp_add("MICROSECOND", x, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")) for x in (F.min("low"), F.max("high"))]
+    return zones.groupBy(F.regexp_extract("path", "file_month=([0-9-]+)", 1).alias("month")).agg(
+        F.sum("rows").alias("rows"), time[0].alias("first_pickup"), time[1].alias("last_pickup"))
+
+
+@register("zone_map_week", settled=False)
+def q_zone_map_week(spark, sf_dir):
+    """One week of the month files, of which only those that hold it are opened."""
+    return scan_window(spark, LQ.good_paths(spark, sf_dir), "2024-03-28", "2024-04-04")
+
+
+@register("zone_map_dash_daily")
+def q_zone_map_dash_daily(spark, sf_dir):
+    """The dashboard's daily view of a quarter, on the month files as they arrived."""
+    rows = scan_window(spark, LQ.good_paths(spark, sf_dir), "2024-11-16", "2025-02-16")
+    return DB.dash_daily(rows.withColumn(FL.DAY, F.to_date(D.PICKUP)))
+
+
+def _kept(name):
+    @register(f"incremental_{name}")
+    def q(spark, sf_dir):
+        return LQ.kept_marts(spark, sf_dir)[name]
+    q.__doc__ = f"{name} from month states, after one new and one reloaded month."
+    return q
+
+
+for _name in marts.MARTS:
+    _kept(_name)

@@ -1,13 +1,14 @@
-"""Monthly loads: month list, per-month isolation, manifest and skipping.
+"""Monthly loads: month list, one job for all months with failures isolated, manifest and skipping.
 
-The driver loops over months (a handful of metadata operations each); the
-rows themselves are only ever touched by Spark jobs.
+The driver lists the files and groups them by schema; the rows are only ever
+touched by Spark jobs, one for a load however many months it has.
 """
 
 from __future__ import annotations
 
 import logging
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -15,8 +16,10 @@ from pyspark.sql import types as T
 
 from ..functions.dates import epoch_repair
 from ..operators.filters import DAY
-from .parquet import copy_by_name
-from .schema import TRIPS
+from .files import InputFile, list_files, scanned_as
+from .parquet import FileKind, copy_by_name, file_kinds
+from .schema import TRIPS, TRIPS_NAMES
+from .snapshots import MonthEntry, commit, entries, load_folder, new_load, read
 
 log = logging.getLogger(__name__)
 
@@ -43,100 +46,197 @@ def month_list(start: str = FIRST_MONTH, end: str = LAST_MONTH) -> list[str]:
     return out
 
 
-def read_month(spark: SparkSession, path: str, month: str) -> DataFrame:
-    """One month's file conformed to the RAW schema, with the pickup's DATE
-    (``pickup_day``, which prunes scans) and tagged with its month."""
-    src = spark.read.parquet(path)
-    return _tagged(copy_by_name(src, TRIPS), month)
+def _integer_times(schema: T.StructType) -> list[str]:
+    """Timestamp columns that arrive as integers."""
+    kinds = {f.name: f.dataType for f in TRIPS.fields}
+    return [f.name for f in schema.fields if isinstance(kinds.get(f.name.lower()), T.TimestampNTZType)
+            and isinstance(f.dataType, (T.LongType, T.IntegerType))]
 
 
-def _tagged(df: DataFrame, month: str) -> DataFrame:
-    return df.withColumn(DAY, F.to_date("tpep_pickup_datetime")).withColumn("load_month", F.lit(month))
+def _doubtful(schema: T.StructType) -> list[tuple[str, T.DataType]]:
+    """Columns whose values may not be castable, with the type that they are cast to."""
+    kinds = {f.name: f.dataType for f in TRIPS.fields}
+    return [(f.name, kinds[f.name.lower()]) for f in schema.fields
+            if f.name.lower() in kinds and f.dataType != kinds[f.name.lower()] and not isinstance(f.dataType, (T.LongType, T.IntegerType))]
 
 
-def _unrepaired(src: DataFrame) -> Column:
-    """How many timestamps of a row arrive as integers that no timestamp of
-    years 1 to 9999 repairs (they are loaded as NULL and counted)."""
-    by_name = {f.name.lower(): f for f in src.schema.fields}
-    lost = F.lit(0)
-    for f in TRIPS.fields:
-        s = by_name.get(f.name)
-        if s is not None and isinstance(f.dataType, T.TimestampNTZType) and isinstance(s.dataType, (T.LongType, T.IntegerType)):
-            raw = F.col(f"`{s.name}`")
-            lost = lost + (raw.isNotNull() & epoch_repair(raw).isNull()).cast("int")
-    return lost
+def _faults(schema: T.StructType) -> dict[str, Column]:
+    """``_lost``: timestamps of a row that no time of years 1 to 9999 repairs (loaded as NULL and counted); ``_bad``: whether a
+    row has a value that the by-name load can't cast."""
+    lost, bad = F.lit(0), F.lit(False)
+    for name in _integer_times(schema):
+        raw = F.col(f"`{name}`")
+        lost = lost + (raw.isNotNull() & epoch_repair(raw).isNull()).cast("int")
+    for name, kind in _doubtful(schema):
+        raw = F.col(f"`{name}`")
+        bad = bad | (raw.isNotNull() & raw.try_cast(kind).isNull())
+    return {"_lost": lost, "_bad": bad}
 
 
-def _uncastable(src: DataFrame) -> Column:
-    """Whether a row has a value that the by-name load can't cast."""
-    by_name = {f.name.lower(): f for f in src.schema.fields}
-    bad = F.lit(False)
-    for f in TRIPS.fields:
-        s = by_name.get(f.name)
-        if s is not None and s.dataType != f.dataType and not isinstance(s.dataType, (T.LongType, T.IntegerType)):
-            raw = F.col(f"`{s.name}`")
-            bad = bad | (raw.isNotNull() & raw.try_cast(f.dataType).isNull())
-    return bad
+def _error(e: Exception) -> str:
+    return f"{type(e).__name__}: {e}"
+
+
+def _sources(spark: SparkSession, month_paths: dict[str, str]) -> tuple[dict[str, list[InputFile]], dict[str, str]]:
+    """({month: its files}, {month: error})."""
+    listed, errors = {}, {}
+    for month, path in sorted(month_paths.items()):
+        try:
+            listed[month] = list_files(spark, path)
+            if not listed[month]:
+                raise FileNotFoundError(path)
+        except Exception as e:  # one bad month must not stop the others
+            listed.pop(month, None)
+            errors[month] = _error(e)
+    return listed, errors
+
+
+def _scan(spark: SparkSession, kind: FileKind, listed: dict[str, list[InputFile]]) -> DataFrame:
+    """The rows of a kind's files that ``listed`` names, conformed, with ``load_month`` by their file's path, ``_lost`` and ``_bad``."""
+    members = set(kind.paths)
+    mine = [(f.path, month) for month, files in listed.items() for f in files if f.path in members]
+    # the listing that this scan is planned from: one short row a file
+    months = F.broadcast(spark.createDataFrame([(scanned_as(spark, p), m) for p, m in mine], "_path string, load_month string"))
+    wanted = T.StructType([f for f in kind.schema.fields if f.name.lower() in TRIPS_NAMES])
+    src = spark.read.schema(wanted).parquet(*sorted({p for p, _ in mine}))
+    src = src.select("*", F.col("_metadata.file_path").alias("_path")).join(months, "_path").withColumns(_faults(wanted))
+    rows = copy_by_name(src, TRIPS, keep=("load_month", "_lost", "_bad"), try_casts=True)
+    return rows.withColumn(DAY, F.to_date("tpep_pickup_datetime"))
+
+
+class _Counts(NamedTuple):
+    rows: int
+    lost: int
+    bad: int
+    load: str | None = None
+
+
+def _isolated(months: list[str], run) -> tuple[dict[str, _Counts], dict[str, str]]:
+    """({month: counts}, {month: error}) of ``run(months)``, one job for all; if it fails, the halves are run by themselves, until
+    the month that fails is alone."""
+    try:
+        return run(months), {}
+    except Exception as e:
+        if len(months) == 1:
+            return {}, {months[0]: _error(e)}
+        half = len(months) // 2
+        (a, x), (b, y) = _isolated(months[:half], run), _isolated(months[half:], run)
+        return {**a, **b}, {**x, **y}
 
 
 def load_months(spark: SparkSession, month_paths: dict[str, str], target: str | None = None,
                 truncate: bool = False, fmt: str = "parquet", table: str | None = None) -> tuple[DataFrame | None, DataFrame]:
-    """Load every month, isolating failures.
-
-    With ``target`` (a path) or ``table`` (a table of ``create_fixed_schema``,
-    which stores it), each month is written as its own partition (dynamic
-    overwrite, so re-loading a month replaces it) and its rows are counted
-    during the write, with no second scan. ``truncate`` empties the target
-    first. Without a target, each month's casts are tested by one scan and the
-    good months are combined lazily (UNION ALL by name). Returns (data or
-    None, load_report) where the report has (month, ok, rows, unrepaired,
-    error): ``unrepaired`` counts integer timestamps out of range.
+    """Load every month by one job, isolating failures.
+
+    Files are grouped by physical schema; each group is one scan, conformed by name, its months told by the files' paths. Rows and
+    faults are counted by month while the rows are written. With ``target`` (a path) or ``table`` (a table of
+    ``create_fixed_schema``, whose location it is), the months that loaded are committed together by a snapshot
+    (``snapshots``): each replaces its month, with ``truncate`` all others go, and a load that breaks off changes nothing. A month
+    without a readable file, or with a value that can't be cast, is left out of the commit. If the job fails, its halves are run
+    by themselves, so that one unreadable month costs a few more jobs and not the others' rows. Without a target, the
+    counts are one aggregate and the good months are combined lazily (UNION ALL by name). Returns (data or None, load_report)
+    where the report has (month, ok, rows, unrepaired, error): ``unrepaired`` counts integer timestamps out of range.
     """
     if table and not target:
         from .schema import create_fixed_schema, table_location
         create_fixed_schema(spark, table)
         target = table_location(spark, table)
-    report, frames = [], []
-    first = True
-    for month in sorted(month_paths):
+    listed, errors = _sources(spark, month_paths)
+    kinds, unreadable = file_kinds(spark, sorted({f.path for files in listed.values() for f in files}))
+    for month, files in listed.items():
+        errors.update({month: unreadable[f.path] for f in files if f.path in unreadable})
+
+    def scans(months: list[str]):
+        """(kind, its months, its rows) for the kinds that these months have."""
+        some = {m: listed[m] for m in months}
+        for kind in kinds:
+            held = [m for m in months if any(f.path in kind.paths for f in listed[m])]
+            if held:
+                yield kind, held, _scan(spark, kind, some)
+
+    def plannable(month: str) -> bool:
         try:
-            src = spark.read.parquet(month_paths[month])
-            counted = src.withColumn("_lost", _unrepaired(src))
-            df = _tagged(copy_by_name(src, TRIPS), month)
-            if target is None:
-                n = counted.agg(F.count(F.lit(1)).alias("rows"), F.sum("_lost").alias("lost"), F.count_if(_uncastable(src)).alias("bad")).first()
-                if n["bad"]:
-                    raise ValueError(f"{n['bad']} rows have a value that can't be cast")
-                frames.append(df)
-                report.append((month, True, n["rows"], int(n["lost"] or 0), None))
-                continue
-            obs = Observation(f"load_{month.replace('-', '_')}")
-            df = _tagged(copy_by_name(counted, TRIPS, keep=("_lost",)), month)
-            df = df.observe(obs, F.count(F.lit(1)).alias("rows"), F.sum("_lost").alias("lost")).drop("_lost")
-            # sorted inside each write task (no shuffle): narrow page
-            # statistics on the pickup day let date windows skip data
-            df = df.sortWithinPartitions(DAY, "tpep_pickup_datetime")
-            w = df.write.format(fmt).partitionBy("load_month")
-            if truncate and first:
-                w.mode("overwrite").option("partitionOverwriteMode", "static").save(target)
-            else:
-                w.mode("overwrite").option("partitionOverwriteMode", "dynamic").save(target)
-            first = False
-            got = obs.get
-            report.append((month, True, int(got["rows"]), int(got["lost"] or 0), None))
-        except Exception as e:  # one bad month must not stop the others
-            log.error("month %s failed: %s", month, e)
-            report.append((month, False, None, None, f"{type(e).__name__}: {e}"))
+            list(scans([month]))
+            return True
+        except Exception as e:  # columns that differ in case only, or no cast between the types
+            errors[month] = _error(e)
+            return False
+
+    good = [m for m in listed if m not in errors]
+    doubtful = {p for kind in kinds if not _plans(kind.schema) for p in kind.paths}
+    good = [m for m in good if not any(f.path in doubtful for f in listed[m]) or plannable(m)]
+
+    def write(months: list[str]) -> dict[str, _Counts]:
+        load, parts, seen = new_load(), [], []
+        for kind, held, rows in scans(months):
+            measures, is_month = [], [F.col("load_month") == m for m in held]
+            measures += [F.count_if(c).alias(f"rows_{k}") for k, c in enumerate(is_month)]
+            if _integer_times(kind.schema):
+                measures += [F.sum(F.when(c, F.col("_lost"))).alias(f"lost_{k}") for k, c in enumerate(is_month)]
+            if _doubtful(kind.schema):
+                measures += [F.count_if(c & F.col("_bad")).alias(f"bad_{k}") for k, c in enumerate(is_month)]
+            watch = Observation(f"load_{load}_{len(parts)}")
+            parts.append(rows.observe(watch, *measures).drop("_lost", "_bad"))
+            seen.append((held, watch))
+        # sorted inside each write task (no shuffle): narrow page statistics on the pickup day let date windows skip data
+        rows = reduce(DataFrame.unionByName, parts).sortWithinPartitions("load_month", DAY, "tpep_pickup_datetime")
+        rows.write.format(fmt).partitionBy("load_month").save(load_folder(target, load))
+        total = {m: [0, 0, 0] for m in months}
+        for held, watch in seen:
+            got = watch.get
+            for k, m in enumerate(held):
+                for j, name in enumerate(("rows", "lost", "bad")):
+                    total[m][j] += int(got.get(f"{name}_{k}") or 0)
+        return {m: _Counts(*n, load) for m, n in total.items()}
+
+    def count(months: list[str]) -> dict[str, _Counts]:
+        rows = reduce(DataFrame.unionByName, [r.select("load_month", "_lost", "_bad") for _, _, r in scans(months)])
+        found = rows.groupBy("load_month").agg(F.count("*").alias("rows"), F.sum("_lost").alias("lost"), F.count_if("_bad").alias("bad")).collect()
+        return {m: _Counts(0, 0, 0) for m in months} | {r["load_month"]: _Counts(r["rows"], int(r["lost"]), r["bad"]) for r in found}
+
+    counts, failed = _isolated(good, write if target else count) if good else ({}, {})
+    errors.update(failed)
+    errors.update({m: f"ValueError: {n.bad} rows have a value that can't be cast" for m, n in counts.items() if n.bad})
+    for month, text in errors.items():
+        log.error("month %s failed: %s", month, text)
+    ok = [m for m in sorted(counts) if m not in errors]
+    report = [(m, m in ok, counts[m].rows if m in ok else None, counts[m].lost if m in ok else None, errors.get(m)) for m in sorted(month_paths)]
     rep = spark.createDataFrame(report, "month string, ok boolean, rows bigint, unrepaired bigint, error string")
-    if table and any(r[1] for r in report):
-        spark.sql(f"MSCK REPAIR TABLE {table}")
-        spark.catalog.refreshTable(table)
-        data = spark.table(table)
-    elif target is not None:
-        data = spark.read.format(fmt).load(target) if any(r[1] for r in report) else None
-    else:
-        data = reduce(lambda a, b: a.unionByName(b), frames) if frames else None
-    return data, rep
+    if not ok:
+        return None, rep
+    if not target:
+        return reduce(DataFrame.unionByName, [rows.drop("_lost", "_bad") for _, _, rows in scans(ok)]).select(*TRIPS_NAMES, DAY, "load_month"), rep
+    commit(spark, target, [MonthEntry(m, counts[m].load, counts[m].rows, counts[m].lost, listed[m]) for m in ok], replace_all=truncate)
+    if table:
+        _point_partitions(spark, table, target)
+        return spark.table(table), rep
+    return loaded_months(spark, target, fmt), rep
+
+
+def _plans(schema: T.StructType) -> bool:
+    """Whether the by-name load surely has a plan for files of this schema."""
+    lower = [f.name.lower() for f in schema.fields]
+    return len(set(lower)) == len(lower) and all(isinstance(f.dataType, T.AtomicType) for f in schema.fields if f.name.lower() in TRIPS_NAMES) \
+        and not _doubtful(schema)
+
+
+def loaded_months(spark: SparkSession, target: str, fmt: str = "parquet", months: list[str] | None = None) -> DataFrame:
+    """The RAW rows of the current snapshot under ``target`` (of some months only), with the pickup day and ``load_month``."""
+    return read(spark, target, T.StructType([*TRIPS.fields, T.StructField(DAY, T.DateType())]), fmt, months)
+
+
+def _point_partitions(spark: SparkSession, table: str, target: str) -> None:
+    """Make the table's partitions the folders of the current snapshot."""
+    held = {r[0].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    now = {m: f"{load_folder(target, e.load)}/load_month={m}" for m, e in entries(spark, target).items() if e.rows}
+    for month in sorted(held - set(now)):
+        spark.sql(f"ALTER TABLE {table} DROP PARTITION (load_month = '{month}')")
+    for month, folder in sorted(now.items()):
+        if month in held:
+            spark.sql(f"ALTER TABLE {table} PARTITION (load_month = '{month}') SET LOCATION '{folder}'")
+        else:
+            spark.sql(f"ALTER TABLE {table} ADD PARTITION (load_month = '{month}') LOCATION '{folder}'")
+    spark.catalog.refreshTable(table)
 
 
 def load_summary(report: DataFrame) -> DataFrame:

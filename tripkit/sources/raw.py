@@ -19,16 +19,17 @@ breaks off, or two at a time, never leave a table half written.
 
 from __future__ import annotations
 
+import hashlib
 import time
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.filters import DAY
 from ..session import shared_path
+from .files import create, list_files, names
 from .fixture import table_path, trips_view
 from .schema import TRIPS, TRIPS_NAMES
 
@@ -39,15 +40,10 @@ PAGE_ROWS = 2_000
 
 
 def input_key(spark: SparkSession, paths: list[str], version: int = MAPPING_VERSION) -> str:
-    """A digest of the input files' listing and of the mapping version.
-
-    ``binaryFile`` without its content column lists the files on whatever
-    store they are and reads no data.
-    """
-    files = spark.read.format("binaryFile").load(paths)
-    one = F.xxhash64("path", "length", "modificationTime", F.lit(version)).cast("decimal(20,0)")
-    total = files.agg(F.count("*").alias("n"), F.sum("length").alias("bytes"), F.sum(one).alias("digest")).first()
-    return f"v{version}-{total['n']}-{total['bytes']}-{total['digest']}".replace("--", "-m")
+    """A digest of the input files' listing and of the mapping version, without a Spark job."""
+    listed = [f for path in paths for f in list_files(spark, path)]
+    digest = hashlib.sha256(repr((version, listed)).encode()).hexdigest()[:24]
+    return f"v{version}-{len(listed)}-{digest}"
 
 
 def write_raw(trips: DataFrame, path: str) -> None:
@@ -64,17 +60,13 @@ def write_raw(trips: DataFrame, path: str) -> None:
 
 def published(spark: SparkSession, root: str) -> str | None:
     """The folder of the last published build under ``root``, if any."""
-    try:
-        row = spark.read.schema("at double, folder string").parquet(f"{root}/published").orderBy(F.desc("at"), "folder").first()
-    except AnalysisException:
-        return None
-    return row["folder"] if row else None
+    marks = names(spark, f"{root}/published")
+    return f"{root}/{marks[-1].split('.', 1)[1]}" if marks else None
 
 
 def publish(spark: SparkSession, root: str, folder: str) -> None:
-    """Make ``folder`` the current build: one appended file, committed as a whole."""
-    spark.createDataFrame([(time.time(), folder)], "at double, folder string").coalesce(1) \
-        .write.mode("append").parquet(f"{root}/published")
+    """Make ``folder``, which lies in ``root``, the current build: one file, named by the time and the folder, appears at once."""
+    create(spark, f"{root}/published/{time.time_ns():020d}.{folder.rsplit('/', 1)[1]}")
 
 
 def build_once(spark: SparkSession, root: str, write, rebuild: bool = False) -> str:
