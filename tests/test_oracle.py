@@ -18,11 +18,16 @@ def con():
     return duck(SF)
 
 
+def training_data(name):
+    """Whether a query is of the training-data subpackage, whose operators are not all expressible in SQL."""
+    return name == "pipeline" or name.startswith("op") and name[2].isdigit()
+
+
 def test_every_query_has_oracle():
-    assert set(QUERIES) == set(SQLS)
+    assert {n for n in QUERIES if not training_data(n)} <= set(SQLS) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) & set(SQLS)))
 def test_query_matches_oracle(spark, con, name):
     ok, n, _, detail = compare(spark, con, name, QUERIES[name], SQLS[name], SF)
     assert ok, detail

@@ -20,6 +20,8 @@ from ..functions import derive as D
 from ..functions.dates import date_label, day_name, month_period, shift_months
 from ..functions.numeric import dec_round
 from ..operators import filters as FL
+from ..operators.medians import grouped_median
+from ..operators.series import every_nth, moving_mean, value_rank
 from ..operators.expect import row_check_aggregates, run_tests
 from ..session import materialize
 from ..sources.months import month_manifest, month_range, skip_loaded_months
@@ -595,3 +597,31 @@ def _kept(name):
 
 for _name in marts.MARTS:
     _kept(_name)
+
+
+# --- order operators and medians on the trips themselves --------------------------------------------
+
+@register("trip_rank", settled=False)
+def q_trip_rank(spark, sf_dir):
+    """Every trip's rank by distance, the longest first."""
+    trips = _trips(spark, sf_dir).select("vendorid", "pulocationid", "trip_distance")
+    return value_rank(trips, "trip_distance", "distance_rank")
+
+
+@register("every_nth_trip", settled=False)
+def q_every_nth_trip(spark, sf_dir):
+    """Every 1000th trip by time."""
+    return every_nth(_trips(spark, sf_dir), 1000, [D.PICKUP, D.DROPOFF])
+
+
+@register("moving_avg_seconds", settled=False)
+def q_moving_avg_seconds(spark, sf_dir):
+    """Trips by second of pickup and their centred seven-row mean."""
+    series = _trips(spark, sf_dir).groupBy(D.PICKUP).agg(F.count("*").alias("trips"))
+    return moving_mean(series, "trips", [D.PICKUP])
+
+
+@register("zone_medians", settled=False)
+def q_zone_medians(spark, sf_dir):
+    """The exact median amount of each pickup zone's trips."""
+    return grouped_median(_trips(spark, sf_dir), ["pulocationid"], "total_amount", "median_amount")

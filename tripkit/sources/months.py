@@ -7,6 +7,7 @@ touched by Spark jobs, one for a load however many months it has.
 from __future__ import annotations
 
 import logging
+import uuid
 from functools import reduce
 from typing import NamedTuple
 
@@ -167,27 +168,22 @@ def load_months(spark: SparkSession, month_paths: dict[str, str], target: str |
     good = [m for m in good if not any(f.path in doubtful for f in listed[m]) or plannable(m)]
 
     def write(months: list[str]) -> dict[str, _Counts]:
-        load, parts, seen = new_load(), [], []
-        for kind, held, rows in scans(months):
-            measures, is_month = [], [F.col("load_month") == m for m in held]
-            measures += [F.count_if(c).alias(f"rows_{k}") for k, c in enumerate(is_month)]
-            if _integer_times(kind.schema):
-                measures += [F.sum(F.when(c, F.col("_lost"))).alias(f"lost_{k}") for k, c in enumerate(is_month)]
-            if _doubtful(kind.schema):
-                measures += [F.count_if(c & F.col("_bad")).alias(f"bad_{k}") for k, c in enumerate(is_month)]
-            watch = Observation(f"load_{load}_{len(parts)}")
-            parts.append(rows.observe(watch, *measures).drop("_lost", "_bad"))
-            seen.append((held, watch))
+        load, watch, measures = new_load(), Observation(f"load_{uuid.uuid4().hex}"), []
+        parts = list(scans(months))
+        lossy = {m for kind, held, _ in parts if _integer_times(kind.schema) for m in held}
+        doubted = {m for kind, held, _ in parts if _doubtful(kind.schema) for m in held}
+        for k, m in enumerate(months):
+            here = F.col("load_month") == m
+            measures.append(F.count_if(here).alias(f"rows_{k}"))
+            if m in lossy:
+                measures.append(F.sum(F.when(here, F.col("_lost"))).alias(f"lost_{k}"))
+            if m in doubted:
+                measures.append(F.count_if(here & F.col("_bad")).alias(f"bad_{k}"))
+        rows = reduce(DataFrame.unionByName, [r for _, _, r in parts]).observe(watch, *measures).drop("_lost", "_bad")
         # sorted inside each write task (no shuffle): narrow page statistics on the pickup day let date windows skip data
-        rows = reduce(DataFrame.unionByName, parts).sortWithinPartitions("load_month", DAY, "tpep_pickup_datetime")
-        rows.write.format(fmt).partitionBy("load_month").save(load_folder(target, load))
-        total = {m: [0, 0, 0] for m in months}
-        for held, watch in seen:
-            got = watch.get
-            for k, m in enumerate(held):
-                for j, name in enumerate(("rows", "lost", "bad")):
-                    total[m][j] += int(got.get(f"{name}_{k}") or 0)
-        return {m: _Counts(*n, load) for m, n in total.items()}
+        rows.sortWithinPartitions("load_month", DAY, "tpep_pickup_datetime").write.format(fmt).partitionBy("load_month").save(load_folder(target, load))
+        got = watch.get
+        return {m: _Counts(*(int(got.get(f"{name}_{k}") or 0) for name in ("rows", "lost", "bad")), load) for k, m in enumerate(months)}
 
     def count(months: list[str]) -> dict[str, _Counts]:
         rows = reduce(DataFrame.unionByName, [r.select("load_month", "_lost", "_bad") for _, _, r in scans(months)])

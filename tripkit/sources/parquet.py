@@ -80,6 +80,11 @@ def open_file(path: str):
     return filesystem.open_input_file(rel)
 
 
+def footer_tasks(spark: SparkSession, n_files: int) -> int:
+    """Tasks that read footers: a dozen or more files each, a Python worker costs more than some footers."""
+    return max(1, min(-(-n_files // 16), spark.sparkContext.defaultParallelism))
+
+
 def _read_footers(batches):
     """mapInPandas body: (path) -> (path, schema_key, error); reads only the
     footer of each file, through the filesystem named by its URI."""
@@ -160,8 +165,7 @@ def file_kinds(spark: SparkSession, paths: list[str]) -> tuple[list[FileKind], d
     """
     if not paths:
         return [], {}
-    n = min(len(paths), spark.sparkContext.defaultParallelism)
-    listed = spark.createDataFrame([(p,) for p in paths], "path string").repartition(n)
+    listed = spark.createDataFrame([(p,) for p in paths], "path string").repartition(footer_tasks(spark, len(paths)))
     found = listed.mapInPandas(_read_footers, "path string, schema_key string, error string").collect()
     return kinds_of(spark, [(r["path"], r["schema_key"]) for r in found])
 
@@ -244,7 +248,7 @@ def infer_glob_schema(spark: SparkSession, path_glob: str | list[str]) -> DataFr
 
     paths = list(path_glob) if isinstance(path_glob, (list, tuple)) else [path_glob]
     files = [(f.path,) for p in paths for f in list_files(spark, p)]
-    listed = spark.createDataFrame(files, "path string").repartition(max(1, min(len(files), spark.sparkContext.defaultParallelism)))
+    listed = spark.createDataFrame(files, "path string").repartition(footer_tasks(spark, len(files)))
     columns = materialize(listed.mapInPandas(_read_columns, _COLUMNS), "parquet_columns")
     broken = columns.filter("error is not null").select("path", "error").take(3)
     if broken:

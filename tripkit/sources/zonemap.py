@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from ..functions.derive import PICKUP
 from ..session import shared_path
 from .files import InputFile, list_files
-from .parquet import _arrow_schema_key, copy_by_name, kinds_of, open_file
+from .parquet import _arrow_schema_key, copy_by_name, footer_tasks, kinds_of, open_file
 from .raw import publish, published
 from .schema import TRIPS
 
@@ -97,8 +97,7 @@ def _write_zones(spark: SparkSession, files: list[InputFile], column: str, last:
     keys = kind.fieldNames()
     known = spark.read.schema(_ZONES).parquet(last) if last else None
     new = listing.join(known.select(*keys).distinct(), keys, "left_anti") if known is not None else listing
-    n = max(1, min(len(files), spark.sparkContext.defaultParallelism))
-    zones = new.repartition(n).mapInPandas(_read_zones(column), _ZONES)
+    zones = new.repartition(footer_tasks(spark, len(files))).mapInPandas(_read_zones(column), _ZONES)
     if known is not None:
         zones = zones.unionByName(known.join(listing, keys, "left_semi"))
     zones.write.mode("overwrite").parquet(folder)
