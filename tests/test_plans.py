@@ -35,7 +35,7 @@ def test_date_window_reads_the_pages_of_its_days(spark):
 
 def test_partial_aggregation_before_shuffle(spark, capsys):
     out = plan(REGISTRY["daily_summary"](spark, SF001), capsys)
-    assert "partial_count" in out and "partial_avg" in out
+    assert "partial_count" in out and "partial_sum" in out
 
 
 def test_topk_is_take_ordered(spark, capsys):

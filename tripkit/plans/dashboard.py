@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import derive as D
 from ..functions.dates import date_label, iso_weekday
+from ..functions.exact import exact_avg, exact_states, exact_sum, merged_sum
 from ..functions.numeric import dec_round, share_pct
 from ..operators import filters as FL
 from ..operators.aggregates import (arg_max_first, arg_min_first, conditional_sum, ratio_of_sums, rollup_total,
@@ -45,7 +46,7 @@ def dash_base(trips: DataFrame, start: str = FL.WINDOW_START,
 
 def _trip_metrics() -> list[Column]:
     return [F.count(F.lit(1)).alias("total_trips"),
-            F.sum("total_amount").alias("total_revenue")]
+            exact_sum("total_amount").alias("total_revenue")]
 
 
 def dash_daily(trips: DataFrame, start: str = FL.WINDOW_START,
@@ -53,9 +54,9 @@ def dash_daily(trips: DataFrame, start: str = FL.WINDOW_START,
     base = dash_base(trips, start, end_exclusive).filter(FL.positive_total())
     return (base.groupBy(D.pickup_date().alias("pickup_date"))
             .agg(*_trip_metrics(),
-                 F.avg("trip_distance").alias("avg_distance"),
-                 F.avg("total_amount").alias("avg_fare"),
-                 F.avg(D.tip_pct_nullif()).alias("avg_tip_pct")))
+                 exact_avg("trip_distance").alias("avg_distance"),
+                 exact_avg("total_amount").alias("avg_fare"),
+                 exact_avg(D.tip_pct_nullif()).alias("avg_tip_pct")))
 
 
 def dash_hourly(trips: DataFrame, start: str = FL.WINDOW_START,
@@ -64,9 +65,9 @@ def dash_hourly(trips: DataFrame, start: str = FL.WINDOW_START,
     per_hour = (dash_base(trips, start, end_exclusive)
                 .groupBy(D.pickup_hour().alias("pickup_hour"))
                 .agg(*_trip_metrics(),
-                     F.avg("total_amount").alias("avg_fare"),
-                     F.avg(D.tip_pct_nullif()).alias("avg_tip_pct"),
-                     F.avg("trip_distance").alias("avg_distance")))
+                     exact_avg("total_amount").alias("avg_fare"),
+                     exact_avg(D.tip_pct_nullif()).alias("avg_tip_pct"),
+                     exact_avg("trip_distance").alias("avg_distance")))
     return per_hour.withColumn("tranche", D.tranche("pickup_hour"))
 
 
@@ -76,9 +77,9 @@ def dash_zones(trips: DataFrame, start: str = FL.WINDOW_START,
     per_zone = (dash_base(trips, start, end_exclusive)
                 .groupBy(F.col("pulocationid").alias("zone_id"))
                 .agg(*_trip_metrics(),
-                     F.avg("total_amount").alias("avg_fare"),
-                     F.avg("trip_distance").alias("avg_distance"),
-                     F.avg(D.tip_pct_nullif()).alias("avg_tip_pct")))
+                     exact_avg("total_amount").alias("avg_fare"),
+                     exact_avg("trip_distance").alias("avg_distance"),
+                     exact_avg(D.tip_pct_nullif()).alias("avg_tip_pct")))
     return top_k(per_zone, "total_trips", k, "zone_id")
 
 
@@ -95,14 +96,14 @@ def dash_profile(trips: DataFrame, start: str = FL.WINDOW_START,
     n = F.count(F.lit(1))
     return base.agg(
         n.alias("total_trips"),
-        F.avg("trip_distance").alias("avg_distance"),
-        F.avg("total_amount").alias("avg_fare"),
-        F.avg(D.tip_pct_nullif()).alias("avg_tip_pct"),
+        exact_avg("trip_distance").alias("avg_distance"),
+        exact_avg("total_amount").alias("avg_fare"),
+        exact_avg(D.tip_pct_nullif()).alias("avg_tip_pct"),
         share_pct(conditional_sum(F.col("tip_amount") > 0), n).alias("pct_avec_pourboire"),
         share_pct(conditional_sum(F.col("payment_type") == CARD_PAYMENT), n).alias("pct_carte"),
         share_pct(conditional_sum(_touches(jfk)), n).alias("pct_aeroport_jfk"),
         share_pct(conditional_sum(_touches(lga)), n).alias("pct_aeroport_lga"),
-        F.avg("passenger_count").alias("avg_passagers"),
+        exact_avg("passenger_count").alias("avg_passagers"),
     )
 
 
@@ -118,8 +119,8 @@ def dashboard_load(trips: DataFrame, start: str = FL.WINDOW_START,
     decomposable sums and counts over the 24 hour groups (every set covers
     each trip once), so it has one row even on an empty window, as a global
     aggregate does. ``materialize`` writes the grouped result once; the four
-    outputs are then small reads of it. Averages are sum / count in another
-    addition order than the one-query forms: equal up to float rounding.
+    outputs are then small reads of it. Sums are exact, so the results equal
+    those of the one-query forms bit for bit.
     """
     pos = F.coalesce(FL.positive_total(), F.lit(False))
     keyed = dash_base(trips, start, end_exclusive).select(
@@ -132,9 +133,9 @@ def dashboard_load(trips: DataFrame, start: str = FL.WINDOW_START,
     def on_pos(c):
         return F.when(p, F.col(c) if isinstance(c, str) else c)
 
-    sums = {}   # decomposable parts of the profile, per group
-    for name, col in (("dist", "trip_distance"), ("tip", "_tip"), ("pass", "passenger_count")):
-        sums[f"s_{name}"] = F.sum(on_pos(col))
+    sums, states = {}, []   # decomposable parts of the profile, per group
+    for name, col in (("dist", "trip_distance"), ("fare", "total_amount"), ("tip", "_tip"), ("pass", "passenger_count")):
+        states += exact_states(on_pos(col), name)
         sums[f"n_{name}"] = F.count(on_pos(col))
     for name, cond in (("tipped", F.col("tip_amount") > 0), ("card", F.col("payment_type") == CARD_PAYMENT),
                        ("jfk", F.col("_jfk")), ("lga", F.col("_lga"))):
@@ -144,16 +145,16 @@ def dashboard_load(trips: DataFrame, start: str = FL.WINDOW_START,
         F.grouping_id().alias("_gid"),
         # all trips of the window (hourly, zones)
         *_trip_metrics(),
-        F.avg("total_amount").alias("avg_fare"),
-        F.avg("_tip").alias("avg_tip_pct"),
-        F.avg("trip_distance").alias("avg_distance"),
+        exact_avg("total_amount").alias("avg_fare"),
+        exact_avg("_tip").alias("avg_tip_pct"),
+        exact_avg("trip_distance").alias("avg_distance"),
         # trips with a positive total (daily, profile)
         F.count_if(p).alias("pos_trips"),
-        F.sum(on_pos("total_amount")).alias("pos_revenue"),
-        F.avg(on_pos("trip_distance")).alias("pos_avg_distance"),
-        F.avg(on_pos("total_amount")).alias("pos_avg_fare"),
-        F.avg(on_pos("_tip")).alias("pos_avg_tip_pct"),
-        *[v.alias(n) for n, v in sums.items()],
+        exact_sum(on_pos("total_amount")).alias("pos_revenue"),
+        exact_avg(on_pos("trip_distance")).alias("pos_avg_distance"),
+        exact_avg(on_pos("total_amount")).alias("pos_avg_fare"),
+        exact_avg(on_pos("_tip")).alias("pos_avg_tip_pct"),
+        *[v.alias(n) for n, v in sums.items()], *states,
     )
     if materialize is not None:
         agg = materialize(agg, "dashboard_load")
@@ -174,20 +175,20 @@ def dashboard_load(trips: DataFrame, start: str = FL.WINDOW_START,
         "zone_id", "total_trips", "total_revenue", "avg_fare", "avg_distance", "avg_tip_pct"),
         "total_trips", k, "zone_id")
 
-    def ratio(s_col, n_col):
-        return F.sum(s_col) / F.nullif(F.sum(n_col).cast("double"), F.lit(0.0))
+    def mean(name):
+        return merged_sum(name) / F.nullif(F.sum(f"n_{name}"), F.lit(0))
 
     n = F.coalesce(F.sum("pos_trips"), F.lit(0)).cast("bigint")
     profile = part("pickup_hour").agg(
         n.alias("total_trips"),
-        ratio("s_dist", "n_dist").alias("avg_distance"),
-        ratio("pos_revenue", "pos_trips").alias("avg_fare"),
-        ratio("s_tip", "n_tip").alias("avg_tip_pct"),
+        mean("dist").alias("avg_distance"),
+        mean("fare").alias("avg_fare"),
+        mean("tip").alias("avg_tip_pct"),
         share_pct(F.sum("c_tipped"), n).alias("pct_avec_pourboire"),
         share_pct(F.sum("c_card"), n).alias("pct_carte"),
         share_pct(F.sum("c_jfk"), n).alias("pct_aeroport_jfk"),
         share_pct(F.sum("c_lga"), n).alias("pct_aeroport_lga"),
-        ratio("s_pass", "n_pass").alias("avg_passagers"),
+        mean("pass").alias("avg_passagers"),
     )
     return {"dash_daily": daily, "dash_hourly": hourly, "dash_zones": zones, "dash_profile": profile}
 

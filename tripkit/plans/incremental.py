@@ -1,10 +1,10 @@
 """The four marts kept up to date month by month.
 
 A month's part of every mart is a set of mergeable states: for each grouping key the row count, and each measure's sum and
-count. The states of all months are one small table (``load_month`` by grouping keys), stored in month folders that a snapshot
+count (sums in their exact parts). The states of all months are one small table (``load_month`` by grouping keys), stored in month folders that a snapshot
 commits, like the RAW months they come from; each records the RAW load it was made from. After a load, ``refresh`` scans only
 the months whose RAW load is another one than that, and drops the states of months that are gone. ``merged_marts`` adds the
-states up: it reads days x keys rows, never trips.
+states up: it reads days x keys rows, never trips. Sums are exact, so the marts equal a full rebuild bit for bit.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.derive import PICKUP, time_period
+from ..functions.exact import PARTS, exact_states, merged_sum
 from ..operators.windows import popularity_rank
 from ..sources.files import InputFile
 from ..sources.months import loaded_months
@@ -26,7 +27,8 @@ _STATES = T.StructType([
     T.StructField(name, kind) for name, kind in (
         ("grouping", T.IntegerType()), ("pickup_date", T.DateType()), ("pickup_zone", T.LongType()), ("pickup_hour", T.IntegerType()),
         ("distance_category", T.StringType()), ("day_type", T.StringType()), ("total_trips", T.LongType()),
-        *(field for m in MEASURES for field in ((f"sum_{m}", T.DoubleType()), (f"n_{m}", T.LongType()))))])
+        *(field for m in MEASURES for field in (
+            *((f"{p}_{m}", T.DoubleType() if p == "loose" else T.LongType()) for p in PARTS), (f"n_{m}", T.LongType()))))])
 
 
 def month_states(clean: DataFrame) -> DataFrame:
@@ -35,7 +37,7 @@ def month_states(clean: DataFrame) -> DataFrame:
                          "pickup_hour", "distance_category", "day_type", *MEASURES)
     # the month is in every set, so the grouping id is that of the marts' own sets
     sets = [["load_month", *s] for s in _SETS.values()]
-    states = [x for m in MEASURES for x in (F.sum(F.col(m).cast("double")).alias(f"sum_{m}"), F.count(m).alias(f"n_{m}"))]
+    states = [x for m in MEASURES for x in (*exact_states(m, m), F.count(m).alias(f"n_{m}"))]
     return keyed.groupingSets(sets, "load_month", *_KEYS).agg(
         F.grouping_id().cast("int").alias("grouping"), F.count(F.lit(1)).alias("total_trips"), *states) \
         .select(*_STATES.fieldNames(), "load_month")
@@ -72,13 +74,13 @@ def stored_states(spark: SparkSession, states_target: str) -> DataFrame:
 
 
 def _mean(measure: str) -> Column:
-    return F.try_divide(F.col(f"sum_{measure}"), F.col(f"n_{measure}"))
+    return F.col(f"sum_{measure}") / F.nullif(F.col(f"n_{measure}"), F.lit(0))
 
 
 def merged_marts(states: DataFrame) -> dict[str, DataFrame]:
-    """The four marts from the months' states; equal to those built from all staging rows."""
+    """The four marts from the months' states; equal, bit for bit, to those built from all staging rows."""
     def part(mart: str) -> DataFrame:
-        sums = [F.sum(c).alias(c) for c in ("total_trips", *(f"{x}_{m}" for m in MEASURES for x in ("sum", "n")))]
+        sums = [F.sum("total_trips").alias("total_trips"), *(x for m in MEASURES for x in (merged_sum(m).alias(f"sum_{m}"), F.sum(f"n_{m}").alias(f"n_{m}")))]
         return states.filter(F.col("grouping") == _gid(_SETS[mart])).groupBy(*_SETS[mart]).agg(*sums)
 
     distance, revenue = _mean("trip_distance").alias("avg_distance"), _mean("total_amount").alias("avg_revenue")
