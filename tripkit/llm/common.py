@@ -20,6 +20,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def whole(docs: DataFrame, *named: Column) -> DataFrame:
+    """Every column of ``docs`` as one struct ``whole``, beside the columns that the work needs: no name of theirs meets one of ours."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"), *named)
+
+
+def unpacked(docs: DataFrame, without: tuple[str, ...] = (), **instead: Column) -> list[Column]:
+    """The columns of ``docs`` from ``whole``, without some, others in the place of some."""
+    return [instead[c].alias(c) if c in instead else F.col(f"whole.`{c}`").alias(c) for c in docs.columns if c not in without]
+
+
 def held_out(mod: int = 4, remainder: int = 2, id_col: str = "doc_id") -> Column:
     """True where crc32(id as text) mod ``mod`` is ``remainder``; a null id is not held out."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % mod == remainder, F.lit(False))

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import WHITE_SPACE, split_heavy, table
+from .common import WHITE_SPACE, split_heavy, table, unpacked, whole
 
 BLOCK_BITS = 32_768
 OUTPUT = ("keep_id", "group_size", "kept", "text_sha256")
@@ -58,9 +58,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     gives an empty result. Columns of ``docs`` with the names of the result are replaced. ``keep_text=False``
     leaves the text out of the written intermediate table and of the result.
     """
-    rows = docs.drop(*OUTPUT).withColumn("text_sha256", text_key(text_col))
-    rows = rows if keep_text else rows.drop(text_col)
-    columns = [c for c in rows.columns if c != "text_sha256"]
+    without = OUTPUT if keep_text else (*OUTPUT, text_col)
+    rows = whole(docs, F.col(id_col).alias("id"), text_key(text_col).alias("text_sha256"))
+    rows = rows.withColumn("whole", F.struct(*unpacked(docs, without)))
     keyed = materialize(rows.withColumn("_row", F.monotonically_increasing_id()), "dedup_keyed")
     total = keyed.count()
     n_blocks = min(max(-(-total * bits_per_row // BLOCK_BITS), 1), max_blocks)
@@ -75,7 +75,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     probed = probed.withColumn("_maybe", F.coalesce(F.col("_bits").isNotNull() & maybe, F.lit(False))).drop("_block", "_bits")
 
     suspects = probed.filter("_maybe").drop("_maybe")
-    first = F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), F.col("_row").alias("row"))
+    first = F.struct(F.col("id").isNull().alias("no_id"), F.col("id"), F.col("_row").alias("row"))
     groups = materialize(suspects.groupBy("text_sha256").agg(F.min(first).alias("_first"), F.count("*").alias("_n"))
                          .filter("_n >= 2"), "dedup_groups")
     heavy, light = split_heavy(groups, "_n", total)
@@ -87,8 +87,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     found = alone.unionByName(seen.filter("_n is not null")).unionByName(rest)
     single = F.col("_n").isNull()
     return found.select(
-        *columns,
-        F.when(single, F.col(id_col)).otherwise(F.col("_first.id")).alias("keep_id"),
+        *unpacked(docs, without),
+        F.when(single, F.col("id")).otherwise(F.col("_first.id")).alias("keep_id"),
         F.coalesce("_n", F.lit(1)).cast("bigint").alias("group_size"),
         (single | (F.col("_first.row") == F.col("_row"))).alias("kept"), "text_sha256")
 
@@ -100,7 +100,8 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the kept rows of ``docs``."""
-    return exact_dedup(docs).filter("kept").select(*docs.columns)
+    found = exact_dedup(whole(docs, F.col("doc_id"), F.col("text")))
+    return found.filter("kept").select(*unpacked(docs))
 
 
 ORACLE = r"""

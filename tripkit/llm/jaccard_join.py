@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import join_groups, slices, table, utf8
+from .common import join_groups, slices, table, unpacked, utf8, whole
 from .components import components
 from .hashing import mix, shingle_sets
 from .packed import pack, unpack
@@ -313,8 +313,9 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: of each component one row with its smallest doc_id stays, and rows without words or doc_id."""
     found = jaccard_rows(docs).filter("component is not null")
     best = F.min(F.struct("doc_id", "text_hash")).alias("best")
-    first = found.groupBy("component").agg(best).select("best.doc_id", F.col("best.text_hash").alias("_text_hash"))
+    first = found.groupBy("component").agg(best).select("best.doc_id", "best.text_hash")
     # rows that agree in both are of one component
-    kept = docs.withColumn("_text_hash", F.xxhash64("text")).join(first, ["doc_id", "_text_hash"], "left_semi").dropDuplicates(["doc_id", "_text_hash"])
+    rows = whole(docs, F.col("doc_id"), F.xxhash64("text").alias("text_hash"))
+    kept = rows.join(first, ["doc_id", "text_hash"], "left_semi").dropDuplicates(["doc_id", "text_hash"])
     loose = F.col("doc_id").isNull() | ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    return kept.select(*docs.columns).unionByName(docs.filter(loose))
+    return kept.select(*unpacked(docs)).unionByName(docs.filter(loose))

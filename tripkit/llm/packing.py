@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 from .common import SLICE_BYTES, slices, table
-from .tokens import END_ID, word_encoder
+from .tokens import END_ID, MAX_WORDS, word_encoder
 
 LENGTH = 2048
 GRAIN = 8
@@ -159,8 +159,9 @@ def cut(docs: DataFrame, length: int = LENGTH, grain: int = GRAIN, tokenizer: st
         from pyspark import TaskContext
 
         task, seen = TaskContext.get().partitionId(), np.zeros(length // grain + 2, np.int64)
-        for batch in slices(batches, max_bytes=SLICE_BYTES if with_ids else 2 * SLICE_BYTES):
-            ids, end = word_encoder(tokenizer, end_id).encode(batch.column(batch.schema.get_field_index("text")))
+        # ids on their way to the JVM take their room: less text at a time, and fewer words remembered
+        for batch in slices(batches, max_bytes=SLICE_BYTES // 2 if with_ids else 2 * SLICE_BYTES):
+            ids, end = word_encoder(tokenizer, end_id, MAX_WORDS // 3 if with_ids else MAX_WORDS).encode(batch.column(batch.schema.get_field_index("text")))
             tokens = np.diff(end, prepend=0)
             pieces = -(-tokens // length)
             doc = np.repeat(np.arange(len(tokens)), pieces)

@@ -3,8 +3,9 @@
 Fixed expressions find e-mail and IP addresses, card and phone numbers; these are the seeds. Around each seed, and around each other string
 with digits, lie lexical patterns: the word before it, the word after it, and what is glued to its front. Patterns and the strings in
 their slots are a graph that Spark scores in rounds: a pattern is as good as the strings known in its slot, a string as good as its
-known patterns. Strings that fail an expression's test, or are too short to identify anything, count as bad. Patterns of high
-confidence then discover the identifiers that no expression knows (kind ``id``).
+known patterns. Long strings of letters and digits that a word and "=" or ":" announce are seeds too (keys, tokens); strings that fail
+an expression's test count as bad, those too short to identify anything as neither. Patterns of high confidence then discover
+the identifiers that no expression knows (kind ``id``), in one string or in groups parted by single spaces.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import join_groups, slices, strings, table, with_fields
+from .common import join_groups, slices, strings, table, unpacked, whole, with_fields
 
 KINDS = ("email", "ip", "card", "phone", "id")
 ROUNDS = 3
@@ -32,8 +33,18 @@ IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGITS = re.compile(r"[0-9]+")
-BLANK = re.compile(r"[\x20\x09-\x0D]")
+# a string with a digit, from one blank to the next; each place is tried once
+TOKEN = re.compile(r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+")
 GLUED = re.compile(r".*[=:\"'(\[<#]")
+# an identifier's next group, as in IBANs and national phone numbers
+GROUP = re.compile(r"\x20([A-Z0-9]{2,6})(?=[\x20.,;:!?\"')\]>]|\Z)")
+GROUPED = re.compile(r"[A-Z0-9]{2,6}")
+# a key or token: long, letters and digits, announced by a word and = or :
+SECRET = re.compile(r"[A-Za-z0-9_+/-]{20,}=*")
+KEYED = re.compile(r"[A-Za-z][\x20\"']{0,3}[=:][\x20\"']{0,3}\Z")
+LETTERS_BEFORE = re.compile(r"(?<![^\W\d_])[^\W\d_]{1,40}+[^\w\s]{0,8}\Z")
+# Words of a pattern lie within so many characters of their string; one that does not do so whole is none.
+CONTEXT = 400
 EDGES = ".,;:!?\"')]>"
 
 
@@ -74,50 +85,87 @@ def base_spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, i
     return sorted(found), failed
 
 
-def _slots(text: str, spans, failed) -> list[tuple[int, int, float | None, list[str]]]:
-    """(start, end, 1.0 for a seed, 0.0 for a bad string or None, patterns) of every seed and other string with digits."""
-    out, taken = [], sorted((s, e) for s, _, e in spans)
-    bad, after, k = sorted(failed), 0, 0
-    for start, end in taken:
-        out.append((start, end, 1.0))
-    for m in DIGITS.finditer(text):
-        if m.start() < after:
-            continue
-        start = max(text.rfind(c, 0, m.start()) for c in " \n\t\r\x0b\x0c") + 1
-        end = (BLANK.search(text, m.end()) or re.search(r"\Z", text)).start()
-        after = end
-        while k < len(taken) and taken[k][1] <= start:
+def _united(spans) -> list[tuple[int, int]]:
+    """(start, end) spans in order, those that overlap made one."""
+    out = []
+    for start, end in sorted(spans):
+        if out and start < out[-1][1]:
+            out[-1] = (out[-1][0], max(end, out[-1][1]))
+        else:
+            out.append((start, end))
+    return out
+
+
+def _strings(text: str, taken) -> list[tuple[int, int]]:
+    """(start, end) of every string with a digit outside the spans ``taken`` (in order, apart), in one walk over the text."""
+    out, k, after = [], 0, 0
+    for m in TOKEN.finditer(text):
+        at, stop = max(m.start(), after), m.end()
+        while k < len(taken) and taken[k][1] <= at:
+            k += 1
+        j = k
+        while at < stop:  # what spans leave of the string
+            cut = taken[j] if j < len(taken) and taken[j][0] < stop else (stop, stop)
+            if cut[0] > at and (first := DIGITS.search(text, at, cut[0])):
+                begin, end = at, cut[0]
+                while end > first.start() and text[end - 1] in EDGES:
+                    end -= 1
+                if glued := GLUED.match(text, begin, first.start()):
+                    begin = glued.end()
+                if end == stop and GROUPED.fullmatch(text, begin, end):
+                    limit = taken[j][0] if j < len(taken) else len(text)
+                    last = end
+                    while (g := GROUP.match(text, end)) and g.end() <= limit:
+                        end = g.end()
+                        last = end if DIGITS.search(g[1]) else last
+                    end = last
+                out.append((begin, end))
+                after = max(after, end)
+            at, j = cut[1], j + 1
+    return out
+
+
+def _slots(text: str, spans, failed) -> list[tuple[int, int, float | None, bool, list[str]]]:
+    """(start, end, 1.0 for a seed, 0.0 for a bad string or None, whether it may be discovered, patterns) of every seed and other
+    string with digits."""
+    out = [(s, e, 1.0, False) for s, _, e in spans]
+    bad, k = _united(failed), 0
+    for start, end in _strings(text, _united((s, e) for s, _, e in spans)):
+        while k < len(bad) and bad[k][1] <= start:
             k += 1
-        if any(s < end and e > start for s, e in taken[max(k - 2, 0):k + 2]):
-            continue
-        token = text[start:end]
-        core = token.rstrip(EDGES)
-        glued = GLUED.match(token[:m.start() - start])
-        start, core = (start + glued.end(), core[glued.end():]) if glued else (start, core)
-        wrong = any(s < start + len(core) and e > start for s, e in bad)
-        able = len(core) >= LEAST_CHARS and sum(map(len, DIGITS.findall(core))) >= LEAST_DIGITS
-        out.append((start, start + len(core), 0.0 if wrong or not able else None))
-    return [(s, e, label, _patterns(text, s, e)) for s, e, label in out]
+        wrong = k < len(bad) and bad[k][0] < end
+        core = text[start:end]
+        if wrong:
+            out.append((start, end, 0.0, False))
+        elif len(core) >= LEAST_CHARS and sum(c.isdigit() for c in core) >= LEAST_DIGITS:
+            secret = SECRET.fullmatch(core) and any(map(str.isalpha, core)) and KEYED.search(text[max(0, start - 10):start])
+            out.append((start, end, 1.0 if secret else None, True))
+    return [(s, e, label, may, _patterns(text, s, e)) for s, e, label, may in out]
 
 
 def _patterns(text: str, start: int, end: int) -> list[str]:
-    """Lower-cased lexical patterns around a string: the word before it, the word after it, what is glued to its front."""
-    left = text[max(0, start - 80):start]
+    """Lower-cased lexical patterns around a string: the word before it, the word after it, what is glued to its front. Words
+    are whole ones; what is glued and has no letter is none, nor is a pattern with a digit (another identifier beside it)."""
+    from_ = max(0, start - CONTEXT)
+    left = text[from_:start]
     words = left.split()
     out = []
     if left and not left[-1].isspace() and words:
-        out.append("glued " + words.pop().lower())
+        if glued := LETTERS_BEFORE.search(words.pop()):  # the letters nearest to it and the marks between
+            out.append("glued " + glued[0].lower())
+    if from_ and words and not text[from_ - 1].isspace() and not left[0].isspace():
+        words.pop(0)  # cut in two
     before = []
     while words and len(before) < 3:
         before.insert(0, words.pop())
         if any(c.isalpha() for c in before[0]):
             break
-    if before:
+    if any(c.isalpha() for w in before for c in w):
         out.append("after " + " ".join(before).lower())
-    right = text[end:end + 80].lstrip(EDGES).split()
-    if right:
+    beyond = text[end:end + CONTEXT]
+    right = beyond.lstrip(EDGES).split()
+    if right and (len(right) > 1 or beyond[-1].isspace() or end + CONTEXT >= len(text)) and any(map(str.isalpha, right[0])):
         out.append("before " + right[0].lower())
-    # another identifier next to it is no pattern
     return [p for p in out if not DIGITS.search(p)]
 
 
@@ -126,18 +174,18 @@ def _extract(docs: DataFrame, text_col: str) -> DataFrame:
         import pyarrow as pa
 
         span = pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64())])
-        slot = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("value", pa.string()), ("label", pa.float64()), ("patterns", pa.list_(pa.string()))])
+        slot = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("value", pa.string()), ("label", pa.float64()), ("open", pa.bool_()), ("patterns", pa.list_(pa.string()))])
         for batch in slices(batches, text_col):
             spans, slots = [], []
             for text in strings(batch, text_col):
                 text = text or ""
                 found, failed = base_spans(text)
                 spans.append([{"start": s, "kind": k, "end": e} for s, k, e in found])
-                slots.append([{"start": s, "end": e, "value": text[s:e], "label": v, "patterns": p} for s, e, v, p in _slots(text, found, failed)])
+                slots.append([{"start": s, "end": e, "value": text[s:e], "label": v, "open": o, "patterns": p} for s, e, v, o, p in _slots(text, found, failed)])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(spans, pa.list_(span)), pa.array(slots, pa.list_(slot))], [*batch.schema.names, "base", "_slots"])
 
     fields = (("base", "array<struct<start:bigint,kind:int,end:bigint>>"),
-              ("_slots", "array<struct<start:bigint,end:bigint,value:string,label:double,patterns:array<string>>>"))
+              ("_slots", "array<struct<start:bigint,end:bigint,value:string,label:double,open:boolean,patterns:array<string>>>"))
     return docs.mapInArrow(body, with_fields(docs.schema, *fields))
 
 
@@ -165,18 +213,22 @@ def find(docs: DataFrame, text_col: str = "text", keep_text: bool = True, confid
     A null text is empty and has none. Columns of ``docs`` with the names of the result are replaced; repeated rows are searched alike; an
     empty table gives an empty result. ``keep_text=False`` leaves the text out of the written table and of the result.
     """
-    rows = _extract(docs.drop(*OUTPUT).withColumn("_row", F.monotonically_increasing_id()), text_col)
-    rows = materialize(rows if keep_text else rows.drop(text_col), "pii_slots")
+    without = OUTPUT if keep_text else (*OUTPUT, text_col)
+    packed = whole(docs, F.col(text_col).alias("text"))
+    kept = [c for c in unpacked(docs, (*without, text_col))]
+    packed = packed.withColumn("whole", F.struct(F.lit(0).alias(text_col), *kept)).withColumn("_row", F.monotonically_increasing_id())
+    rows = _extract(packed, "text")
+    rows = materialize(rows if keep_text else rows.drop("text"), "pii_slots")
     slots = rows.select("_row", F.explode("_slots").alias("s")).select("_row", "s.*")
     patterns = score_patterns(slots.select(F.explode("patterns").alias("pattern"), "value", "label"))
-    open_slots = slots.filter("label is null").select("_row", "start", "end", F.explode("patterns").alias("pattern"))
+    open_slots = slots.filter("open").select("_row", "start", "end", F.explode("patterns").alias("pattern"))
     sure = patterns.filter((F.col("confidence") >= confident) & (F.col("known") >= LEAST_KNOWN)).join(open_slots.groupBy("pattern").count(), "pattern")
     found = join_groups(open_slots, sure.select("pattern", "confidence", "count"), "pattern", "count", open_slots.count()) \
         .filter("confidence is not null").select("_row", "start", "end").distinct() \
         .groupBy("_row").agg(F.collect_list(F.struct("start", F.lit(len(KINDS) - 1).alias("kind"), "end")).alias("_found"))
-    found = rows.drop("_slots").join(found, "_row", "left").drop("_row")
+    found = rows.drop("_slots").join(found, "_row", "left")
     spans = F.array_sort(F.concat("base", F.coalesce("_found", F.array().cast(rows.schema["base"].dataType))))
-    return found.withColumn("spans", spans).drop("_found")
+    return found.select(*unpacked(docs, without, **{text_col: F.col("text")}), "base", spans.alias("spans"))
 
 
 def mask(docs: DataFrame, text_col: str = "text", spans_col: str = "spans") -> DataFrame:
@@ -216,6 +268,10 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: personal data in the texts is masked, and n_chars counted anew."""
-    masked = mask(find(docs)).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return masked.select(*docs.columns)
+    """Pipeline stage: personal data in the texts is masked, and n_chars, where there is one, counted anew. All other columns come
+    back as they were; null and empty texts stay, and an empty table gives an empty one."""
+    masked = mask(find(whole(docs, F.col("text"))))
+    anew = {"text": F.col("text")}
+    if "n_chars" in docs.columns:
+        anew["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return masked.select(*unpacked(docs, **anew))

@@ -14,9 +14,9 @@ END_ID = 1
 END = " "  # stands for the end of a text: no word has a space
 
 
-def word_encoder(path: str | None = None, end_id: int = END_ID) -> "WordEncoder":
+def word_encoder(path: str | None = None, end_id: int = END_ID, max_words: int = MAX_WORDS) -> "WordEncoder":
     """The encoder of this Python worker; ``path`` None is the 49k word vocabulary of ``public_tokenizers``."""
-    return kept(("words", path, end_id), lambda: WordEncoder(path, end_id))
+    return kept(("words", path, end_id), lambda: WordEncoder(path, end_id, max_words))
 
 
 class WordEncoder:
