@@ -10,7 +10,7 @@ Each level has its own Good-Turing discounts for counts up to ``LAST_DISCOUNTED`
 after every history some mass is left. alpha(h) is that mass over the mass that P(. | h') gives the words not seen after h, both summed
 exactly. A word seen after h is seen after h' too, so the sums need counts only, no other weights.
 
-Texts are dealt into chunks of some MB. A chunk sends its distinct n-grams and their training counts, as packed sorted hashes, to
+The rows that a task reads are its chunks, of some MB of text each. A chunk sends its distinct n-grams and their training counts, as packed sorted hashes, to
 the parts of a table that is partitioned by ranges of the hash; a part adds up the counts and answers each chunk. Then a chunk sums up
 what it knows of each history that a held-out text has (one chunk owns each distinct n-gram; a training text's own n-grams are all
 known, it never backs off), the parts turn the sums into backoff weights, and answer for each text those that it backs off with. Corpus statistics grow with the corpus in these
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import held_out, table
+from .common import held_out, slices, table
 from .hashing import mix, word_hashes
 from .packed import pack, unpack
 
@@ -78,9 +78,34 @@ def _split(keys, parts: int):
     return np.searchsorted(part, np.arange(parts + 1, dtype=np.uint64))
 
 
-def _send(parts: int, order: int):
+def _chunks(batches, size: int):
+    """(number, rows) of each chunk of a task: its place among the task's, beside the task's partition."""
+    import pyarrow as pa
+    from pyspark import TaskContext
+
+    first = TaskContext.get().partitionId() << 24
+    for k, batch in enumerate(slices(batches, max_bytes=size)):
+        yield first + k, pa.Table.from_batches([batch])
+
+
+def _number(size: int):
+    """The rows with the number of their chunk."""
+    def body(batches):
+        import pyarrow as pa
+
+        for chunk, rows in _chunks(batches, size):
+            yield from rows.append_column("chunk", pa.array([chunk] * rows.num_rows, pa.int64())).to_batches()
+
+    return body
+
+
+def _send(parts: int, order: int, size: int):
     """Chunk -> its distinct n-grams of each level with their training counts and whether a held-out text has them, by part."""
-    def body(rows):
+    def body(batches):
+        for chunk, rows in _chunks(batches, size):
+            yield from grams(chunk, rows).to_batches()
+
+    def grams(chunk, rows):
         import numpy as np
         import pyarrow as pa
 
@@ -96,7 +121,7 @@ def _send(parts: int, order: int):
                     for p, (a, b) in enumerate(zip(cut, cut[1:])) if a < b]
         kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
         columns = [pa.array(c, k) for c, k in zip(zip(*out), kinds)]
-        return pa.Table.from_arrays([pa.array([rows["chunk"][0].as_py()] * len(out), pa.int64()), *columns], ["chunk", "kind", "part", "keys", "counts", "asked"])
+        return pa.Table.from_arrays([pa.array([chunk] * len(out), pa.int64()), *columns], ["chunk", "kind", "part", "keys", "counts", "asked"])
 
     return body
 
@@ -283,10 +308,13 @@ def katz_scores(docs: DataFrame, mod: int = 7, remainder: int = 2, order: int =
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("bigint"), "text", held_out(mod, remainder).alias("held_out"))
     total = docs.agg(F.sum(F.octet_length("text")).alias("bytes"), F.count_if(~F.col("held_out")).alias("texts")).first()
-    chunks, parts = ((total["bytes"] or 0) // size + 1 for size in (CHUNK_BYTES, PART_BYTES))
-    dealt = docs.withColumn("train", ~F.col("held_out")).withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)))
+    parts = (total["bytes"] or 0) // PART_BYTES + 1
+    docs = docs.withColumn("train", ~F.col("held_out"))
+    plan = docs._jdf.queryExecution().executedPlan().toString()
+    if "Exchange" in plan or "Scan" not in plan:
+        docs = materialize(docs, "lm_docs")  # the rows are read twice and must come in the same tasks: only a stored table's do
 
-    sent = dealt.groupBy("chunk").applyInArrow(_send(parts, order), "chunk bigint, kind int, part bigint, keys binary, counts binary, asked binary")
+    sent = docs.mapInArrow(_send(parts, order, CHUNK_BYTES), "chunk bigint, kind int, part bigint, keys binary, counts binary, asked binary")
     counted = materialize(sent.groupBy("kind", "part").applyInPandas(_count, "chunk bigint, kind int, part bigint, counts binary, own binary, asked binary, numbers array<bigint>"), "lm_counts")
     size = LAST_DISCOUNTED + 3
     sums = [F.sum(F.col("numbers")[k]) for k in range(size)]
@@ -294,6 +322,7 @@ def katz_scores(docs: DataFrame, mod: int = 7, remainder: int = 2, order: int =
     model = Model([totals.get(k, [0] * size) for k in range(order)], total["texts"])
 
     answers = counted.filter("chunk >= 0").select("chunk", "kind", "part", "counts", "own", "asked")
+    dealt = docs.mapInArrow(_number(CHUNK_BYTES), "doc_id bigint, text string, held_out boolean, train boolean, chunk bigint")
     rows = materialize(dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_evaluate(model, parts), KINDS), "lm_rows")
     weights = materialize(rows.filter("kind > 0").select("kind", "chunk", "level", "part", "keys", "sums").groupBy("level", "part")
                           .applyInPandas(_weigh, "chunk bigint, keys binary, weights binary"), "lm_weights")
