@@ -91,8 +91,10 @@ class PieceEncoder:
         # (but an empty text has no ids, so the library can't be asked about a lone blank)
         theirs = [m if c == BLANK else t[1:] if c[0] == "\n" else t for m, t, c in zip(mine, theirs, escaped)]
         first = len(self.joined)
-        self.store.add(keys, theirs)
-        self.joined += [",".join(map(str, t)) for t in theirs]
+        # the agenda's ids; where the library has others, which ``n_differ`` counts, its ids hold
+        ids = [m if m == t else t for m, t in zip(mine, theirs)]
+        self.store.add(keys, ids)
+        self.joined += [",".join(map(str, i)) for i in ids]
         self.differ = self.store._room(self.differ, len(self.joined))
         for k, (m, t) in enumerate(zip(mine, theirs), first):
             self.differ[k] = m != t

@@ -23,8 +23,9 @@ from ..session import materialize, shared_path
 from .common import SLICE_BYTES, slices, table
 from .tokens import END_ID, word_encoder
 
-MAGIC = b"TKIDS-01"
+MAGIC = b"TKIDS-02"
 SAMPLE = 256
+ENCODED = 1 << 16  # numbers, a multiple of 8
 # magic, ids, documents, documents without doc_id, smallest doc_id, bytes an id, then for bounds and numbers:
 # count, low bits, place and bytes of low bits, of the bit vector and of the samples
 SECTION = "qqqqqqqq"
@@ -44,11 +45,12 @@ class EliasFano:
         x = np.asarray(numbers, np.int64)
         n = len(x)
         bits = max(int((int(x[-1]) + 1) // n).bit_length() - 1, 0) if n else 0
-        low = np.packbits(((x[:, None] >> np.arange(bits)) & 1).astype(np.uint8).ravel(), bitorder="little")
+        # the low bits a block at a time: a matrix of single bits takes many times the room of the numbers
+        low = [np.packbits(((x[k:k + ENCODED, None] >> np.arange(bits)) & 1).astype(np.uint8).ravel(), bitorder="little") for k in range(0, n, ENCODED)]
         place = (x >> bits) + np.arange(n)
         high = np.zeros(int(place[-1]) + 1 if n else 0, np.uint8)
         high[place] = 1
-        return cls(n, bits, low, np.packbits(high, bitorder="little"), place[::SAMPLE].astype(np.uint32))
+        return cls(n, bits, np.concatenate((*low, np.zeros(0, np.uint8))), np.packbits(high, bitorder="little"), place[::SAMPLE].astype(np.uint64))
 
     def all(self):
         import numpy as np
@@ -57,6 +59,30 @@ class EliasFano:
         low = np.unpackbits(self.low, count=self.n * self.low_bits, bitorder="little").reshape(self.n, self.low_bits)
         return (place - np.arange(self.n) << self.low_bits) + low.astype(np.int64) @ (1 << np.arange(self.low_bits))
 
+    def between(self, a: int, b: int):
+        """Numbers ``a`` to ``b - 1``, read from the sample before the first to the one after the last."""
+        import numpy as np
+
+        if a >= b:
+            return np.zeros(0, np.int64)
+        first, after = a // SAMPLE, (b - 1) // SAMPLE + 1
+        byte = int(self.samples[first]) // 8
+        until = int(self.samples[after]) // 8 + 1 if after < len(self.samples) else len(self.high)
+        place = np.flatnonzero(np.unpackbits(self.high[byte:until], bitorder="little")) + 8 * byte
+        place = place[place >= int(self.samples[first])][a - first * SAMPLE:b - first * SAMPLE]
+        bits, begin = self.low_bits, a * self.low_bits
+        low = np.unpackbits(self.low[begin // 8:(b * bits + 7) // 8], bitorder="little")[begin % 8:begin % 8 + (b - a) * bits]
+        low = low.reshape(b - a, bits).astype(np.int64) @ (1 << np.arange(bits))
+        return (place - np.arange(a, b) << bits) + low
+
+    def last_up_to(self, value: int, k: int) -> int:
+        """The last number from ``k`` on that is not above ``value`` (``k`` if there is none), by bisection over selects."""
+        low, high = k, self.n - 1
+        while low < high:
+            middle = (low + high + 1) // 2
+            low, high = (middle, high) if self.select(middle) <= value else (low, middle - 1)
+        return low
+
     def select(self, k: int) -> int:
         """Number ``k``, read from the nearest sample on."""
         place, left = int(self.samples[k // SAMPLE]), k % SAMPLE
@@ -90,6 +116,8 @@ def write_shard(uri: str, blocks, wide: bool) -> tuple[int, int]:
     ends, numbers, n_ids, nulls = [np.zeros(1, np.int64)], [], 0, 0
     with system.open_output_stream(path) as out:
         for ids, end, doc_ids in blocks:
+            if len(ids) and int(ids.max()) >> 8 * kind.itemsize:
+                raise ValueError(f"id {int(ids.max())} does not fit {kind.itemsize} bytes: write the files wide")
             out.write(ids.astype(kind).tobytes())
             ends.append(end + n_ids)
             n_ids += len(ids)
@@ -124,7 +152,7 @@ class TokenFile:
             raise ValueError(f"{uri} is not a token file")
         codes = []
         for s in (sections[:8], sections[8:]):
-            parts = [np.frombuffer(self.file.read_at(s[k + 1], s[k]), kind) for k, kind in ((2, np.uint8), (4, np.uint8), (6, np.uint32))]
+            parts = [np.frombuffer(self.file.read_at(s[k + 1], s[k]), kind) for k, kind in ((2, np.uint8), (4, np.uint8), (6, np.uint64))]
             codes.append(EliasFano(s[0], s[1], *parts))
         self.bounds, self.numbers = codes
 
@@ -137,8 +165,11 @@ class TokenFile:
         """The ids of document ``k``, found by two selects."""
         return self.ids(self.bounds.select(k), self.bounds.select(k + 1))
 
-    def doc_ids(self) -> list:
-        return [None] * self.nulls + (self.numbers.all() + self.least).tolist()
+    def doc_ids(self, a: int = 0, b: int | None = None) -> list:
+        """The doc_ids of documents ``a`` to ``b - 1``, all by default; those without one come first."""
+        b = self.n_docs if b is None else b
+        numbers = self.numbers.between(max(a - self.nulls, 0), max(b - self.nulls, 0)) + self.least
+        return [None] * (min(b, self.nulls) - min(a, self.nulls)) + numbers.tolist()
 
 
 def write(docs: DataFrame, folder: str, tokenizer: str | None = None, end_id: int = END_ID, wide: bool = False) -> DataFrame:
@@ -182,14 +213,14 @@ def read(manifest: DataFrame) -> DataFrame:
 
         for batch in batches:
             for uri, start in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                file = TokenFile(uri)
-                bounds, doc_ids, k = file.bounds.all(), file.doc_ids(), 0
-                while k < file.n_docs:  # some MB of ids at a time, one document at least
-                    to = max(int(np.searchsorted(bounds, bounds[k] + SLICE_BYTES // 4, "right")) - 1, k + 1)
-                    ids, cut = file.ids(int(bounds[k]), int(bounds[to])).astype("<u4"), (bounds[k:to + 1] - bounds[k]).tolist()
+                file, k = TokenFile(uri), 0
+                while k < file.n_docs:  # some MB of ids at a time, one document at least; selects find where they end
+                    to = max(file.bounds.last_up_to(file.bounds.select(k) + SLICE_BYTES // 4, k), k + 1)
+                    bounds = file.bounds.between(k, to + 1)
+                    ids, cut = file.ids(int(bounds[0]), int(bounds[-1])).astype("<u4"), (bounds - bounds[0]).tolist()
                     crc = [zlib.crc32(ids[a:b]) for a, b in zip(cut, cut[1:])]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(doc_ids[k:to], pa.int64()), pa.array(bounds[k:to] + start), pa.array(np.diff(bounds[k:to + 1])), pa.array(crc, pa.int64())],
+                        [pa.array(file.doc_ids(k, to), pa.int64()), pa.array(bounds[:-1] + start), pa.array(np.diff(bounds)), pa.array(crc, pa.int64())],
                         ["doc_id", "start", "n_tokens", "ids_crc32"])
                     k = to
 
