@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import to_epoch
 from ..operators.filters import DAY
-from ..session import materialize, shared_path
 from ..sources.files import list_files, names
 from ..sources.months import load_months, loaded_months, month_list
 from ..sources.raw import build_once, raw_root, raw_trips
@@ -89,30 +88,34 @@ def loaded(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 
 def reloaded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All rows after three months are loaded and then every month anew, in the place of all that was there."""
-    paths = month_files(spark, sf_dir)
-    target = _scratch(spark, "reload")
-    load_months(spark, {m: paths[m] for m in sorted(paths)[:3]}, target=target)
-    data, _ = load_months(spark, paths, target=target, truncate=True)
-    return data
+    """All rows after three months are loaded and then every month anew, in the place of all that was there; stored on first use."""
+    def write(folder):
+        paths = month_files(spark, sf_dir)
+        load_months(spark, {m: paths[m] for m in sorted(paths)[:3]}, target=f"{folder}/rows")
+        load_months(spark, paths, target=f"{folder}/rows", truncate=True)
+
+    return loaded_months(spark, build_once(spark, f"{raw_root(spark, sf_dir)}/reloaded{LOAD_VERSION}", write) + "/rows")
 
 
 def replaced(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """(what the listing of the files says, rows by month after its new and replaced months are loaded).
+    """(what the listing of the files says, the rows after its new and replaced months are loaded); stored on first use.
 
     All months but the last two that have files are loaded; then the files of every fourth month are written again, longer.
     """
-    paths, target, again = month_files(spark, sf_dir), _scratch(spark, "replaced"), _scratch(spark, "files")
-    months = sorted(paths)
-    load_months(spark, {m: paths[m] for m in months[:-2]}, target=target)
-    twice = raw_trips(spark, sf_dir).withColumn("file_month", F.date_format("tpep_pickup_datetime", "yyyy-MM")).filter(F.col("file_month").isin(months[::4]))
-    twice.unionByName(twice).write.partitionBy("file_month").parquet(again)
-    now = {**paths, **{m: f"{again}/file_month={m}" for m in months[::4]}}
-    listing = spark.createDataFrame([(m, *f) for m, p in now.items() for f in list_files(spark, p)], "month string, path string, length bigint, modified bigint")
-    status = materialize(changed_months(listing, manifest(spark, target)), "changed_months")
-    todo = [r["month"] for r in status.filter("status <> 'same'").select("month").collect()]
-    data, _ = load_months(spark, {m: now[m] for m in todo}, target=target)
-    return status, data
+    def write(folder):
+        paths, target = month_files(spark, sf_dir), f"{folder}/rows"
+        months = sorted(paths)
+        load_months(spark, {m: paths[m] for m in months[:-2]}, target=target)
+        twice = raw_trips(spark, sf_dir).withColumn("file_month", F.date_format("tpep_pickup_datetime", "yyyy-MM")).filter(F.col("file_month").isin(months[::4]))
+        twice.unionByName(twice).write.partitionBy("file_month").parquet(f"{folder}/files")
+        now = {**paths, **{m: f"{folder}/files/file_month={m}" for m in months[::4]}}
+        listing = spark.createDataFrame([(m, *f) for m, p in now.items() for f in list_files(spark, p)], "month string, path string, length bigint, modified bigint")
+        changed_months(listing, manifest(spark, target)).write.parquet(f"{folder}/status")
+        todo = spark.read.parquet(f"{folder}/status").filter("status <> 'same'").select("month").collect()
+        load_months(spark, {r["month"]: now[r["month"]] for r in todo}, target=target)
+
+    folder = build_once(spark, f"{raw_root(spark, sf_dir)}/replaced{LOAD_VERSION}", write)
+    return spark.read.parquet(f"{folder}/status"), loaded_months(spark, f"{folder}/rows")
 
 
 def kept_marts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -130,12 +133,6 @@ def kept_marts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return merged_marts(stored_states(spark, f"{folder}/states"))
 
 
-def _scratch(spark: SparkSession, name: str) -> str:
-    import uuid
-
-    return shared_path(spark, f"tripkit_tmp/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}")
-
-
 def good_paths(spark: SparkSession, sf_dir: str) -> list[str]:
     return [p for m, p in month_files(spark, sf_dir).items() if m != BAD_MONTH]
 
