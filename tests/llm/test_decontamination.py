@@ -48,7 +48,7 @@ def passages():
     return odd_rows() + [(i, t, "en", "s", 1) for i, t in docs], bench
 
 
-@pytest.mark.parametrize("shard, block", [(8 << 20, 8 << 20), (500, 8 << 20), (3000, 400), (1, 1)])
+@pytest.mark.parametrize("shard, block", [(8 << 20, 8 << 20), (500, 8 << 20), (1, 400)])
 def test_contamination_equals_scan(spark, tmp_path, monkeypatch, shard, block):
     monkeypatch.setattr(D, "SHARD_BYTES", shard)
     monkeypatch.setattr(D.contamination, "__defaults__", (*D.contamination.__defaults__[:-1], block))

@@ -30,6 +30,17 @@ def unpacked(docs: DataFrame, without: tuple[str, ...] = (), **instead: Column)
     return [instead[c].alias(c) if c in instead else F.col(f"whole.`{c}`").alias(c) for c in docs.columns if c not in without]
 
 
+def apart(docs: DataFrame, *names: str) -> DataFrame:
+    """The columns ``names`` beside all others as one struct ``whole``."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in names] or [F.lit(0).alias("none")]
+    return docs.select(F.struct(*others).alias("whole"), *names)
+
+
+def together(docs: DataFrame, *names: str, **instead: Column) -> list[Column]:
+    """The columns of ``docs`` again, from ``apart`` with the same ``names``."""
+    return [instead[c].alias(c) if c in instead else F.col(c) if c in names else F.col(f"whole.`{c}`").alias(c) for c in docs.columns]
+
+
 def held_out(mod: int = 4, remainder: int = 2, id_col: str = "doc_id") -> Column:
     """True where crc32(id as text) mod ``mod`` is ``remainder``; a null id is not held out."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % mod == remainder, F.lit(False))

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import WHITE_SPACE, split_heavy, table, unpacked, whole
+from .common import WHITE_SPACE, apart, split_heavy, table, together, unpacked, whole
 
 BLOCK_BITS = 32_768
 OUTPUT = ("keep_id", "group_size", "kept", "text_sha256")
@@ -100,8 +100,8 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the kept rows of ``docs``."""
-    found = exact_dedup(whole(docs, F.col("doc_id"), F.col("text")))
-    return found.filter("kept").select(*unpacked(docs))
+    found = exact_dedup(apart(docs, "doc_id", "text"))
+    return found.filter("kept").select(*together(docs, "doc_id", "text"))
 
 
 ORACLE = r"""

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import append, held_out, slices, strings, table, unpacked, whole, with_fields
+from .common import apart, append, held_out, slices, strings, table, together, with_fields
 
 PROFILE_SIZE = 300
 UNKNOWN = "und"
@@ -141,5 +141,5 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: rows whose language is recognised (``und`` rows go), as they were. An empty table gives an empty one."""
-    found = identify(whole(docs, F.col("text")), train_profiles(docs.filter(~held_out())))
-    return found.filter(F.col("lang_pred") != UNKNOWN).select(*unpacked(docs))
+    found = identify(apart(docs, "text"), train_profiles(docs.filter(~held_out())))
+    return found.filter(F.col("lang_pred") != UNKNOWN).select(*together(docs, "text"))

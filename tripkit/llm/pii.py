@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import join_groups, slices, strings, table, unpacked, whole, with_fields
+from .common import apart, join_groups, slices, strings, table, together, unpacked, whole, with_fields
 
 KINDS = ("email", "ip", "card", "phone", "id")
 ROUNDS = 3
@@ -270,8 +270,7 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: personal data in the texts is masked, and n_chars, where there is one, counted anew. All other columns come
     back as they were; null and empty texts stay, and an empty table gives an empty one."""
-    masked = mask(find(whole(docs, F.col("text"))))
-    anew = {"text": F.col("text")}
+    masked, anew = mask(find(apart(docs, "text"))), {}
     if "n_chars" in docs.columns:
         anew["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
-    return masked.select(*unpacked(docs, **anew))
+    return masked.select(*together(docs, "text", **anew))
