@@ -1,6 +1,7 @@
 """Physical-plan properties the design relies on (checked with explain)."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from tripkit.plans.registry import REGISTRY
 
@@ -86,3 +87,37 @@ def test_data_tests_scan_raw_once(spark, capsys):
     # the query is built); the final plan reads only that written aggregate
     raw_scans = [m for m in re.findall(r"^ReadSchema: (.*)$", out, re.M) if "tpep_pickup_datetime" in m]
     assert raw_scans == []
+
+
+def test_raw_build_shuffles_and_sorts_lines_not_trips(spark, capsys, tmpdir_path):
+    """No shuffle or sort of the RAW build holds a trip's 19 columns, the join sorts nothing, and the rows are those of the view."""
+    import re
+    from tripkit.sources.fixture import joined_lines, trips_view
+    from tripkit.sources.raw import clustered_trips
+    from tripkit.sources.schema import TRIPS_NAMES
+    lines = spark.range(3000).selectExpr(
+        "id % 700 + 1 AS l_orderkey", "id * 7 % 500 AS l_partkey", "id % 40 AS l_suppkey", "CAST(id % 7 + 1 AS INT) AS l_linenumber",
+        "CAST(id % 50 AS DOUBLE) AS l_quantity", "IF(id % 2 = 0, 'O', 'F') AS l_linestatus")
+    lines.unionByName(lines.limit(9).withColumn("l_orderkey", F.lit(None).cast("bigint"))).write.parquet(f"{tmpdir_path}/lineitem.parquet")
+    orders = spark.range(1, 650).selectExpr("id AS o_orderkey", "IF(id % 90 = 0, NULL, CAST(date_add(DATE'1995-01-01', CAST(id % 2400 AS INT)) AS TIMESTAMP_NTZ)) AS o_orderdate")
+    orders.unionByName(orders.limit(3)).write.parquet(f"{tmpdir_path}/orders.parquet")
+    built = clustered_trips(joined_lines(spark, tmpdir_path))
+    out = plan(built, capsys)
+    assert "SortMergeJoin" not in out and "BroadcastHashJoin" not in out and "ShuffledHashJoin" in out
+    moved = re.findall(r"^\(\d+\) (?:Exchange|Sort)\nInput \[(\d+)\]", out, re.M)
+    assert len(moved) >= 4 and max(map(int, moved)) <= 9
+    assert built.columns == [*TRIPS_NAMES, "pickup_day"]
+    view = trips_view(spark, tmpdir_path)
+    assert view.count() > 2500 and view.exceptAll(built.select(*TRIPS_NAMES)).count() == 0 and built.select(*TRIPS_NAMES).exceptAll(view).count() == 0
+    assert built.filter("NOT pickup_day <=> to_date(tpep_pickup_datetime)").count() == 0
+
+
+def test_raw_build_leaves_the_session_as_it_was(spark, tmpdir_path):
+    from tripkit.session import settings
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    with pytest.raises(ValueError):
+        with settings(spark, {key: "24MB"}):
+            assert spark.conf.get(key) == "24MB"
+            raise ValueError
+    assert spark.conf.get(key) == before and spark.conf.get(key, None) is None
