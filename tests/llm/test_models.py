@@ -329,3 +329,19 @@ def test_katz_odd_rows(odd):
     got = LM.katz_scores(odd).collect()
     assert len(got) == len(odd_rows()) and all(math.isfinite(r["score"]) and math.isfinite(r["base_score"]) for r in got)
     assert [r["n_tokens"] for r in got if r["doc_id"] in (1, 2)] == [1, 1]
+
+
+def test_word_hashes_take_a_block_of_text_at_a_time():
+    """Many texts need no more memory than a block and their hashes, and hash as one by one."""
+    import tracemalloc
+    from tripkit.llm.hashing import word_hashes
+    texts = [b"", b"Some words\tand more\n" * 3000, b" ", b"end"] * 480
+    word_hashes(texts[:4])
+    tracemalloc.start()
+    found, until = word_hashes(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 12 * sum(map(len, texts))
+    alone = [word_hashes([t])[0].tolist() for t in texts[:4]]
+    assert until.tolist() == [sum(map(len, alone)) * (k // 4) + sum(map(len, alone[:k % 4 + 1])) for k in range(len(texts))]
+    assert found.tolist() == [h for a in alone for h in a] * 480

@@ -121,3 +121,22 @@ def test_raw_build_leaves_the_session_as_it_was(spark, tmpdir_path):
             assert spark.conf.get(key) == "24MB"
             raise ValueError
     assert spark.conf.get(key) == before and spark.conf.get(key, None) is None
+
+
+def test_materialize_leaves_no_shuffle_files(spark, tmpdir_path):
+    """The files of the shuffles behind a written intermediate go with the write, not with the driver's next garbage collection."""
+    import time
+    from tripkit.session import materialize
+
+    def shuffles():
+        return set(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n"))
+
+    before = shuffles()
+    df = spark.range(100_000).groupBy((F.col("id") % 1000).alias("k")).agg(F.max("id").alias("m"))
+    held = materialize(df)
+    for _ in range(50):
+        left = {f for f in shuffles() - before if "shuffle_" in f}
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left and held.count() == df.count() == 1000

@@ -54,11 +54,13 @@ def with_fields(schema: T.StructType, *fields: tuple[str, str]) -> T.StructType:
     return out
 
 
+_M_MMAP_THRESHOLD = -3  # of malloc.h
 _KEPT: dict = {"stage": None, "things": {}}
 
 
 def forget() -> None:
     """Drop what this Python worker kept for another stage: workers live on, and one stage's words are no use to the next."""
+    import ctypes
     import gc
 
     import pyarrow as pa
@@ -70,6 +72,10 @@ def forget() -> None:
         _KEPT.update(stage=stage, things={})
         gc.collect()
         pa.default_memory_pool().release_unused()
+        libc = ctypes.CDLL(None)
+        if hasattr(libc, "malloc_trim"):  # glibc keeps freed arrays; from now on those of a MB and more go back at once
+            libc.mallopt(_M_MMAP_THRESHOLD, 1 << 20)
+            libc.malloc_trim(0)
 
 
 def kept(name, make):

@@ -5,6 +5,8 @@ from __future__ import annotations
 from .common import kept
 
 _FACTOR = 0x100000001B3
+BLOCK_BYTES = 1 << 20
+
 
 def _powers(n: int, inverse: bool):
     """Powers of an odd number modulo 2 ** 64, or of its inverse, kept up to the longest input met."""
@@ -31,10 +33,26 @@ def mix(x):
 def word_hashes(texts: list[bytes], lower: bool = True):
     """(hash of every word of all texts in a row, the end of each text in them).
 
-    Words are runs of bytes other than space, tab, LF, VT, FF and CR; ``lower`` reads A-Z as a-z.
+    Words are runs of bytes other than space, tab, LF, VT, FF and CR; ``lower`` reads A-Z as a-z. Texts are read in blocks of
+    about ``BLOCK_BYTES``: a byte needs some 40 bytes of arrays.
     """
     import numpy as np
 
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    block = (np.cumsum(sizes) - sizes) // BLOCK_BYTES
+    first = np.flatnonzero(np.diff(block, prepend=-1)).tolist()
+    hashed, until, words = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0
+    for a, b in zip(first, [*first[1:], len(texts)]):
+        some, ends = _block_hashes(texts[a:b], lower)
+        hashed.append(some)
+        until.append(ends + words)
+        words += len(some)
+    return np.concatenate(hashed), np.concatenate(until)
+
+
+def _block_hashes(texts: list[bytes], lower: bool):
+    import numpy as np
+
     joined = b"\n".join(texts) + b"\n"
     code = np.frombuffer(joined.lower() if lower else joined, np.uint8)  # bytes.lower() changes A-Z only
     word = np.ones(256, bool)

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import join_groups, slices, table, unpacked, utf8, whole
+from .common import forget, join_groups, slices, table, unpacked, utf8, whole
 from .components import components
 from .hashing import mix, shingle_sets
 from .packed import pack, unpack
@@ -100,14 +100,15 @@ def _members(docs: DataFrame, classes: DataFrame, parts: int) -> DataFrame:
         import numpy as np
         import pandas as pd
 
-        found = [_read_entries(*r) for r in zip(rows["hashes"], rows["local"], rows["nodes"], rows["sizes"])]
-        hashes, nodes, sizes = (np.concatenate(c) for c in zip(*found))
-        known = np.repeat(rows["known"].to_numpy() > 0, [len(f[0]) for f in found])
+        forget()
+        many, hashes, nodes, sizes = _all_entries(rows)
+        known = np.repeat(rows["known"].to_numpy() > 0, many)
         order = np.argsort(hashes, kind="stable")
-        hashes, nodes, sizes, known = hashes[order], nodes[order], sizes[order], known[order]
+        hashes = hashes[order]
         same = hashes[1:] == hashes[:-1]
-        twice = np.concatenate((same, [False])) | np.concatenate(([False], same)) | known
-        hashes, nodes, sizes = hashes[twice], nodes[twice], sizes[twice]
+        twice = np.concatenate((same, [False])) | np.concatenate(([False], same)) | known[order]
+        order = order[twice]
+        hashes, nodes, sizes = hashes[twice], nodes[order], sizes[order]
         lot = (mix(nodes.view(np.uint64)) % np.uint64(parts)).astype(np.int64)
         order = np.argsort(lot, kind="stable")
         cut = np.searchsorted(lot[order], np.arange(parts + 1)).tolist()
@@ -123,15 +124,15 @@ def _members(docs: DataFrame, classes: DataFrame, parts: int) -> DataFrame:
         import numpy as np
         import pandas as pd
 
-        found = [_read_entries(*r) for r in zip(rows["hashes"], rows["local"], rows["nodes"], rows["sizes"])]
-        hashes, nodes, sizes = (np.concatenate(c) for c in zip(*found))
+        forget()
+        _, hashes, nodes, sizes = _all_entries(rows)
         hashes = hashes.view(np.int64)
         order = np.lexsort((hashes, nodes))
         hashes, nodes, sizes = hashes[order], nodes[order], sizes[order]
         once = np.concatenate(([True], (hashes[1:] != hashes[:-1]) | (nodes[1:] != nodes[:-1])))
         hashes, nodes, sizes = hashes[once], nodes[once], sizes[once]
         at = np.flatnonzero(np.concatenate(([True], nodes[1:] != nodes[:-1])))
-        n, many = sizes[at], np.diff(np.append(at, len(nodes)))
+        n, many = sizes[at].astype(np.int64), np.diff(np.append(at, len(nodes)))
         first = n - -(-n * PERCENT // 100) + 1 - (n - many)
         keep = np.flatnonzero(first > 0)
         return pd.DataFrame({"node": nodes[at][keep], "n": n[keep], "first": first[keep].astype(np.int32),
@@ -155,7 +156,15 @@ def _read_entries(hashes: bytes, local: bytes, nodes: bytes, sizes: bytes):
     import numpy as np
 
     local = unpack(local, np.uint32)
-    return np.cumsum(unpack(hashes, np.uint64), dtype=np.uint64), unpack(nodes, np.int64)[local], unpack(sizes, np.uint32)[local].astype(np.int64)
+    return np.cumsum(unpack(hashes, np.uint64), dtype=np.uint64), unpack(nodes, np.int64)[local], unpack(sizes, np.uint32)[local]
+
+
+def _all_entries(rows):
+    """(number of entries of each row, hashes, nodes, sizes) of all rows; what they are read into goes on return."""
+    import numpy as np
+
+    found = [_read_entries(*r) for r in zip(rows["hashes"], rows["local"], rows["nodes"], rows["sizes"])]
+    return [len(f[0]) for f in found], *(np.concatenate(c) for c in zip(*found))
 
 
 def _candidates(docs: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -223,6 +232,7 @@ def _large_links(families: DataFrame, members: DataFrame, classes: DataFrame) ->
         import numpy as np
         import pandas as pd
 
+        forget()
         node, n, block, copies = (rows[c].to_numpy() for c in ("node", "n", "block", "copies"))
         low, high = int(rows["low"].iloc[0]), int(rows["high"].iloc[0])
         sizes = np.fromiter(map(len, rows["tokens"]), np.int64, len(rows))

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import held_out, slices, table
+from .common import forget, held_out, slices, table
 from .hashing import mix, word_hashes
 from .packed import pack, unpack
 
@@ -132,11 +132,13 @@ def _count(rows):
     import numpy as np
     import pandas as pd
 
+    forget()
     keys = [np.cumsum(unpack(k, np.uint64), dtype=np.uint64) for k in rows["keys"]]
     cut = np.cumsum([len(k) for k in keys])[:-1]
     keys, counts = np.concatenate(keys), np.concatenate([unpack(c, np.uint32) for c in rows["counts"]]).astype(np.int64)
     order = np.argsort(keys, kind="stable")
-    fresh = np.concatenate(([True], keys[order][1:] != keys[order][:-1]))
+    keys = keys[order]
+    fresh = np.concatenate(([True], keys[1:] != keys[:-1]))
     totals = np.add.reduceat(counts[order], np.flatnonzero(fresh))
     answer, own = np.empty(len(keys), np.uint64), np.empty(len(keys), bool)
     group = np.cumsum(fresh) - 1
@@ -202,17 +204,17 @@ def _evaluate(model: Model, parts: int):
     of each history that a held-out text has, and how often each text backs off from it."""
     def body(rows, answers):
         import numpy as np
-        import pyarrow as pa
+        import pyarrow.compute as pc
 
         if not rows.num_rows:
             return _rows([])
         chunk = rows["chunk"][0].as_py()
         token, history, first, end = _tokens(rows["text"].to_pylist())
-        got = answers.sort_by([("kind", "ascending"), ("part", "ascending")]).to_pylist()
 
         def told(kind, n):
-            mine = [g for g in got if g["kind"] == kind]
-            counts = np.concatenate([unpack(g["counts"], np.uint64) for g in mine]).astype(np.int64)
+            # a level at a time: the answers to a chunk are larger than its text
+            mine = answers.filter(pc.field("kind") == kind).sort_by("part").to_pylist()
+            counts = np.concatenate([unpack(g["counts"], np.uint64) for g in mine]).view(np.int64)
             own, asked = (np.concatenate([np.unpackbits(np.frombuffer(g[c], np.uint8), count=len(g["counts"]) // 8).astype(bool) for g in mine])
                           if mine[0][c] is not None else None for c in ("own", "asked"))
             assert len(counts) == n, "the answers are not to this chunk"
@@ -223,6 +225,7 @@ def _evaluate(model: Model, parts: int):
         for level, (keys, history_keys) in enumerate(_levels(token, history, first, model.order)):
             grams, where, at = np.unique(keys, return_index=True, return_inverse=True)
             counts, own, asked = told(level, len(grams))
+            del grams
             if not level:
                 c_word = seen = counts[at]
                 p = model.unigram(seen)
@@ -273,6 +276,7 @@ def _weigh(rows):
     import numpy as np
     import pandas as pd
 
+    forget()
     owned, asked = rows[rows["kind"] == 1], rows[rows["kind"] == 2]
     out = []
     if len(owned):
