@@ -345,3 +345,35 @@ def test_word_hashes_take_a_block_of_text_at_a_time():
     alone = [word_hashes([t])[0].tolist() for t in texts[:4]]
     assert until.tolist() == [sum(map(len, alone)) * (k // 4) + sum(map(len, alone[:k % 4 + 1])) for k in range(len(texts))]
     assert found.tolist() == [h for a in alone for h in a] * 480
+
+
+@pytest.mark.parametrize("kind", ["uint32", "uint64", "int64"])
+def test_packed_counts_take_few_bytes(kind):
+    """A number's empty bytes take no room in the rows, not only in compressed shuffle files."""
+    import numpy as np
+    counts = (np.random.default_rng(1).geometric(0.8, 100_000)).astype(kind)
+    packed = LM.pack(counts)
+    assert len(packed) < len(counts) / 4
+    assert (LM.unpack(packed, kind) == counts).all()
+    for some in ([], [0], [5, 2**31, 7]):
+        assert LM.unpack(LM.pack(np.array(some, kind)), kind).tolist() == some
+
+
+def test_katz_leaves_no_answers_on_disk(spark, monkeypatch):
+    """The answers to chunks, and a stored copy of the texts, go when the texts' rows are written; the result still reads."""
+    kept = {}
+
+    def materialize(df, name):
+        kept[name] = stored(df, name)
+        return kept[name]
+
+    stored = LM.materialize
+    monkeypatch.setattr(LM, "materialize", materialize)
+    got = LM.katz_scores(spark.createDataFrame([(i, words(i, 20), "en", "s", 1) for i in range(30)], KINDS).repartition(3), order=3)
+    assert got.count() == 30
+
+    def there(name):
+        path = spark._jvm.org.apache.hadoop.fs.Path(kept[name].stored_at)
+        return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+    assert {n for n in kept if there(n)} == {"lm_rows", "lm_weights"} and {"lm_docs", "lm_counts"} < set(kept)

@@ -22,10 +22,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import discard, materialize
 from .common import forget, held_out, slices, table
 from .hashing import mix, word_hashes
-from .packed import pack, unpack
+from .packed import pack, pack_bits, unpack, unpack_bits
 
 CHUNK_BYTES = 6 << 20
 PART_BYTES = 10 << 20
@@ -117,7 +117,7 @@ def _send(parts: int, order: int, size: int):
             counts = np.bincount(at, train, len(keys)).astype(np.uint32)
             asked = np.bincount(at, 1 - train, len(keys)) > 0
             cut = _split(keys, parts).tolist()
-            out += [(kind, p, pack(np.diff(keys[a:b], prepend=np.uint64(0))), pack(counts[a:b]), np.packbits(asked[a:b]).tobytes() if kind < order - 1 else None)
+            out += [(kind, p, pack(np.diff(keys[a:b], prepend=np.uint64(0))), pack(counts[a:b]), pack_bits(asked[a:b]) if kind < order - 1 else None)
                     for p, (a, b) in enumerate(zip(cut, cut[1:])) if a < b]
         kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
         columns = [pa.array(c, k) for c, k in zip(zip(*out), kinds)]
@@ -134,24 +134,29 @@ def _count(rows):
 
     forget()
     keys = [np.cumsum(unpack(k, np.uint64), dtype=np.uint64) for k in rows["keys"]]
-    cut = np.cumsum([len(k) for k in keys])[:-1]
-    keys, counts = np.concatenate(keys), np.concatenate([unpack(c, np.uint32) for c in rows["counts"]]).astype(np.int64)
+    many = [len(k) for k in keys]
+    cut = np.cumsum(many)[:-1]
+    keys = np.concatenate(keys)
     order = np.argsort(keys, kind="stable")
     keys = keys[order]
     fresh = np.concatenate(([True], keys[1:] != keys[:-1]))
-    totals = np.add.reduceat(counts[order], np.flatnonzero(fresh))
-    answer, own = np.empty(len(keys), np.uint64), np.empty(len(keys), bool)
-    group = np.cumsum(fresh) - 1
-    answer[order], own[order] = totals[group], fresh
+    del keys
+    first, group = np.flatnonzero(fresh), np.cumsum(fresh) - 1
+    totals = np.add.reduceat(np.concatenate([unpack(c, np.uint32) for c in rows["counts"]])[order], first, dtype=np.int64)
+    own = np.empty(len(order), bool)
+    own[order] = fresh
     asked = [None] * len(rows)
     if rows["asked"].iloc[0] is not None:
-        bits = np.concatenate([np.unpackbits(np.frombuffer(a, np.uint8), count=len(c) // 4) for a, c in zip(rows["asked"], rows["counts"])])
-        wanted = np.empty(len(keys), bool)
-        wanted[order] = np.maximum.reduceat(bits[order], np.flatnonzero(fresh))[group] > 0
-        asked = [np.packbits(w).tobytes() for w in np.split(wanted, cut)]
+        bits = np.concatenate([unpack_bits(a, n) for a, n in zip(rows["asked"], many)])
+        wanted = np.empty(len(order), bool)
+        wanted[order] = np.maximum.reduceat(bits[order], first)[group]
+        asked = [pack_bits(w) for w in np.split(wanted, cut)]
+    answer = np.empty(len(order), np.uint64)
+    answer[order] = totals[group]
+    del order, group, first
     few = np.bincount(totals[totals <= LAST_DISCOUNTED + 1], minlength=LAST_DISCOUNTED + 2)
     numbers = np.concatenate(([totals.sum(), (totals > 0).sum()], few[1:])).astype(np.int64)
-    out = [(c, pack(a), np.packbits(o).tobytes(), w, None) for c, a, o, w in zip(rows["chunk"], np.split(answer, cut), np.split(own, cut), asked)]
+    out = [(c, pack(a), pack_bits(o), w, None) for c, a, o, w in zip(rows["chunk"], np.split(answer, cut), np.split(own, cut), asked)]
     out = pd.DataFrame([*out, (-1, None, None, None, numbers)], columns=["chunk", "counts", "own", "asked", "numbers"])
     out["kind"], out["part"] = rows["kind"].iloc[0], rows["part"].iloc[0]
     return out[["chunk", "kind", "part", "counts", "own", "asked", "numbers"]]
@@ -214,9 +219,9 @@ def _evaluate(model: Model, parts: int):
         def told(kind, n):
             # a level at a time: the answers to a chunk are larger than its text
             mine = answers.filter(pc.field("kind") == kind).sort_by("part").to_pylist()
-            counts = np.concatenate([unpack(g["counts"], np.uint64) for g in mine]).view(np.int64)
-            own, asked = (np.concatenate([np.unpackbits(np.frombuffer(g[c], np.uint8), count=len(g["counts"]) // 8).astype(bool) for g in mine])
-                          if mine[0][c] is not None else None for c in ("own", "asked"))
+            counts = [unpack(g["counts"], np.uint64) for g in mine]
+            own, asked = (np.concatenate([unpack_bits(g[c], len(k)) for g, k in zip(mine, counts)]) if mine[0][c] is not None else None for c in ("own", "asked"))
+            counts = np.concatenate(counts).view(np.int64)
             assert len(counts) == n, "the answers are not to this chunk"
             return counts, own, asked
 
@@ -225,7 +230,7 @@ def _evaluate(model: Model, parts: int):
         for level, (keys, history_keys) in enumerate(_levels(token, history, first, model.order)):
             grams, where, at = np.unique(keys, return_index=True, return_inverse=True)
             counts, own, asked = told(level, len(grams))
-            del grams
+            del grams, keys
             if not level:
                 c_word = seen = counts[at]
                 p = model.unigram(seen)
@@ -237,6 +242,7 @@ def _evaluate(model: Model, parts: int):
                 mine = mine[wanted[mine]]
                 some, to = np.unique(history_keys[mine], return_inverse=True)
                 both = [np.bincount(to, w[mine], len(some)) for w in (lower, p)]
+                del lower, mine, to
                 cut = _split(some, parts).tolist()
                 sums += [{"kind": 1, "chunk": chunk, "level": level, "part": k, "keys": pack(np.diff(some[a:b], prepend=np.uint64(0))), "sums": np.stack([s[a:b] for s in both]).tobytes()}
                          for k, (a, b) in enumerate(zip(cut, cut[1:])) if a < b]
@@ -244,10 +250,12 @@ def _evaluate(model: Model, parts: int):
                 ask, of = history_keys[backs], place[backs]
                 order = np.lexsort((of, ask))
                 ask, of = ask[order], of[order]
+                del order, backs, c_history, history_keys
                 cut = _split(ask, parts).tolist()
                 sums += [{"kind": 2, "chunk": chunk, "level": level, "part": k, "keys": pack(np.diff(ask[a:b], prepend=np.uint64(0))), "sums": pack(of[a:b].astype(np.uint32))}
                          for k, (a, b) in enumerate(zip(cut, cut[1:])) if a < b]
             wanted = first | np.roll(asked[at], 1) if asked is not None else None
+            del where, at, counts, own, asked
 
         score = np.add.reduceat(np.log10(p), begin)
         base = np.add.reduceat(np.log10((c_word + 1) / (model.n + model.v + 1)), begin)
@@ -315,7 +323,8 @@ def katz_scores(docs: DataFrame, mod: int = 7, remainder: int = 2, order: int =
     parts = (total["bytes"] or 0) // PART_BYTES + 1
     docs = docs.withColumn("train", ~F.col("held_out"))
     plan = docs._jdf.queryExecution().executedPlan().toString()
-    if "Exchange" in plan or "Scan" not in plan:
+    stored = "Exchange" in plan or "Scan" not in plan
+    if stored:
         docs = materialize(docs, "lm_docs")  # the rows are read twice and must come in the same tasks: only a stored table's do
 
     sent = docs.mapInArrow(_send(parts, order, CHUNK_BYTES), "chunk bigint, kind int, part bigint, keys binary, counts binary, asked binary")
@@ -328,6 +337,7 @@ def katz_scores(docs: DataFrame, mod: int = 7, remainder: int = 2, order: int =
     answers = counted.filter("chunk >= 0").select("chunk", "kind", "part", "counts", "own", "asked")
     dealt = docs.mapInArrow(_number(CHUNK_BYTES), "doc_id bigint, text string, held_out boolean, train boolean, chunk bigint")
     rows = materialize(dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_evaluate(model, parts), KINDS), "lm_rows")
+    discard(counted, *[docs] * stored)
     weights = materialize(rows.filter("kind > 0").select("kind", "chunk", "level", "part", "keys", "sums").groupBy("level", "part")
                           .applyInPandas(_weigh, "chunk bigint, keys binary, weights binary"), "lm_weights")
     backed = weights.groupBy("chunk").applyInPandas(_add_up, "chunk bigint, place bigint, weight double")
