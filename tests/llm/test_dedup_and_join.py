@@ -162,3 +162,43 @@ def test_jaccard_stage_keeps_one_row_where_doc_ids_repeat(spark):
     assert sum(g[0] == 1 for g in got) == 1
     rest = [(2, two + " end"), (5, three), (7, "short text"), (7, "other text"), (7, ""), (7, ""), (7, None), (None, one), (None, one)]
     assert [g for g in got if g[0] != 1] == sorted(rest, key=str)
+
+
+def stored_tables(spark, monkeypatch, *modules):
+    """(tables by name that these modules store, whether a table is still there)."""
+    kept = {}
+
+    def spy(materialize):
+        def body(df, name):
+            kept.setdefault(name, []).append(materialize(df, name))
+            return kept[name][-1]
+        return body
+
+    def there(df):
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+    for m in modules:
+        monkeypatch.setattr(m, "materialize", spy(m.materialize))
+    return kept, there
+
+
+def test_dedup_stage_stores_the_text_of_possibly_repeated_rows_only(spark, monkeypatch):
+    kept, _ = stored_tables(spark, monkeypatch, ED)
+    rows = [(i, words(i, 40), "en", "s", 1) for i in range(300)] + [(300 + i, words(i, 40).replace(" ", "  "), "fr", "s", 2) for i in range(3)]
+    got = ED.stage(spark, spark.createDataFrame(rows, KINDS), "").collect()
+    assert sorted(map(tuple, got)) == rows[:300]
+    texts = [t for frames in kept.values() for t in frames if "text" in t.schema.simpleString().replace("text_sha256", "")]
+    assert 6 <= sum(t.count() for t in texts) < 60
+
+
+def test_jaccard_stage_keeps_what_its_result_reads(spark, monkeypatch):
+    from tripkit.llm import components as C
+    monkeypatch.setattr(JJ, "SMALL", 4)
+    kept, there = stored_tables(spark, monkeypatch, JJ, C)
+    rows = [(i, words(7, 200) + f" end{i}", "en", "s", 1) for i in range(12)] + [(20 + i, words(9 + i // 2, 100) + f" end{i}", "en", "s", 1) for i in range(6)]
+    found = JJ.jaccard_rows(spark.createDataFrame(rows, KINDS))
+    assert len({r["component_id"] for r in found.collect()}) == 4
+    left = {name for name, frames in kept.items() if any(map(there, frames))}
+    assert left == {"jaccard_sets", "jaccard_classes", "jaccard_small", "jaccard_large", "components"}
+    assert sum(map(there, kept["components"])) == 2 < len(kept["components"])

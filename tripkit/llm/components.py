@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import discard, materialize
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -29,7 +29,8 @@ def components(edges: DataFrame) -> DataFrame:
     edges = edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     edges, state = materialize(edges, "components"), None
     while True:
-        edges = materialize(_star(_star(edges, True), False), "components")
+        before, edges = edges, materialize(_star(_star(edges, True), False), "components")
+        discard(before)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == state:
             break

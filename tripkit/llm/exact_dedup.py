@@ -50,19 +50,22 @@ def _marked(position: Column) -> Column:
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = True,
-                bits_per_row: int = 16, hashes: int = 2, max_blocks: int = 1 << 15) -> DataFrame:
+                bits_per_row: int = 16, hashes: int = 2, max_blocks: int = 1 << 15, again: bool = False) -> DataFrame:
     """``docs`` with keep_id, group_size, kept and text_sha256.
 
     Texts are equal when identical after white-space runs become one space; null text counts as empty. The row with
     the smallest id of a group is kept (a null id comes last; of rows with equal ids, one is kept). An empty table
     gives an empty result. Columns of ``docs`` with the names of the result are replaced. ``keep_text=False``
-    leaves the text out of the written intermediate table and of the result.
+    leaves the text out of the written intermediate table and of the result. ``again`` reads ``docs``, whose rows must be the same each
+    time, once more where they are needed and writes those only that may be repeated.
     """
     without = OUTPUT if keep_text else (*OUTPUT, text_col)
     rows = whole(docs, F.col(id_col).alias("id"), text_key(text_col).alias("text_sha256"))
     rows = rows.withColumn("whole", F.struct(*unpacked(docs, without)))
-    keyed = materialize(rows.withColumn("_row", F.monotonically_increasing_id()), "dedup_keyed")
-    total = keyed.count()
+    keyed = rows.withColumn("_row", F.monotonically_increasing_id())
+    if not again:
+        keyed = materialize(keyed, "dedup_keyed")
+    total = (docs if again else keyed).count()
     n_blocks = min(max(-(-total * bits_per_row // BLOCK_BITS), 1), max_blocks)
 
     bloom = materialize(build_filter(keyed, n_blocks, hashes), "dedup_filter")
@@ -75,6 +78,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     probed = probed.withColumn("_maybe", F.coalesce(F.col("_bits").isNotNull() & maybe, F.lit(False))).drop("_block", "_bits")
 
     suspects = probed.filter("_maybe").drop("_maybe")
+    if again:
+        suspects = materialize(suspects, "dedup_suspects")
     first = F.struct(F.col("id").isNull().alias("no_id"), F.col("id"), F.col("_row").alias("row"))
     groups = materialize(suspects.groupBy("text_sha256").agg(F.min(first).alias("_first"), F.count("*").alias("_n"))
                          .filter("_n >= 2"), "dedup_groups")
@@ -100,7 +105,7 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the kept rows of ``docs``."""
-    found = exact_dedup(apart(docs, "doc_id", "text"))
+    found = exact_dedup(apart(docs, "doc_id", "text"), again=True)
     return found.filter("kept").select(*together(docs, "doc_id", "text"))
 
 

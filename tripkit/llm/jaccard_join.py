@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import discard, materialize
 from .common import forget, join_groups, slices, table, unpacked, utf8, whole
 from .components import components
 from .hashing import mix, shingle_sets
@@ -178,7 +178,7 @@ def _candidates(docs: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]
 
 
 def _prefixes(members: DataFrame) -> DataFrame:
-    """(hash, node, n, level, match, bucket): the prefix entries of each member at the l (``match``) that it picks."""
+    """(hash, node, n, level, match, bucket), stored: the prefix entries of each member at the l (``match``) that it picks."""
     most = F.least(F.lit(MAX_MATCH), F.ceil(F.col("n") * PERCENT / 100)).cast("int")
     size = F.least(F.col("first") + most - 1, F.size("tokens"))
     entries = members.select("node", "n", "first", most.alias("most"), F.posexplode(F.slice("tokens", F.lit(1), size)).alias("place", "hash")) \
@@ -190,7 +190,10 @@ def _prefixes(members: DataFrame) -> DataFrame:
     costs = [F.sum(F.when(F.col("level") <= match, F.col("bucket") - 1)) * (1 + F.lit(VERIFY_COST) / match) for match in range(1, MAX_MATCH + 1)]
     costs = F.array(*[F.when(F.first("most") >= match, F.struct(F.coalesce(c, F.lit(0.0)).alias("cost"), F.lit(match).alias("match"))) for match, c in enumerate(costs, 1)])
     picked = met.groupBy("node").agg(F.array_min(F.filter(costs, lambda c: c.isNotNull()))["match"].alias("match"))
-    return met.join(picked, "node").filter("level <= match").select("hash", "node", "n", "level", "match", "bucket")
+    prefixes = met.join(picked, "node").filter("level <= match").select("hash", "node", "n", "level", "match", "bucket")
+    prefixes = materialize(prefixes, "jaccard_prefixes")
+    discard(entries, met)
+    return prefixes
 
 
 def _near(a: str, b: str):
@@ -199,16 +202,18 @@ def _near(a: str, b: str):
 
 
 def _small_links(entries: DataFrame, members: DataFrame, families: DataFrame) -> DataFrame:
-    """(a, b), once each, of the links whose documents share prefix shingles in small buckets and are not of one family."""
+    """(a, b), once each and stored, of the links whose documents share prefix shingles in small buckets and are not of one family."""
     pairs = entries.alias("l").join(entries.alias("r"), (F.col("l.hash") == F.col("r.hash")) & (F.col("l.node") < F.col("r.node")) & _near("l.n", "r.n")) \
         .select(F.col("l.node").alias("a"), F.col("r.node").alias("b"), F.least("l.match", "r.match").alias("match"), F.greatest("l.level", "r.level").alias("level"))
     pairs = pairs.filter("level <= match").groupBy("a", "b", "match").count().filter("count >= match").select("a", "b")
     fa, fb = (families.select(F.col("node").alias(k), F.col("family").alias("family" + k)) for k in "ab")
     pairs = pairs.join(fa, "a", "left").join(fb, "b", "left").filter("familya is null or familyb is null or familya <> familyb").select("a", "b")
     one, two = (members.select(F.col("node").alias(k), F.col("n").alias("n" + k), F.col("tokens").alias("tokens" + k)) for k in "ab")
-    both = materialize(pairs, "jaccard_pairs").join(one, "a").join(two, "b") \
-        .withColumn("shared", F.size(F.array_intersect("tokensa", "tokensb")))
-    return both.filter(F.col("shared") * 100 >= PERCENT * (F.col("na") + F.col("nb") - F.col("shared"))).select("a", "b")
+    pairs = materialize(pairs, "jaccard_pairs")
+    both = pairs.join(one, "a").join(two, "b").withColumn("shared", F.size(F.array_intersect("tokensa", "tokensb")))
+    small = materialize(both.filter(F.col("shared") * 100 >= PERCENT * (F.col("na") + F.col("nb") - F.col("shared"))).select("a", "b"), "jaccard_small")
+    discard(pairs)
+    return small
 
 
 def _families(entries: DataFrame) -> DataFrame:
@@ -219,7 +224,7 @@ def _families(entries: DataFrame) -> DataFrame:
 
 
 def _large_links(families: DataFrame, members: DataFrame, classes: DataFrame) -> DataFrame:
-    """The links within families: (a, b, null), a spanning forest of them, and (a, null, links), from each pair of blocks the
+    """The links within families, stored: (a, b, null), a spanning forest of them, and (a, null, links), from each pair of blocks the
     documents that a links with there, copies included."""
     rows = families.join(classes.select("node", "copies"), "node").join(members.select("node", "n", "tokens"), "node")
     rows = materialize(rows, "jaccard_families")
@@ -270,7 +275,10 @@ def _large_links(families: DataFrame, members: DataFrame, classes: DataFrame) ->
                              "links": pd.array([*[None] * len(edges), *links[some].tolist()], "Int64")})
 
     # dealt by block pair: dealt by family alone, a large family's pairs would be one task
-    return tiles.repartition("family", "low", "high").groupBy("family", "low", "high").applyInPandas(verify, "a bigint, b bigint, links bigint")
+    links = tiles.repartition("family", "low", "high").groupBy("family", "low", "high").applyInPandas(verify, "a bigint, b bigint, links bigint")
+    links = materialize(links, "jaccard_large")
+    discard(rows)
+    return links
 
 
 def jaccard_rows(docs: DataFrame) -> DataFrame:
@@ -286,10 +294,11 @@ def jaccard_rows(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("bigint"), "text", F.xxhash64("text").alias("text_hash"))
     sets = materialize(_sets(docs), "jaccard_sets")
     classes, members = _candidates(docs, sets.filter("doc_id is not null"))
-    entries = materialize(_prefixes(members), "jaccard_prefixes")
+    entries = _prefixes(members)
     families = materialize(_families(entries.filter(F.col("bucket") > SMALL)), "jaccard_family")
-    small = materialize(_small_links(entries.filter(F.col("bucket") <= SMALL), members, families), "jaccard_small")
-    large = materialize(_large_links(families, members, classes), "jaccard_large")
+    small = _small_links(entries.filter(F.col("bucket") <= SMALL), members, families)
+    large = _large_links(families, members, classes)
+    discard(members, entries, families)
     joined = components(small.unionByName(large.filter("b is not null").select("a", "b"))).join(classes.select("node", "rep"), "node")
     least = joined.groupBy("component").agg(F.min("rep").alias("component_id"))
     linked = joined.join(least, "component").select("node", "component", "component_id")
