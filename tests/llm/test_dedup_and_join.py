@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tripkit.llm import exact_dedup as ED
 from tripkit.llm import jaccard_join as JJ
 from tripkit.llm.components import components
+from tripkit.session import settings
 
 from .conftest import KINDS, odd_rows, words
 
@@ -202,3 +203,50 @@ def test_jaccard_stage_keeps_what_its_result_reads(spark, monkeypatch):
     left = {name for name, frames in kept.items() if any(map(there, frames))}
     assert left == {"jaccard_sets", "jaccard_classes", "jaccard_small", "jaccard_large", "components"}
     assert sum(map(there, kept["components"])) == 2 < len(kept["components"])
+
+
+def test_jaccard_common_lines_make_no_families(spark, monkeypatch):
+    monkeypatch.setattr(JJ, "SMALL", 8)
+    monkeypatch.setattr(JJ, "LOCAL", 4)
+    monkeypatch.setattr(JJ, "discard", lambda *stored: None)
+    kept, _ = stored_tables(spark, monkeypatch, JJ)
+    line = " ".join(f"common{i}" for i in range(40))  # half of every document, which near copies share with one another only
+    rows = [(k, f"{line} {words(500 + k // 2, 40, 10 ** 6)}" + " end" * (k % 2), "en", "s", 1) for k in range(40)]
+    got = JJ.jaccard_links(spark.createDataFrame(rows, KINDS).repartition(5)).collect()
+    assert sorted((r["doc_id"], r["component_id"], r["n_links"]) for r in got) == [(k, k - k % 2, 1) for k in range(40)]
+    (families,) = kept["jaccard_family"]
+    assert families.count() == 0
+
+
+def test_jaccard_sends_a_list_of_documents_once_a_chunk(spark, monkeypatch):
+    for name, value in (("SMALL", 3), ("LOCAL", 4), ("CHUNK_SHINGLES", 300), ("COMMON", 5), ("BLOCK", 10)):
+        monkeypatch.setattr(JJ, name, value)
+    node = JJ._node
+    monkeypatch.setattr(JJ, "_node", lambda salt, doc_id="doc_id": node(salt, doc_id) if salt else F.col(doc_id) % 5)  # the first numbers meet
+    monkeypatch.setattr(JJ, "discard", lambda *stored: None)
+    kept, _ = stored_tables(spark, monkeypatch, JJ)
+    rows = near_copies(11, 4, 20, shared=["a", "common", "line", "of", "nine", "words", "at", "the", "end"])
+    rows += [(1000 + k, rows[k % 7][1].upper(), "en", "s", 1) for k in range(20)] + odd_rows()
+    with settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": "8"}):
+        got = JJ.jaccard_links(spark.createDataFrame(rows, KINDS).repartition(3)).collect()
+    assert sorted(str((r["doc_id"], r["n_links"])) for r in got) == brute_links(rows)
+    (found,) = kept["jaccard_repeated"]
+    lists = found.filter("nodes is not null").groupBy("chunk").count().collect()
+    assert len(lists) > 6 and {r["count"] for r in lists} == {1}
+    assert found.filter("nodes is null").count() > len(lists) and len(kept["jaccard_classes"]) == 2
+
+
+def test_rows_that_are_classes_of_their_own_meet_nothing(spark, monkeypatch):
+    texts = [words(i, 30, 10 ** 6) for i in range(200)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(300 + i, texts[i].upper()) for i in range(4)] + [(5, texts[5]), (None, texts[6]), (400, ""), (401, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("text_hash", F.xxhash64("text"))
+    sets = JJ.materialize(JJ._sets(docs), "sets").filter("doc_id is not null")
+    classes, _ = JJ._candidates(docs, sets)
+    firsts, bits = JJ._firsts(docs, sets, classes, 0)
+    words_of = sorted(r["text"] for r in firsts.collect() if r["text"])
+    assert words_of == sorted(texts)
+    nodes = {r["node"] for r in classes.collect()}
+    assert nodes == {r["node"] for r in firsts.filter("text <> ''").collect()} and len(nodes) == 200
+    assert bits.selectExpr("sum(bitmap_count(_bits))").first()[0] == 9  # texts 0 to 3 with their copies, and row 5, which is there twice
+    monkeypatch.setattr(JJ, "marked", lambda position: F.lit(True))  # a full filter
+    assert sorted(r["text"] for r in JJ._firsts(docs, sets, classes, 0)[0].collect()) == sorted(texts)

@@ -44,7 +44,7 @@ def build_filter(keyed: DataFrame, n_blocks: int, hashes: int) -> DataFrame:
             .groupBy("block").agg(F.bitmap_construct_agg(F.col("bit").cast("bigint")).alias("bits")))
 
 
-def _marked(position: Column) -> Column:
+def marked(position: Column) -> Column:
     byte = F.conv(F.hex(F.substring(F.col("_bits"), (position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     return F.floor(byte / F.pow(F.lit(2), position % 8)).cast("int") % 2 == 1
 
@@ -74,7 +74,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                         block == F.col("_block"), "left")
     maybe = F.coalesce(F.lit(True), F.lit(True))
     for p in _positions(hashes):
-        maybe = maybe & _marked(p)
+        maybe = maybe & marked(p)
     probed = probed.withColumn("_maybe", F.coalesce(F.col("_bits").isNotNull() & maybe, F.lit(False))).drop("_block", "_bits")
 
     suspects = probed.filter("_maybe").drop("_maybe")

@@ -3,8 +3,9 @@
 Documents are sets of distinct 5-word shingles; two link when their Jaccard similarity is 0.8 or more. Equal sets form a class
 first, and only one document of each class goes on.
 
-Order every set by one global order (shingles that occur in one class only come first, then by hash). If sets of n and m shingles link,
-they share a = ceil(0.8 max(n, m)) of them, so for any l up to a their first n - ceil(0.8 n) + l and m - ceil(0.8 m) + l shingles
+Order every set by one global order: shingles that occur in one class only come first, those that many classes have come last, by their
+number, then by hash. So prefixes hold the shingles of common lines only where a document has little else. If sets of n and m shingles
+link, they share a = ceil(0.8 max(n, m)) of them, so for any l up to a their first n - ceil(0.8 n) + l and m - ceil(0.8 m) + l shingles
 share l. Each document picks its l: a longer prefix meets more documents but must share more shingles before a pair is verified. It
 weighs the estimated sizes of the buckets that its prefix shingles lead to against the verifications they cause. A pair is
 judged by the lesser l of the two, at which both prefixes hold.
@@ -17,12 +18,15 @@ A pair within a family is left to its blocks, so that each link is counted once.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from itertools import count
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import discard, materialize
 from .common import forget, join_groups, slices, table, unpacked, utf8, whole
 from .components import components
+from .exact_dedup import BLOCK_BITS, marked
 from .hashing import mix, shingle_sets
 from .packed import pack, unpack
 
@@ -33,8 +37,15 @@ SMALL = 32
 BLOCK = 1_024
 BLOCK_SHINGLES = 500_000
 PART_SHINGLES = 2_000_000
-# In a task's slice of the documents, a shingle in more of them than this is passed on as repeated without its documents meeting in one task
+# A task reads this many shingles of its documents before it sends them on
+CHUNK_SHINGLES = 2_000_000
+# In such a chunk, a shingle in more of them than this is passed on as repeated without its documents meeting in one task
 LOCAL = 32
+# Of the shingles that more than SMALL classes have, this many at most have a place of their own in the global order
+COMMON = 500_000
+# Of the filter of rows that are not alone in their class
+BITS_PER_ROW = 32
+MAX_BLOCKS = 1 << 14
 # What verifying a pair costs, in bucket entries read
 VERIFY_COST = 8
 OUTPUT = ("n_shingles", "component_id", "n_links")
@@ -56,125 +67,200 @@ def _sets(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(body, "doc_id bigint, text_hash bigint, n bigint, sig binary")
 
 
-def _members(docs: DataFrame, classes: DataFrame, parts: int) -> DataFrame:
-    """(node, n, first, tokens) of the classes that may link: their size, their shingles that occur in another class too, ascending,
-    and how many of those are in the prefix for l = 1.
+def _node(salt: int, doc_id: str = "doc_id") -> Column:
+    return F.xxhash64(F.lit(salt), doc_id, "text_hash")
+
+
+def _firsts(docs: DataFrame, sets: DataFrame, classes: DataFrame, salt: int) -> tuple[DataFrame, DataFrame]:
+    """((node, text) of the first row of each class, once each; the stored filter that it reads).
 
-    The shingles meet in ``parts`` parts by ranges of their hash; the repeated ones go back to their classes, which lie in as
-    many lots. Both ways they travel as packed arrays.
+    A row that is a class of its own is its first and passes straight through. Every row of a larger class sets a bit of a
+    broadcast filter; only rows whose bit is set (a few others among them) are shuffled to find out which are first. Past its
+    bound the filter lets more rows through to the shuffle and the result stays the same.
     """
+    total, mates = classes.agg(F.sum("copies"), F.sum(F.when(F.col("copies") > 1, F.col("copies")))).first()
+    blocks = min(max(-(-(mates or 0) * BITS_PER_ROW // BLOCK_BITS), 1), MAX_BLOCKS)
+    place = F.pmod(F.col("node"), F.lit(blocks * BLOCK_BITS))
+    placed = {"_block": F.floor(place / BLOCK_BITS).cast("int"), "_bit": place % BLOCK_BITS}
+    mates = join_groups(sets.select("sig", _node(salt).alias("node")), classes.filter("copies > 1").select("sig", "copies"), "sig", "copies", total or 0, "inner")
+    bits = materialize(mates.withColumns(placed).groupBy("_block").agg(F.bitmap_construct_agg("_bit").alias("_bits")), "jaccard_copies")
+    rows = docs.filter("doc_id is not null").withColumn("node", _node(salt)).withColumns(placed).join(F.broadcast(bits), "_block", "left")
+    rows = rows.withColumn("_maybe", F.coalesce(marked(F.col("_bit")), F.lit(False))).drop("_block", "_bit", "_bits")
+    names = ["node", "doc_id", "text_hash"]
+    first = rows.filter("_maybe").join(classes.select("node", F.col("rep").alias("doc_id"), "text_hash"), names, "left_semi").dropDuplicates(names)
+    return rows.filter("not _maybe").select("node", "text").unionByName(first.select("node", "text")), bits
+
+
+def _members(firsts: DataFrame, parts: int) -> DataFrame:
+    """(node, n, first, tokens), stored, of the classes that may link: their size, their shingles that occur in another class too, in
+    global order, and how many of those are in the prefix for l = 1.
+
+    The shingles of a chunk of documents are sent to ``parts`` parts by ranges of their hash, where they meet those of other chunks;
+    the repeated ones go back to their chunk. Both ways they travel as packed arrays, with places in the chunk's list of nodes;
+    the list itself travels once.
+    """
+    def chunks(batches):
+        held, many = [], 0
+        for batch in slices(batches):
+            sets = shingle_sets(utf8(batch), WIDTH)
+            held += [(node, s) for node, s in zip(batch.column(0).to_pylist(), sets) if len(s)]
+            many += sum(map(len, sets))
+            if many >= CHUNK_SHINGLES:
+                yield zip(*held)
+                held, many = [], 0
+        if held:
+            yield zip(*held)
+
     def cut(batches):
+        import hashlib
+
         import numpy as np
         import pyarrow as pa
-        from pyspark import TaskContext
-
-        for number, batch in enumerate(slices(batches)):
-            nodes, own = np.unique(batch.column(0).to_numpy(), return_index=True)  # a repeated row counts once
-            texts = utf8(batch)
-            sets = shingle_sets([texts[k] for k in own], WIDTH)
-            sizes = np.fromiter(map(len, sets), np.int64, len(sets))
-            hashes, who = np.concatenate(sets), np.repeat(np.arange(len(sets), dtype=np.int32), sizes)
+
+        for nodes, sets in chunks(batches):
+            nodes, sizes = np.array(nodes, np.int64), np.fromiter(map(len, sets), np.int64, len(sets))
+            chunk = int.from_bytes(hashlib.blake2b(nodes.tobytes(), digest_size=8).digest(), "little", signed=True)
+            hashes, who = np.concatenate(sets), np.repeat(np.arange(len(sets), dtype=np.uint32), sizes)
             order = np.argsort(hashes, kind="stable")
             hashes, who = hashes[order], who[order]
-            fresh = np.concatenate(([True], hashes[1:] != hashes[:-1]))
-            size = np.diff(np.append(np.flatnonzero(fresh), len(hashes)))
-            place = np.arange(len(hashes)) - np.repeat(np.flatnonzero(fresh), size)
-            many = np.repeat(size > LOCAL, size)
+            begin = np.flatnonzero(np.concatenate(([True], hashes[1:] != hashes[:-1])))
+            size = np.diff(np.append(begin, len(hashes)))
+            place = np.arange(len(hashes)) - np.repeat(begin, size)
+            size = np.repeat(size, size)
+            many = size > LOCAL
             part = ((hashes >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)  # by range
 
-            def rows(kind, part, chosen):
+            def rows(known, part, chosen):
                 h, w, p = hashes[chosen], who[chosen], part[chosen]
+                more = np.where(many & (place == 0) & (not known), size - 2, 0)[chosen].astype(np.uint32)  # that it stands for
                 at = np.flatnonzero(np.concatenate(([True], p[1:] != p[:-1]))) if len(p) else []
                 for a, b in zip(at, np.append(at[1:], len(p))):
-                    used, local = np.unique(w[a:b], return_inverse=True)
-                    yield int(p[a]), kind, *_entries(h[a:b], local, nodes[used], sizes[used])
+                    yield int(p[a]), known, chunk, *_entries(h[a:b], w[a:b]), pack(more[a:b]) if more[a:b].any() else None, None, None
 
             found = list(rows(0, part, ~many | (place < 2)))
             if many.any():  # two of them tell the others that the shingle is repeated
-                found += rows(1, np.full(len(hashes), (31 * TaskContext.get().partitionId() + number) % parts), many)
+                found += rows(1, np.full(len(hashes), (chunk + 1) % parts), many)
+            found.append((chunk % parts, 0, chunk, None, None, None, pack(nodes), pack(sizes.astype(np.uint32))))
             columns = list(zip(*found))
-            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[2:])],
-                                             ["part", "known", "hashes", "local", "nodes", "sizes"])
+            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int32()), pa.array(columns[2], pa.int64()), *(pa.array(c, pa.binary()) for c in columns[3:])],
+                                             ["part", "known", "chunk", "hashes", "local", "more", "nodes", "sizes"])
 
     def meet(rows):
         import numpy as np
         import pandas as pd
 
         forget()
-        many, hashes, nodes, sizes = _all_entries(rows)
-        known = np.repeat(rows["known"].to_numpy() > 0, many)
-        order = np.argsort(hashes, kind="stable")
-        hashes = hashes[order]
-        same = hashes[1:] == hashes[:-1]
-        twice = np.concatenate((same, [False])) | np.concatenate(([False], same)) | known[order]
-        order = order[twice]
-        hashes, nodes, sizes = hashes[twice], nodes[order], sizes[order]
-        lot = (mix(nodes.view(np.uint64)) % np.uint64(parts)).astype(np.int64)
-        order = np.argsort(lot, kind="stable")
-        cut = np.searchsorted(lot[order], np.arange(parts + 1)).tolist()
-        out = []
-        for k, (a, b) in enumerate(zip(cut, cut[1:])):
-            if a < b:
-                mine = order[a:b]
-                used, first, local = np.unique(nodes[mine], return_index=True, return_inverse=True)
-                out.append((k, *_entries(hashes[mine], local, used, sizes[mine][first])))
-        return pd.DataFrame(out, columns=["lot", "hashes", "local", "nodes", "sizes"])
+        lists, rows = rows[rows["nodes"].notna()], rows[rows["hashes"].notna()]
+        out = [(c, None, None, n, s) for c, n, s in zip(lists["chunk"], lists["nodes"], lists["sizes"])]
+        if len(rows):
+            many, hashes, local = _all_entries(rows)
+            known = np.repeat(rows["known"].to_numpy() > 0, many)
+            stands = (~known).astype(np.int64)
+            for end, n, more in zip(np.cumsum(many), many, rows["more"]):
+                if more is not None:
+                    stands[end - n:end] += unpack(more, np.uint32)
+            source = np.repeat(np.arange(len(rows), dtype=np.int32), many)
+            order = np.argsort(hashes, kind="stable")
+            hashes = hashes[order]
+            same = hashes[1:] == hashes[:-1]
+            begin = np.flatnonzero(np.concatenate(([True], ~same)))
+            count = np.add.reduceat(stands[order], begin)
+            often = np.flatnonzero(count > SMALL)
+            often = np.sort(often[np.argsort(-count[often], kind="stable")[:2 * COMMON // parts + 1]])
+            if len(often):
+                out.append((None, *_entries(hashes[begin[often]], count[often]), None, None))
+            twice = np.concatenate((same, [False])) | np.concatenate(([False], same)) | known[order]
+            order, hashes = order[twice], hashes[twice]
+            back = np.argsort(source[order], kind="stable")
+            order, hashes = order[back], hashes[back]
+            cut = np.searchsorted(source[order], np.arange(len(rows) + 1)).tolist()
+            out += [(c, *_entries(hashes[a:b], local[order[a:b]]), None, None) for c, a, b in zip(rows["chunk"], cut, cut[1:]) if a < b]
+        columns = list(zip(*out)) or [()] * 5
+        return pd.DataFrame({"chunk": pd.array(columns[0], "Int64"), **dict(zip(("hashes", "local", "nodes", "sizes"), map(list, columns[1:])))})
+
+    entries = "hashes binary, local binary, nodes binary, sizes binary"
+    found = firsts.mapInArrow(cut, "part bigint, known int, chunk bigint, hashes binary, local binary, more binary, nodes binary, sizes binary") \
+        .groupBy("part").applyInPandas(meet, f"chunk bigint, {entries}")
+    found = materialize(found, "jaccard_repeated")
+    common, often = _common(found.filter("chunk is null"))
 
     def gather(rows):
         import numpy as np
         import pandas as pd
 
         forget()
-        _, hashes, nodes, sizes = _all_entries(rows)
-        hashes = hashes.view(np.int64)
-        order = np.lexsort((hashes, nodes))
-        hashes, nodes, sizes = hashes[order], nodes[order], sizes[order]
-        once = np.concatenate(([True], (hashes[1:] != hashes[:-1]) | (nodes[1:] != nodes[:-1])))
-        hashes, nodes, sizes = hashes[once], nodes[once], sizes[once]
-        at = np.flatnonzero(np.concatenate(([True], nodes[1:] != nodes[:-1])))
-        n, many = sizes[at].astype(np.int64), np.diff(np.append(at, len(nodes)))
+        (nodes, sizes), = rows.loc[rows["nodes"].notna(), ["nodes", "sizes"]].to_numpy()  # one list a chunk
+        nodes, sizes = unpack(nodes, np.int64), unpack(sizes, np.uint32)
+        rows = rows[rows["hashes"].notna()]
+        if not len(rows):
+            return pd.DataFrame(columns=["node", "n", "first", "tokens"], dtype=object)
+        _, hashes, local = _all_entries(rows)
+        at = np.minimum(np.searchsorted(common, hashes), max(len(common) - 1, 0))
+        rank = np.where(common[at] == hashes, often[at], 0) if len(common) else np.zeros(len(hashes), np.int64)
+        order = np.lexsort((hashes, rank, local))
+        hashes, local = hashes[order].view(np.int64), local[order]
+        once = np.concatenate(([True], (hashes[1:] != hashes[:-1]) | (local[1:] != local[:-1])))
+        hashes, local = hashes[once], local[once]
+        at = np.flatnonzero(np.concatenate(([True], local[1:] != local[:-1])))
+        n, many = sizes[local[at]].astype(np.int64), np.diff(np.append(at, len(local)))
         first = n - -(-n * PERCENT // 100) + 1 - (n - many)
         keep = np.flatnonzero(first > 0)
-        return pd.DataFrame({"node": nodes[at][keep], "n": n[keep], "first": first[keep].astype(np.int32),
+        return pd.DataFrame({"node": nodes[local[at][keep]], "n": n[keep], "first": first[keep].astype(np.int32),
                              "tokens": pd.Series([hashes[at[k]:at[k] + many[k]] for k in keep], dtype=object)})
 
-    firsts = classes.select(F.col("rep").alias("doc_id"), "text_hash", "node")
-    rows = docs.join(firsts, ["doc_id", "text_hash"]).select("node", "text")
-    entries = "hashes binary, local binary, nodes binary, sizes binary"
-    return rows.mapInArrow(cut, f"part bigint, known int, {entries}").groupBy("part").applyInPandas(meet, f"lot bigint, {entries}") \
-        .groupBy("lot").applyInPandas(gather, "node bigint, n bigint, first int, tokens array<bigint>")
+    members = found.filter("chunk is not null").groupBy("chunk").applyInPandas(gather, "node bigint, n bigint, first int, tokens array<bigint>")
+    members = materialize(members, "jaccard_members")
+    discard(found)
+    return members
+
+
+def _common(rows: DataFrame):
+    """(hashes, ascending, how many classes have each) of the shingles that most classes have: ``COMMON`` of them or fewer."""
+    import numpy as np
+
+    found = [_read_entries(r["hashes"], r["local"]) for r in rows.select("hashes", "local").collect()]
+    hashes, count = (np.concatenate(c) for c in zip(*found)) if found else (np.zeros(0, np.uint64), np.zeros(0, np.uint32))
+    most = np.lexsort((hashes, -count.astype(np.int64)))[:COMMON]
+    most = most[np.argsort(hashes[most])]
+    return hashes[most], count[most].astype(np.int64)
 
 
-def _entries(hashes, local, nodes, sizes) -> tuple[bytes, bytes, bytes, bytes]:
-    """Entries (hash, node, size of the node's set) as bytes: ascending hashes, places in a list of nodes, the list and its sizes."""
+def _entries(hashes, local) -> tuple[bytes, bytes]:
+    """Ascending hashes and a small number for each, as bytes."""
     import numpy as np
 
-    return pack(np.diff(hashes, prepend=np.uint64(0))), pack(local.astype(np.uint32)), pack(nodes), pack(sizes.astype(np.uint32))
+    return pack(np.diff(hashes, prepend=np.uint64(0))), pack(np.minimum(local, 0xFFFFFFFF).astype(np.uint32))
 
 
-def _read_entries(hashes: bytes, local: bytes, nodes: bytes, sizes: bytes):
+def _read_entries(hashes: bytes, local: bytes):
     import numpy as np
 
-    local = unpack(local, np.uint32)
-    return np.cumsum(unpack(hashes, np.uint64), dtype=np.uint64), unpack(nodes, np.int64)[local], unpack(sizes, np.uint32)[local]
+    return np.cumsum(unpack(hashes, np.uint64), dtype=np.uint64), unpack(local, np.uint32)
 
 
 def _all_entries(rows):
-    """(number of entries of each row, hashes, nodes, sizes) of all rows; what they are read into goes on return."""
+    """(number of entries of each row, hashes, places) of all rows; what they are read into goes on return."""
     import numpy as np
 
-    found = [_read_entries(*r) for r in zip(rows["hashes"], rows["local"], rows["nodes"], rows["sizes"])]
+    found = [_read_entries(*r) for r in zip(rows["hashes"], rows["local"])]
     return [len(f[0]) for f in found], *(np.concatenate(c) for c in zip(*found))
 
 
 def _candidates(docs: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(classes, members): members have the classes that may link, with their repeated shingles in global order."""
-    classes = sets.filter("n > 0").groupBy("sig").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"), F.first("n").alias("n"), F.count("*").alias("copies"))
-    classes = classes.select("sig", F.col("first.doc_id").alias("rep"), F.col("first.text_hash").alias("text_hash"), "n", "copies")
-    classes = materialize(classes.withColumn("node", F.monotonically_increasing_id()), "jaccard_classes")
+    rows = sets.filter("n > 0").groupBy("sig").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"), F.first("n").alias("n"), F.count("*").alias("copies"))
+    rows = rows.select("sig", F.col("first.doc_id").alias("rep"), F.col("first.text_hash").alias("text_hash"), "n", "copies")
+    for salt in count():
+        classes = materialize(rows.withColumn("node", _node(salt, "rep")), "jaccard_classes")
+        who = F.struct("rep", "text_hash")
+        if classes.groupBy("node").agg(F.min(who).alias("a"), F.max(who).alias("b")).filter("a <> b").isEmpty():
+            break
+        discard(classes)  # two classes of one number: all get other ones
     parts = int(classes.agg(F.sum("n")).first()[0] or 0) // PART_SHINGLES + 1
-    members = _members(docs, classes, max(parts, docs.sparkSession.sparkContext.defaultParallelism))
-    return classes, materialize(members, "jaccard_members")
+    firsts, bits = _firsts(docs, sets, classes, salt)
+    members = _members(firsts, max(parts, docs.sparkSession.sparkContext.defaultParallelism))
+    discard(bits)
+    return classes, members
 
 
 def _prefixes(members: DataFrame) -> DataFrame:
